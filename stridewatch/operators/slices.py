@@ -1,0 +1,118 @@
+"""Cut hot groups into ordered slices of bounded size.
+
+A window function sends each group to one task, so a key that holds a third of the rows makes one
+task hold a third of the rows. Here a small row sample, as in range partitioning, finds the keys
+that need cutting and the positions at which to cut them:
+
+* a key whose share is at most about one slice is left whole and gets no bounds;
+* a hot key gets ascending bounds, about one per slice's worth of rows;
+* slice ``2i`` is the open interval between two bounds, slice ``2i + 1`` is exactly bound ``i``.
+
+A position with very many rows (copies of one reading) fills the sample and therefore becomes a
+bound, so it has an odd slice of its own. All rows of an odd slice are peers in the order, which
+lets the caller spread them over tasks freely.
+
+The sample decides only where to cut. Results never depend on it.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import count_at_or_below
+
+SLICE = "__slice"
+_CUTS = "__cuts"
+SAMPLES_PER_SLICE = 16
+MAX_SLICES = 4096
+_SEED = 20_011
+
+
+@dataclass(frozen=True)
+class SlicePlan:
+    keys: list[str]
+    position: list[str]
+    bounds: DataFrame | None  # keys + array<struct<position>>; None when no key is hot
+    longest: int  # entries in the longest array
+
+    @property
+    def empty(self) -> bool:
+        return self.bounds is None
+
+    def locate(self, df: DataFrame, *, only_hot: bool = False) -> DataFrame:
+        """Add the slice number; keys without bounds get 0 (or drop out, if only_hot)."""
+        if self.empty:
+            at_zero = df.withColumn(SLICE, F.lit(0))
+            return at_zero.filter(F.lit(False)) if only_hot else at_zero
+        # At most MAX_SLICES entries in all, so the broadcast size does not grow with the data.
+        joined = join_null_safe(
+            df, F.broadcast(self.bounds), self.keys, "inner" if only_hot else "left"
+        )
+        here = F.struct(*[F.col(c) for c in self.position])
+        passed = count_at_or_below(F.col(_CUTS), here, self.longest)
+        on_cut = F.get(F.col(_CUTS), F.col(SLICE) - 1) == here
+        return (
+            joined.withColumn(SLICE, passed)
+            .withColumn(SLICE, F.col(SLICE) * 2 - F.coalesce(on_cut, F.lit(False)).cast("int"))
+            .drop(_CUTS)
+        )
+
+
+def is_single_position(slice_col: Column) -> Column:
+    return slice_col % 2 == 1
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join in which null keys match, keeping the left side's key columns."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    )
+    return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
+
+
+def plan_slices(
+    df: DataFrame,
+    keys: list[str],
+    position: list[str],
+    *,
+    rows_per_slice: int,
+    max_slices: int = MAX_SLICES,
+) -> SlicePlan:
+    """Count the rows and, if one slice cannot hold them, sample for hot keys and their cuts.
+
+    Runs one count, and one job over the key and position columns only. The driver receives at
+    most about ``max_slices`` positions.
+    """
+    unsliced = SlicePlan(keys, position, None, 0)
+    total = df.count()
+    wanted = min(max_slices, math.ceil(total / rows_per_slice))
+    if wanted <= 1:
+        return unsliced
+    fraction = min(1.0, wanted * SAMPLES_PER_SLICE / total)
+    # A sample never needs fewer points per cut than it has points per slice.
+    per_cut = max(1, round(fraction * total / wanted))
+    sampled = (
+        df.select(*keys, F.struct(*[F.col(c) for c in position]).alias("at"))
+        .sample(fraction=fraction, seed=_SEED)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("at")).alias("points"))
+        .filter(F.size("points") > per_cut)
+        .select(
+            *keys,
+            F.array_distinct(
+                F.filter("points", lambda _, i: (i + 1) % per_cut == 0)
+            ).alias(_CUTS),
+        )
+    )
+    hot = sampled.collect()
+    if not hot:
+        return unsliced
+    # A local table: every branch that locates rows sees the same cuts, also after a retry.
+    bounds = df.sparkSession.createDataFrame(hot, sampled.schema)
+    return SlicePlan(keys, position, bounds, max(len(row[_CUTS]) for row in hot))
