@@ -1,13 +1,13 @@
-from .search import count_at_or_below
+from .search import with_count_at_or_below
 from .timeline import micros
 from .values import at_least, missing_rate, nan_to_null, observed, under
 
 __all__ = [
     "at_least",
-    "count_at_or_below",
     "micros",
     "missing_rate",
     "nan_to_null",
     "observed",
     "under",
+    "with_count_at_or_below",
 ]

@@ -1,23 +1,26 @@
-"""Binary search in a sorted array column, inside the JVM."""
+"""Binary search in a sorted array column, in generated code."""
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_at_or_below(bounds: Column, position: Column, longest: int) -> Column:
-    """How many entries of the ascending array are <= position.
+def with_count_at_or_below(
+    df: DataFrame, bounds: str, position: str, output: str, longest: int
+) -> DataFrame:
+    """Add how many entries of the ascending array ``bounds`` are <= ``position``.
 
     ``longest`` is an upper limit on the array length. The answer grows by falling powers of two,
-    so a row costs log2(longest) comparisons. A null array or position counts as zero.
+    so a row costs log2(longest) comparisons. Each step is its own projection: a lambda would
+    leave generated code, and one nested expression would double at every step. A null array or
+    position counts as zero, and get() is null beyond the end.
     """
-    if longest < 1:
-        return F.lit(0)
-    steps = [1 << bit for bit in reversed(range(longest.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        # get() is null beyond the end, and a null comparison leaves the count as it is.
-        lambda found, step: F.when(
-            F.get(bounds, found + step - 1) <= position, found + step
-        ).otherwise(found),
-    )
+    found = df.withColumn(output, F.lit(0))
+    for bit in reversed(range(longest.bit_length())):
+        step = 1 << bit
+        found = found.withColumn(
+            output,
+            F.expr(
+                f"`{output}` + if(get(`{bounds}`, `{output}` + {step - 1}) <= `{position}`, {step}, 0)"
+            ),
+        )
+    return found

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions import at_least, observed, under
+from ..functions import at_least, observed, under, with_count_at_or_below
 from .metrics import confusion, per_class
 from .quantiles import ROWS_PER_SLICE, evenly_spaced, exact_quantiles, long_form, sketched_quantiles
 
@@ -38,7 +38,11 @@ def quantile_edges(
 
 
 def histogram_by_edges(
-    reference: DataFrame, current: DataFrame, features: list[str], edges: DataFrame
+    reference: DataFrame,
+    current: DataFrame,
+    features: list[str],
+    edges: DataFrame,
+    bins: int = BINS,
 ) -> DataFrame:
     """(feature, bin, n_ref, n_cur). The outer bins are open, so bin = inner edges <= value."""
     # slice() rejects a negative length, and fewer than three edges have no inner edge.
@@ -51,16 +55,12 @@ def histogram_by_edges(
     sides = long_form(reference, features).withColumn("is_ref", F.lit(1)).unionByName(
         long_form(current, features).withColumn("is_ref", F.lit(0))
     )
-    value = F.col("value")
     # One row per feature: its size is fixed by the schema.
-    return (
-        sides.join(F.broadcast(inner), "feature", "left")
-        .withColumn("bin", F.size(F.filter("inner", lambda edge: edge <= value)))
-        .groupBy("feature", "bin")
-        .agg(
-            F.sum("is_ref").alias("n_ref"),
-            F.sum(1 - F.col("is_ref")).alias("n_cur"),
-        )
+    placed = with_count_at_or_below(
+        sides.join(F.broadcast(inner), "feature", "left"), "inner", "value", "bin", bins
+    )
+    return placed.groupBy("feature", "bin").agg(
+        F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
     )
 
 
@@ -88,7 +88,7 @@ def psi(
     edges = quantile_edges(
         reference, features, bins, approximate=approximate, rows_per_slice=rows_per_slice
     )
-    histogram = histogram_by_edges(reference, current, features, edges)
+    histogram = histogram_by_edges(reference, current, features, edges, bins)
     whole = Window.partitionBy("feature")
     summed = (
         histogram.withColumns(

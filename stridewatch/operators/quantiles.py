@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import observed
-from .slices import SLICE, plan_slices
+from .slices import SEED, SLICE, plan_slices
 
-ROWS_PER_SLICE = 200_000
+ROWS_PER_SLICE = 1_000_000
 SLICES_PER_COLUMN = 1024
 
 
@@ -44,57 +44,80 @@ def exact_quantiles(
         ["value"],
         rows_per_slice=rows_per_slice,
         max_slices=SLICES_PER_COLUMN * len(columns),
+        total=df.count() * len(columns),
+        # Draw whole rows, then unpivot: far fewer rows to draw from.
+        sample=lambda part: long_form(
+            df.select(*columns).sample(fraction=part, seed=SEED), columns
+        ),
     )
-    sliced = plan.locate(long)
+    copies = [F.count(F.lit(1)).alias("copies")]
+    if plan.empty:
+        by_value = long.groupBy("feature", F.lit(0).alias(SLICE), "value").agg(*copies)
+        targets = _targets(
+            by_value.groupBy("feature", SLICE).agg(F.sum("copies").alias("held")), probabilities
+        )
+    else:
+        sliced = plan.locate(long)
+        targets = _targets(
+            sliced.groupBy("feature", SLICE).agg(F.count(F.lit(1)).alias("held")), probabilities
+        )
+        wanted = F.broadcast(targets.select("feature", SLICE))
+        by_value = (
+            sliced.join(wanted, ["feature", SLICE], "left_semi")
+            .groupBy("feature", SLICE, "value")
+            .agg(*copies)
+        )
+    return _interpolated(_values_at_ranks(by_value, targets), probabilities)
+
+
+def _targets(per_slice: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(feature, slice, before, n, rank): where each wanted rank lies.
 
-    by_slice = Window.partitionBy("feature").orderBy(SLICE)
+    Two rows per probability and column, whatever the number of rows, so the callers may broadcast
+    it. A column has at most SLICES_PER_COLUMN * 2 slices, so the windows stay small.
+    """
+    in_order = Window.partitionBy("feature").orderBy(SLICE)
     whole = Window.partitionBy("feature")
-    n = F.col("n")
-    # A column has at most SLICES_PER_COLUMN * 2 slices, so these windows stay small.
-    counted = (
-        sliced.groupBy("feature", SLICE)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "feature",
-            SLICE,
-            (F.sum(n).over(by_slice) - n).alias("first_rank"),
-            F.sum(n).over(by_slice).alias("end_rank"),
-            F.sum(n).over(whole).alias("n"),
-        )
-        .withColumn("ranks", _wanted_ranks(F.col("n"), probabilities))
-    )
-    wanted_here = F.filter(
-        "ranks", lambda r: (r >= F.col("first_rank")) & (r < F.col("end_rank"))
+    ranked = per_slice.select(
+        "feature",
+        SLICE,
+        "held",
+        (F.sum("held").over(in_order) - F.col("held")).alias("before"),
+        F.sum("held").over(whole).alias("n"),
+    ).withColumn("ranks", _wanted_ranks(F.col("n"), probabilities))
+    rank = F.col("rank")
+    return (
+        ranked.withColumn("rank", F.explode("ranks"))
+        .filter((rank >= F.col("before")) & (rank < F.col("before") + F.col("held")))
+        .drop("held", "ranks")
     )
-    # At most two slices per probability and column, whatever the number of rows.
-    targets = counted.withColumn("ranks", wanted_here).filter(F.size("ranks") > 0)
-
-    by_value = Window.partitionBy("feature", SLICE).orderBy("value")
-    upto = F.col("first_rank") + F.sum("copies").over(by_value)
-    held = (
-        sliced.join(F.broadcast(targets.select("feature", SLICE)), ["feature", SLICE], "left_semi")
-        .groupBy("feature", SLICE, "value")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .join(F.broadcast(targets), ["feature", SLICE])
-        .withColumn("upto", upto)
-        .withColumn(
-            "ranks",
-            F.filter(
-                "ranks", lambda r: (r >= F.col("upto") - F.col("copies")) & (r < F.col("upto"))
-            ),
-        )
-        .filter(F.size("ranks") > 0)
-        .select("feature", "n", F.explode("ranks").alias("rank"), "value")
+
+
+def _values_at_ranks(by_value: DataFrame, targets: DataFrame) -> DataFrame:
+    """(feature, n, rank, value) for every wanted rank."""
+    within = Window.partitionBy("feature", SLICE).orderBy("value")
+    running = by_value.withColumn("upto", F.sum("copies").over(within))
+    end = F.col("before") + F.col("upto")
+    here = (F.col("rank") < end) & (F.col("rank") >= end - F.col("copies"))
+    slot = targets.withColumnsRenamed({"feature": "__feature", SLICE: "__target"})
+    same_slice = (F.col("feature") == F.col("__feature")) & (F.col(SLICE) == F.col("__target"))
+    return running.join(F.broadcast(slot), same_slice & here).select(
+        "feature", "n", "rank", "value"
     )
+
+
+def _interpolated(at_ranks: DataFrame, probabilities: list[float]) -> DataFrame:
+    # Two ranks per probability.
+    by_rank = F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
     return (
-        held.groupBy("feature", "n")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+        at_ranks.groupBy("feature", "n")
+        .agg(by_rank)
         .select(
             "feature",
             "n",
-            F.array(*[_between(F.col("at"), F.col("n"), p) for p in probabilities]).alias(
-                "quantiles"
-            ),
+            F.transform(
+                _literal(probabilities), lambda p: _between(F.col("at"), F.col("n"), p)
+            ).alias("quantiles"),
         )
     )
 
@@ -113,24 +136,28 @@ def sketched_quantiles(
     )
 
 
-def _wanted_ranks(n: Column, probabilities: list[float]) -> Column:
-    both = [
-        rank(n, p).cast("long") for p in probabilities for rank in (_rank_below, _rank_above)
-    ]
-    return F.array_distinct(F.array(*both))
+def _literal(probabilities: list[float]) -> Column:
+    return F.array(*[F.lit(p) for p in probabilities])
 
 
-def _rank_below(n: Column, p: float) -> Column:
-    return F.floor((n - 1) * F.lit(p))
+def _rank_below(n: Column, p: Column) -> Column:
+    return F.floor((n - 1) * p)
 
 
-def _rank_above(n: Column, p: float) -> Column:
+def _rank_above(n: Column, p: Column) -> Column:
     return F.least(_rank_below(n, p) + 1, n - 1)
 
 
-def _between(at: Column, n: Column, p: float) -> Column:
+def _wanted_ranks(n: Column, probabilities: list[float]) -> Column:
+    pairs = F.transform(
+        _literal(probabilities), lambda p: F.array(_rank_below(n, p), _rank_above(n, p))
+    )
+    return F.array_distinct(F.flatten(pairs))
+
+
+def _between(at: Column, n: Column, p: Column) -> Column:
     """Interpolate from the nearer end, which is exact at both ends."""
     low, high = at[_rank_below(n, p)], at[_rank_above(n, p)]
-    along = (n - 1) * F.lit(p) - _rank_below(n, p)
+    along = (n - 1) * p - _rank_below(n, p)
     step = high - low
     return F.when(along < 0.5, low + step * along).otherwise(high - step * (1 - along))

@@ -18,26 +18,29 @@ The sample decides only where to cut. Results never depend on it.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import count_at_or_below
+from ..functions import with_count_at_or_below
 
 SLICE = "__slice"
 _CUTS = "__cuts"
+_AT = "__at"
 SAMPLES_PER_SLICE = 16
 MAX_SLICES = 4096
-_SEED = 20_011
+SEED = 20_011
 
 
 @dataclass(frozen=True)
 class SlicePlan:
     keys: list[str]
     position: list[str]
-    bounds: DataFrame | None  # keys + array<struct<position>>; None when no key is hot
+    bounds: DataFrame | None  # keys + ascending array of positions; None when no key is hot
     longest: int  # entries in the longest array
 
     @property
@@ -53,14 +56,19 @@ class SlicePlan:
         joined = join_null_safe(
             df, F.broadcast(self.bounds), self.keys, "inner" if only_hot else "left"
         )
-        here = F.struct(*[F.col(c) for c in self.position])
-        passed = count_at_or_below(F.col(_CUTS), here, self.longest)
-        on_cut = F.get(F.col(_CUTS), F.col(SLICE) - 1) == here
-        return (
-            joined.withColumn(SLICE, passed)
-            .withColumn(SLICE, F.col(SLICE) * 2 - F.coalesce(on_cut, F.lit(False)).cast("int"))
-            .drop(_CUTS)
+        placed = with_count_at_or_below(
+            joined.withColumn(_AT, _point(self.position)), _CUTS, _AT, SLICE, self.longest
         )
+        on_cut = f"coalesce(get({_CUTS}, {SLICE} - 1) = {_AT}, false)"
+        return placed.withColumn(
+            SLICE, F.expr(f"{SLICE} * 2 - if({on_cut}, 1, 0)")
+        ).drop(_CUTS, _AT)
+
+
+def _point(position: list[str]) -> Column:
+    """One comparable value; a struct of columns compares field by field, nulls first."""
+    columns = [F.col(c) for c in position]
+    return columns[0] if len(columns) == 1 else F.struct(*columns)
 
 
 def is_single_position(slice_col: Column) -> Column:
@@ -83,23 +91,27 @@ def plan_slices(
     *,
     rows_per_slice: int,
     max_slices: int = MAX_SLICES,
+    total: int | None = None,
+    sample: Callable[[float], DataFrame] | None = None,
 ) -> SlicePlan:
     """Count the rows and, if one slice cannot hold them, sample for hot keys and their cuts.
 
     Runs one count, and one job over the key and position columns only. The driver receives at
-    most about ``max_slices`` positions.
+    most about ``max_slices`` positions. A caller that derives ``df`` from something cheaper to
+    count or to sample passes ``total`` (rows) and ``sample`` (fraction -> rows).
     """
     unsliced = SlicePlan(keys, position, None, 0)
-    total = df.count()
+    if total is None:
+        total = df.count()
     wanted = min(max_slices, math.ceil(total / rows_per_slice))
     if wanted <= 1:
         return unsliced
     fraction = min(1.0, wanted * SAMPLES_PER_SLICE / total)
     # A sample never needs fewer points per cut than it has points per slice.
     per_cut = max(1, round(fraction * total / wanted))
+    drawn = sample(fraction) if sample else df.sample(fraction=fraction, seed=SEED)
     sampled = (
-        df.select(*keys, F.struct(*[F.col(c) for c in position]).alias("at"))
-        .sample(fraction=fraction, seed=_SEED)
+        drawn.select(*keys, _point(position).alias("at"))
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list("at")).alias("points"))
         .filter(F.size("points") > per_cut)
@@ -110,9 +122,10 @@ def plan_slices(
             ).alias(_CUTS),
         )
     )
-    hot = sampled.collect()
-    if not hot:
+    hot = sampled.toArrow()
+    if hot.num_rows == 0:
         return unsliced
     # A local table: every branch that locates rows sees the same cuts, also after a retry.
     bounds = df.sparkSession.createDataFrame(hot, sampled.schema)
-    return SlicePlan(keys, position, bounds, max(len(row[_CUTS]) for row in hot))
+    longest = pc.max(pc.list_value_length(hot[_CUTS])).as_py()
+    return SlicePlan(keys, position, bounds, longest)

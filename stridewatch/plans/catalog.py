@@ -830,15 +830,17 @@ def split_leakage_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH a AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'A'),
-r AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R')
-SELECT l_partkey, 'left' AS only_in FROM (FROM a EXCEPT FROM r)
-UNION ALL SELECT l_partkey, 'right' FROM (FROM r EXCEPT FROM a)"""
+    """WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'),
+r AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'O')
+SELECT o_custkey, 'left' AS only_in FROM (FROM a EXCEPT FROM r)
+UNION ALL SELECT o_custkey, 'right' FROM (FROM r EXCEPT FROM a)"""
 )
 def class_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    flag = F.col("l_returnflag")
-    return quality.class_coverage(lines.filter(flag == "A"), lines.filter(flag == "R"), "l_partkey")
+    orders = table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    return quality.class_coverage(
+        orders.filter(status == "F"), orders.filter(status == "O"), "o_custkey"
+    )
 
 
 @query(
