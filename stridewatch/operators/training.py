@@ -71,21 +71,29 @@ def model_contract(model: PipelineModel, df: DataFrame) -> list[tuple[str, str]]
 
 
 def run_record(
-    run_id: str, params: dict, metrics: DataFrame, tags: dict[str, str | Column]
+    run_id: str,
+    params: dict,
+    measured: DataFrame,
+    tags: dict[str, str | Column],
+    *,
+    metric_cols: list[str] | None = None,
 ) -> DataFrame:
-    """One ``runs`` row. ``metrics`` is a one-row frame, each column a metric."""
-    measured = [part for c in metrics.columns for part in (F.lit(c), F.col(c).cast("double"))]
-    text = [part for k, v in params.items() for part in (F.lit(k), F.lit(str(v)))]
-    labels = [
-        part
-        for k, v in tags.items()
-        for part in (F.lit(k), v if isinstance(v, Column) else F.lit(v))
-    ]
-    return metrics.select(
+    """One ``runs`` row. ``measured`` is a one-row frame with the metrics; tags may use it too."""
+
+    def as_map(values: dict, kind: str) -> Column:
+        pairs = [
+            part
+            for key, value in values.items()
+            for part in (F.lit(key), value if isinstance(value, Column) else F.lit(str(value)))
+        ]
+        return F.create_map(*pairs).cast(f"map<string,{kind}>")
+
+    numbers = {c: F.col(c).cast("double") for c in metric_cols or measured.columns}
+    return measured.select(
         F.lit(run_id).alias("run_id"),
         F.lit("FINISHED").alias("status"),
         F.current_timestamp().alias("start_time"),
-        F.create_map(*text).cast("map<string,string>").alias("params"),
-        F.create_map(*measured).cast("map<string,double>").alias("metrics"),
-        F.create_map(*labels).cast("map<string,string>").alias("tags"),
+        as_map(params, "string").alias("params"),
+        as_map(numbers, "double").alias("metrics"),
+        as_map(tags, "string").alias("tags"),
     )
