@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions import at_least, observed, under, with_count_at_or_below
 from .metrics import confusion, per_class
-from .quantiles import ROWS_PER_SLICE, evenly_spaced, exact_quantiles, long_form, sketched_quantiles
+from .quantiles import (
+    ROWS_PER_SLICE,
+    evenly_spaced,
+    exact_quantiles,
+    long_form,
+    sketched_quantiles,
+)
 
 PSI_MODERATE = 0.10
 PSI_SIGNIFICANT = 0.25
 PROPORTION_FLOOR = 1e-6
 PERFORMANCE_TOLERANCE = 0.05
 BINS = 10
-_NAN = float("nan")
 
 
 def quantile_edges(
@@ -45,30 +49,37 @@ def histogram_by_edges(
     bins: int = BINS,
 ) -> DataFrame:
     """(feature, bin, n_ref, n_cur). The outer bins are open, so bin = inner edges <= value."""
+    return _histogram(reference, current, features, edges, bins).drop("edge_count")
+
+
+def _histogram(
+    reference: DataFrame, current: DataFrame, features: list[str], edges: DataFrame, bins: int
+) -> DataFrame:
     # slice() rejects a negative length, and fewer than three edges have no inner edge.
-    inner = edges.select(
+    inner = edges.selectExpr(
         "feature",
-        F.when(F.size("edges") >= 3, F.slice("edges", F.lit(2), F.size("edges") - 2))
-        .otherwise(F.array().cast("array<double>"))
-        .alias("inner"),
+        "size(edges) AS edge_count",
+        "if(size(edges) >= 3, slice(edges, 2, size(edges) - 2), array()) AS inner",
     )
-    sides = long_form(reference, features).withColumn("is_ref", F.lit(1)).unionByName(
-        long_form(current, features).withColumn("is_ref", F.lit(0))
+    sides = (
+        long_form(reference, features)
+        .selectExpr("*", "1 AS is_ref")
+        .unionByName(long_form(current, features).selectExpr("*", "0 AS is_ref"))
     )
     # One row per feature: its size is fixed by the schema.
     placed = with_count_at_or_below(
         sides.join(F.broadcast(inner), "feature", "left"), "inner", "value", "bin", bins
     )
-    return placed.groupBy("feature", "bin").agg(
-        F.sum("is_ref").alias("n_ref"), F.sum(1 - F.col("is_ref")).alias("n_cur")
+    return placed.groupBy("feature", "edge_count", "bin").agg(
+        F.expr("sum(is_ref) AS n_ref"), F.expr("sum(1 - is_ref) AS n_cur")
     )
 
 
-def _stability_term(n_ref: Column, n_cur: Column, all_ref: Column, all_cur: Column) -> Column:
+def _stability_term(n_ref: str, n_cur: str, all_ref: str, all_cur: str) -> str:
     """(c - r) ln(c / r) on floored proportions; a bin empty on both sides gives 0."""
-    r = F.greatest(F.try_divide(n_ref, all_ref), F.lit(PROPORTION_FLOOR))
-    c = F.greatest(F.try_divide(n_cur, all_cur), F.lit(PROPORTION_FLOOR))
-    return (c - r) * F.ln(c / r)
+    r = f"greatest(try_divide({n_ref}, {all_ref}), {PROPORTION_FLOOR}D)"
+    c = f"greatest(try_divide({n_cur}, {all_cur}), {PROPORTION_FLOOR}D)"
+    return f"({c} - {r}) * ln({c} / {r})"
 
 
 def psi(
@@ -88,38 +99,20 @@ def psi(
     edges = quantile_edges(
         reference, features, bins, approximate=approximate, rows_per_slice=rows_per_slice
     )
-    histogram = histogram_by_edges(reference, current, features, edges, bins)
-    whole = Window.partitionBy("feature")
-    summed = (
-        histogram.withColumns(
-            {
-                "all_ref": F.sum("n_ref").over(whole),
-                "all_cur": F.sum("n_cur").over(whole),
-            }
-        )
-        .groupBy("feature", "all_ref", "all_cur")
-        .agg(
-            F.sum(
-                _stability_term(
-                    F.col("n_ref"), F.col("n_cur"), F.col("all_ref"), F.col("all_cur")
-                )
-            ).alias("total")
-        )
+    totals = _histogram(reference, current, features, edges, bins).selectExpr(
+        "*",
+        "sum(n_ref) OVER (PARTITION BY feature) AS all_ref",
+        "sum(n_cur) OVER (PARTITION BY feature) AS all_cur",
+    )
+    term = _stability_term("n_ref", "n_cur", "all_ref", "all_cur")
+    summed = totals.groupBy("feature", "edge_count", "all_ref", "all_cur").agg(
+        F.expr(f"sum({term}) AS total")
     )
     # Every requested feature gets a row, also one without a single observed value.
     named = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    comparable = (
-        (F.col("all_ref") >= bins) & (F.col("all_cur") > 0) & (F.size("edges") >= 3)
-    )
-    return (
-        named.join(summed, "feature", "left")
-        .join(edges.select("feature", "edges"), "feature", "left")
-        .select(
-            "feature",
-            F.when(F.coalesce(comparable, F.lit(False)), F.col("total"))
-            .otherwise(F.lit(_NAN))
-            .alias("psi"),
-        )
+    return named.join(summed, "feature", "left").selectExpr(
+        "feature",
+        f"if(all_ref >= {bins} AND all_cur > 0 AND edge_count >= 3, total, double('NaN')) AS psi",
     )
 
 
@@ -144,15 +137,10 @@ def category_counts(
 
 
 def categorical_psi_from_counts(counts: DataFrame) -> DataFrame:
-    totals = counts.agg(F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"))
-    term = _stability_term(
-        F.col("n_ref"), F.col("n_cur"), F.col("all_ref"), F.col("all_cur")
-    )
-    usable = F.min((F.col("all_ref") > 0) & (F.col("all_cur") > 0))
-    return counts.crossJoin(F.broadcast(totals)).agg(
-        F.when(F.coalesce(usable, F.lit(False)), F.sum(term))
-        .otherwise(F.lit(_NAN))
-        .alias("psi")
+    totals = counts.selectExpr("struct(sum(n_ref) AS ref, sum(n_cur) AS cur)")
+    term = _stability_term("n_ref", "n_cur", "all.ref", "all.cur")
+    return counts.withColumn("all", totals.scalar()).selectExpr(
+        f"if(sum(n_ref) > 0 AND sum(n_cur) > 0, sum({term}), double('NaN')) AS psi"
     )
 
 
@@ -248,7 +236,6 @@ def drift_report(
     if feature_psi is None:
         feature_psi = psi(reference, current, features, bins, rows_per_slice=rows_per_slice)
     bands = psi_bands(feature_psi).drop("features_compared")
-
     outcome = confusion(current, label_col, prediction_col)
     n = F.col("n")
     labels = reference.groupBy(F.col(label_col).cast("long").alias("category")).agg(
@@ -264,13 +251,20 @@ def drift_report(
         .groupBy("category")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
-    rows = mix.agg(F.sum("n_ref").alias("reference_rows"), F.sum("n_cur").alias("current_rows"))
-    prediction = categorical_psi_from_counts(
-        mix.filter(F.col("category").isNotNull())
-    ).withColumnRenamed("psi", "prediction_psi")
-    realised = per_class(outcome).agg(F.avg("f1").alias("realised_macro_f1"))
-
-    parts = champion.crossJoin(rows).crossJoin(bands).crossJoin(prediction).crossJoin(realised)
+    rows = mix.agg(
+        F.struct(F.sum("n_ref").alias("reference_rows"), F.sum("n_cur").alias("current_rows"))
+    )
+    prediction = categorical_psi_from_counts(mix.filter(F.col("category").isNotNull()))
+    realised = per_class(outcome).agg(F.avg("f1"))
+
+    # One row each; a scalar subquery fails if that ever stops being true.
+    parts = champion.select(
+        "*",
+        rows.scalar().alias("rows"),
+        bands.select(F.struct("*")).scalar().alias("bands"),
+        prediction.scalar().alias("prediction_psi"),
+        realised.scalar().alias("realised_macro_f1"),
+    ).select("*", "rows.*", "bands.*")
     delta = F.col("realised_macro_f1") - F.col("promoted_macro_f1")
     status = drift_status(
         F.col("features_significant"),

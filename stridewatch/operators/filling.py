@@ -79,15 +79,15 @@ def _carried_into_slices(df: DataFrame, column: str, plan: SlicePlan) -> DataFra
     For a single-position slice that includes the readings at the position itself.
     """
     keys, position = plan.keys, plan.position
-    newest = F.max_by(
-        column, F.when(F.col(column).isNotNull(), F.struct(*position, F.col(column)))
-    )
     needed = list(dict.fromkeys([*keys, *position, column]))
-    per_slice = (
-        plan.locate(df.select(*needed), only_hot=True)
+    # A slow signal is mostly null, so the filter leaves few rows to aggregate.
+    readings = df.select(*needed).filter(F.col(column).isNotNull())
+    newest = (
+        plan.locate(readings, only_hot=True)
         .groupBy(*keys, SLICE)
-        .agg(newest.alias("__newest"))
+        .agg(F.max_by(column, F.struct(*position, column)).alias("__newest"))
     )
+    per_slice = join_null_safe(plan.slices(), newest, [*keys, SLICE], "left")
     in_order = Window.partitionBy(*keys).orderBy(SLICE)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     through = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

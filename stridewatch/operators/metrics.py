@@ -59,6 +59,7 @@ def per_class(counts: DataFrame) -> DataFrame:
         share(F.col("hits"), F.col("support")).alias("recall"),
         share(2 * F.col("hits"), F.col("predicted") + F.col("support")).alias("f1"),
         "support",
+        "hits",
     )
 
 
@@ -76,13 +77,12 @@ def weighted_f1(counts: DataFrame) -> DataFrame:
 
 def evaluation(counts: DataFrame) -> DataFrame:
     """The three headline metrics as one row."""
-    return accuracy(counts).crossJoin(
-        per_class(counts).agg(
-            F.avg("f1").alias("macro_f1"),
-            F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias(
-                "weighted_f1"
-            ),
-        )
+    return per_class(counts).agg(
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
+        F.avg("f1").alias("macro_f1"),
+        F.try_divide(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias(
+            "weighted_f1"
+        ),
     )
 
 
@@ -104,19 +104,19 @@ def classification_report(counts: DataFrame) -> DataFrame:
         F.sum("support").alias("support"),
     )
     # As in the usual text report, accuracy fills the F1 column only.
-    overall = accuracy(counts).crossJoin(counts.agg(F.sum("n").alias("support"))).select(
+    overall = classes.agg(
         F.lit("accuracy").alias("class"),
         F.lit(None).cast("double").alias("precision"),
         F.lit(None).cast("double").alias("recall"),
-        F.col("accuracy").alias("f1"),
-        "support",
+        F.try_divide(F.sum("hits"), F.sum("support")).alias("f1"),
+        F.sum("support").alias("support"),
     )
-    named = classes.withColumn("class", F.col("class").cast("string"))
+    named = classes.withColumn("class", F.col("class").cast("string")).drop("hits")
     return named.unionByName(overall).unionByName(macro).unionByName(weighted)
 
 
 def performance_delta(realised: DataFrame, promoted: DataFrame) -> DataFrame:
     """Realised minus promoted macro F1; both inputs are one-row frames."""
-    return realised.crossJoin(promoted).withColumn(
-        "performance_delta", F.col("realised_macro_f1") - F.col("promoted_macro_f1")
-    )
+    return realised.withColumn(
+        "promoted_macro_f1", promoted.select("promoted_macro_f1").scalar()
+    ).withColumn("performance_delta", F.col("realised_macro_f1") - F.col("promoted_macro_f1"))

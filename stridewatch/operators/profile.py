@@ -101,6 +101,6 @@ def provenance_list(
 
 def sample_sizes(reference: DataFrame, current: DataFrame) -> DataFrame:
     rows = F.count(F.lit(1))
-    return reference.agg(rows.alias("reference_rows")).crossJoin(
-        current.agg(rows.alias("current_rows"))
+    return reference.agg(rows.alias("reference_rows")).withColumn(
+        "current_rows", current.agg(rows).scalar()
     )

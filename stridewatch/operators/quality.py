@@ -117,7 +117,8 @@ def enforce(result: DataFrame) -> None:
 
 def shared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys on both sides: leakage if the sides are train and holdout."""
-    return left.select(key).intersect(right.select(key))
+    # Distinct before the set operation, so a frequent key is shuffled once per task.
+    return left.select(key).distinct().intersect(right.select(key).distinct())
 
 
 def split_leakage(df: DataFrame, key: str, split_col: str = "split") -> DataFrame:
@@ -135,11 +136,14 @@ def split_leakage(df: DataFrame, key: str, split_col: str = "split") -> DataFram
 
 def class_coverage(left: DataFrame, right: DataFrame, class_col: str) -> DataFrame:
     """Classes on one side only, tagged with the side; empty if both have the same set."""
-    a, b = left.select(class_col).distinct(), right.select(class_col).distinct()
+    sides = left.select(class_col, F.lit(True).alias("on_left")).unionByName(
+        right.select(class_col, F.lit(False).alias("on_left"))
+    )
     return (
-        a.subtract(b)
-        .withColumn("only_in", F.lit("left"))
-        .unionByName(b.subtract(a).withColumn("only_in", F.lit("right")))
+        sides.groupBy(class_col)
+        .agg(F.bool_or("on_left").alias("a"), F.bool_or(~F.col("on_left")).alias("b"))
+        .filter("NOT (a AND b)")
+        .select(class_col, F.when(F.col("a"), "left").otherwise("right").alias("only_in"))
     )
 
 

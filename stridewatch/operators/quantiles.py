@@ -7,10 +7,9 @@ that hold a wanted rank are looked into.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import observed
 from .slices import SEED, SLICE, plan_slices
 
 ROWS_PER_SLICE = 1_000_000
@@ -25,8 +24,9 @@ def evenly_spaced(bins: int) -> list[float]:
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows (feature, value) for every observed value of the named columns."""
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return values.unpivot([], columns, "feature", "value").filter(observed(F.col("value")))
+    values = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
+    long = values.unpivot([], columns, "feature", "value")
+    return long.filter("value IS NOT NULL AND NOT isnan(value)")
 
 
 def exact_quantiles(
@@ -50,76 +50,84 @@ def exact_quantiles(
             df.select(*columns).sample(fraction=part, seed=SEED), columns
         ),
     )
-    copies = [F.count(F.lit(1)).alias("copies")]
+    copies = F.expr("count(*) AS copies")
     if plan.empty:
-        by_value = long.groupBy("feature", F.lit(0).alias(SLICE), "value").agg(*copies)
-        targets = _targets(
-            by_value.groupBy("feature", SLICE).agg(F.sum("copies").alias("held")), probabilities
-        )
+        by_value = long.groupBy("feature", F.lit(0).alias(SLICE), "value").agg(copies)
+        held = by_value.groupBy("feature", SLICE).agg(F.expr("sum(copies) AS held"))
+        targets = _targets(held, probabilities)
     else:
         sliced = plan.locate(long)
-        targets = _targets(
-            sliced.groupBy("feature", SLICE).agg(F.count(F.lit(1)).alias("held")), probabilities
-        )
+        held = sliced.groupBy("feature", SLICE).agg(F.expr("count(*) AS held"))
+        targets = _targets(held, probabilities)
         wanted = F.broadcast(targets.select("feature", SLICE))
         by_value = (
             sliced.join(wanted, ["feature", SLICE], "left_semi")
             .groupBy("feature", SLICE, "value")
-            .agg(*copies)
+            .agg(copies)
         )
     return _interpolated(_values_at_ranks(by_value, targets), probabilities)
 
 
-def _targets(per_slice: DataFrame, probabilities: list[float]) -> DataFrame:
-    """(feature, slice, before, n, rank): where each wanted rank lies.
+def _literal(probabilities: list[float]) -> str:
+    return f"array({', '.join(f'{p!r}D' for p in probabilities)})"
+
+
+def _targets(held: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(feature, slice, before, n, rank): where the two ranks around each quantile lie.
 
     Two rows per probability and column, whatever the number of rows, so the callers may broadcast
     it. A column has at most SLICES_PER_COLUMN * 2 slices, so the windows stay small.
     """
-    in_order = Window.partitionBy("feature").orderBy(SLICE)
-    whole = Window.partitionBy("feature")
-    ranked = per_slice.select(
-        "feature",
-        SLICE,
-        "held",
-        (F.sum("held").over(in_order) - F.col("held")).alias("before"),
-        F.sum("held").over(whole).alias("n"),
-    ).withColumn("ranks", _wanted_ranks(F.col("n"), probabilities))
-    rank = F.col("rank")
+    pairs = (
+        f"transform({_literal(probabilities)}, p -> array(floor((n - 1) * p), "
+        "least(floor((n - 1) * p) + 1, n - 1)))"
+    )
     return (
-        ranked.withColumn("rank", F.explode("ranks"))
-        .filter((rank >= F.col("before")) & (rank < F.col("before") + F.col("held")))
-        .drop("held", "ranks")
+        held.selectExpr(
+            "feature",
+            SLICE,
+            "held",
+            f"sum(held) OVER (PARTITION BY feature ORDER BY {SLICE}) - held AS before",
+            "sum(held) OVER (PARTITION BY feature) AS n",
+        )
+        .selectExpr("*", f"explode(array_distinct(flatten({pairs}))) AS rank")
+        .filter("rank >= before AND rank < before + held")
+        .drop("held")
     )
 
 
 def _values_at_ranks(by_value: DataFrame, targets: DataFrame) -> DataFrame:
     """(feature, n, rank, value) for every wanted rank."""
-    within = Window.partitionBy("feature", SLICE).orderBy("value")
-    running = by_value.withColumn("upto", F.sum("copies").over(within))
-    end = F.col("before") + F.col("upto")
-    here = (F.col("rank") < end) & (F.col("rank") >= end - F.col("copies"))
-    slot = targets.withColumnsRenamed({"feature": "__feature", SLICE: "__target"})
-    same_slice = (F.col("feature") == F.col("__feature")) & (F.col(SLICE) == F.col("__target"))
-    return running.join(F.broadcast(slot), same_slice & here).select(
-        "feature", "n", "rank", "value"
+    running = by_value.selectExpr(
+        "*", f"sum(copies) OVER (PARTITION BY feature, {SLICE} ORDER BY value) AS upto"
+    )
+    here = F.expr(
+        f"v.feature = t.feature AND v.{SLICE} = t.{SLICE} "
+        "AND rank < before + upto AND rank >= before + upto - copies"
+    )
+    return (
+        running.alias("v")
+        .join(F.broadcast(targets.alias("t")), here)
+        .select("v.feature", "n", "rank", "value")
     )
 
 
 def _interpolated(at_ranks: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Between the two ranks, from the nearer one, which is exact at both ends."""
     # Two ranks per probability.
-    by_rank = F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
-    return (
-        at_ranks.groupBy("feature", "n")
-        .agg(by_rank)
-        .select(
-            "feature",
-            "n",
-            F.transform(
-                _literal(probabilities), lambda p: _between(F.col("at"), F.col("n"), p)
-            ).alias("quantiles"),
-        )
+    pairs = at_ranks.groupBy("feature", "n").agg(
+        F.expr("map_from_entries(collect_list(struct(rank, value))) AS at")
     )
+    ends = (
+        f"transform({_literal(probabilities)}, p -> struct("
+        "(n - 1) * p - floor((n - 1) * p) AS along, at[floor((n - 1) * p)] AS low, "
+        "at[least(floor((n - 1) * p) + 1, n - 1)] AS high))"
+    )
+    between = (
+        "if(e.along < 0.5, e.low + (e.high - e.low) * e.along, "
+        "e.high - (e.high - e.low) * (1 - e.along))"
+    )
+    return pairs.selectExpr("feature", "n", f"transform({ends}, e -> {between}) AS quantiles")
 
 
 def sketched_quantiles(
@@ -134,30 +142,3 @@ def sketched_quantiles(
             F.percentile_approx("value", probabilities, accuracy).alias("quantiles"),
         )
     )
-
-
-def _literal(probabilities: list[float]) -> Column:
-    return F.array(*[F.lit(p) for p in probabilities])
-
-
-def _rank_below(n: Column, p: Column) -> Column:
-    return F.floor((n - 1) * p)
-
-
-def _rank_above(n: Column, p: Column) -> Column:
-    return F.least(_rank_below(n, p) + 1, n - 1)
-
-
-def _wanted_ranks(n: Column, probabilities: list[float]) -> Column:
-    pairs = F.transform(
-        _literal(probabilities), lambda p: F.array(_rank_below(n, p), _rank_above(n, p))
-    )
-    return F.array_distinct(F.flatten(pairs))
-
-
-def _between(at: Column, n: Column, p: Column) -> Column:
-    """Interpolate from the nearer end, which is exact at both ends."""
-    low, high = at[_rank_below(n, p)], at[_rank_above(n, p)]
-    along = (n - 1) * p - _rank_below(n, p)
-    step = high - low
-    return F.when(along < 0.5, low + step * along).otherwise(high - step * (1 - along))

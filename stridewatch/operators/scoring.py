@@ -41,7 +41,9 @@ def stamp_lineage(df: DataFrame, model_name: str, version: int, run_id: str) ->
 
 def stamp_lineage_from(df: DataFrame, champion: DataFrame) -> DataFrame:
     """The same from a one-row frame (model_name, model_version, model_run_id)."""
-    return df.crossJoin(F.broadcast(champion.limit(1)))
+    names = ["model_name", "model_version", "model_run_id"]
+    held = champion.select(F.struct(*names)).scalar()
+    return df.withColumn("__champion", held).select(*df.columns, "__champion.*")
 
 
 def score(model: PipelineModel, batch: DataFrame, keep: list[str], output_col: str) -> DataFrame:

@@ -32,7 +32,7 @@ SLICE = "__slice"
 _CUTS = "__cuts"
 _AT = "__at"
 SAMPLES_PER_SLICE = 16
-MAX_SLICES = 4096
+MAX_SLICES = 65_536
 SEED = 20_011
 
 
@@ -47,12 +47,17 @@ class SlicePlan:
     def empty(self) -> bool:
         return self.bounds is None
 
+    def slices(self) -> DataFrame:
+        """Every slice of every hot key, also those that hold no row."""
+        last = F.size(_CUTS) * 2
+        return self.bounds.select(*self.keys, F.explode(F.sequence(F.lit(0), last)).alias(SLICE))
+
     def locate(self, df: DataFrame, *, only_hot: bool = False) -> DataFrame:
         """Add the slice number; keys without bounds get 0 (or drop out, if only_hot)."""
         if self.empty:
             at_zero = df.withColumn(SLICE, F.lit(0))
             return at_zero.filter(F.lit(False)) if only_hot else at_zero
-        # At most MAX_SLICES entries in all, so the broadcast size does not grow with the data.
+        # About max_slices entries in all, so the broadcast size does not grow with the data.
         joined = join_null_safe(
             df, F.broadcast(self.bounds), self.keys, "inner" if only_hot else "left"
         )

@@ -630,10 +630,10 @@ def psi_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, never = F.col("o_totalprice"), F.lit(None).cast("double")
     # The cheapest order is a reference or a current row; either way fewer than ten values.
     cheapest = orders.agg(F.min("o_totalprice").alias("low"))
-    shaped = orders.crossJoin(F.broadcast(cheapest)).select(
+    shaped = orders.select(
         is_ref.alias("is_ref"),
         F.lit(1.0).alias("constant"),
-        F.when(price == F.col("low"), price).alias("few_values"),
+        F.when(price == cheapest.scalar(), price).alias("few_values"),
         F.when(is_ref, price).alias("only_reference"),
         never.alias("never"),
         F.when(is_ref, price).otherwise(price + 1e9).alias("far_apart"),

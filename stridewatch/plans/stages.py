@@ -112,7 +112,10 @@ def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
         holdout_subjects=settings.holdout_subjects,
     )
     overwrite_table(
-        plan.withColumn("generated_at", F.current_timestamp()), settings.at("gold_features")
+        plan.withColumn("generated_at", F.current_timestamp()),
+        settings.at("gold_features"),
+        # Training, scoring and monitoring each read one split.
+        partition_by=["split"],
     )
     gold = spark.read.parquet(settings.at("gold_features"))
     quality.enforce(gold_contract(gold, settings))
@@ -168,22 +171,19 @@ def train(spark: SparkSession, settings: Settings) -> str:
     counts = metrics.confusion(scored, "activity_id", PREDICTION)
     measured = (
         metrics.evaluation(counts)
-        .crossJoin(
-            gold.agg(
-                F.count_if(F.col("split") == "train").alias("train_rows"),
-                F.count_if(F.col("split") == "holdout").alias("holdout_rows"),
-            )
-        )
         .select(
             F.col("macro_f1").alias("holdout_macro_f1"),
             F.col("weighted_f1").alias("holdout_weighted_f1"),
             F.col("accuracy").alias("holdout_accuracy"),
-            "train_rows",
-            "holdout_rows",
+            profile.sample_sizes(fit_on, hold).select(F.struct("*")).scalar().alias("sizes"),
             F.lit(len(inputs)).alias("n_features"),
+            profile.provenance_list(fit_on, "subject_id").scalar().alias("train_subjects"),
+            profile.provenance_list(hold, "subject_id").scalar().alias("holdout_subjects"),
+        )
+        .withColumns(
+            {"train_rows": F.col("sizes.reference_rows"), "holdout_rows": F.col("sizes.current_rows")}
         )
-        .crossJoin(profile.provenance_list(fit_on, "subject_id", name="train_subjects"))
-        .crossJoin(profile.provenance_list(hold, "subject_id", name="holdout_subjects"))
+        .drop("sizes")
     )
     tags = {
         "train_subjects": F.col("train_subjects"),
