@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import SEED, SLICE, plan_slices
+from .slices import SEED, SLICE, SlicePlan, plan_slices
 
 ROWS_PER_SLICE = 1_000_000
 SLICES_PER_COLUMN = 1024
@@ -38,18 +38,23 @@ def exact_quantiles(
 ) -> DataFrame:
     """(feature, n, quantiles) per column with at least one observed value."""
     long = long_form(df, columns)
-    plan = plan_slices(
-        long,
-        ["feature"],
-        ["value"],
-        rows_per_slice=rows_per_slice,
-        max_slices=SLICES_PER_COLUMN * len(columns),
-        total=df.count() * len(columns),
-        # Draw whole rows, then unpivot: far fewer rows to draw from.
-        sample=lambda part: long_form(
-            df.select(*columns).sample(fraction=part, seed=SEED), columns
-        ),
-    )
+    rows = df.count()
+    if rows <= rows_per_slice:
+        # No column can have more values than that.
+        plan = SlicePlan.whole(["feature"], ["value"])
+    else:
+        plan = plan_slices(
+            long,
+            ["feature"],
+            ["value"],
+            rows_per_slice=rows_per_slice,
+            max_slices=SLICES_PER_COLUMN * len(columns),
+            total=rows * len(columns),
+            # Draw whole rows, then unpivot: far fewer rows to draw from.
+            sample=lambda part: long_form(
+                df.select(*columns).sample(fraction=part, seed=SEED), columns
+            ),
+        )
     copies = F.expr("count(*) AS copies")
     if plan.empty:
         by_value = long.groupBy("feature", F.lit(0).alias(SLICE), "value").agg(copies)

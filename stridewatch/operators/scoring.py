@@ -50,7 +50,9 @@ def score(model: PipelineModel, batch: DataFrame, keep: list[str], output_col: s
     """Keys and prediction; only the model's inputs are read besides the keys."""
     needed = list(dict.fromkeys([*keep, *model_inputs(model)]))
     scored = model.transform(batch.select(*needed))
-    return scored.select(*keep, F.col("predicted_label").cast("long").alias(output_col))
+    # The model names its classes as text; a class that was a double reads like "5.0".
+    label = F.col("predicted_label").cast("double").cast("long")
+    return scored.select(*keep, label.alias(output_col))
 
 
 def score_in_batches(

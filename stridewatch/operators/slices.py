@@ -43,6 +43,11 @@ class SlicePlan:
     bounds: DataFrame | None  # keys + ascending array of positions; None when no key is hot
     longest: int  # entries in the longest array
 
+    @classmethod
+    def whole(cls, keys: list[str], position: list[str]) -> SlicePlan:
+        """No cuts: every key is one slice."""
+        return cls(keys, position, None, 0)
+
     @property
     def empty(self) -> bool:
         return self.bounds is None
@@ -105,7 +110,7 @@ def plan_slices(
     most about ``max_slices`` positions. A caller that derives ``df`` from something cheaper to
     count or to sample passes ``total`` (rows) and ``sample`` (fraction -> rows).
     """
-    unsliced = SlicePlan(keys, position, None, 0)
+    unsliced = SlicePlan.whole(keys, position)
     if total is None:
         total = df.count()
     wanted = min(max_slices, math.ceil(total / rows_per_slice))

@@ -23,7 +23,7 @@ def _index(at: Column, size: int, offset: int) -> Column:
     # pmod, not %, so that times before the offset floor downwards.
     shifted = at - F.lit(offset).cast("long")
     width = F.lit(size).cast("long")
-    return ((shifted - F.pmod(shifted, width)) / width).cast("long")
+    return F.call_function("div", shifted - F.pmod(shifted, width), width)
 
 
 def assign_overlapping_windows(
