@@ -12,6 +12,8 @@ from .quantiles import (
     evenly_spaced,
     exact_quantiles,
     long_form,
+    name_of_feature,
+    place_of_feature,
     sketched_quantiles,
 )
 
@@ -49,15 +51,17 @@ def histogram_by_edges(
     bins: int = BINS,
 ) -> DataFrame:
     """(feature, bin, n_ref, n_cur). The outer bins are open, so bin = inner edges <= value."""
-    return _histogram(reference, current, features, edges, bins).drop("edge_count")
+    counted = _histogram(reference, current, features, edges, bins)
+    return counted.selectExpr(name_of_feature(features), "bin", "n_ref", "n_cur")
 
 
 def _histogram(
     reference: DataFrame, current: DataFrame, features: list[str], edges: DataFrame, bins: int
 ) -> DataFrame:
+    # The feature column is its place in the list here; see long_form.
     # slice() rejects a negative length, and fewer than three edges have no inner edge.
     inner = edges.selectExpr(
-        "feature",
+        place_of_feature(features),
         "size(edges) AS edge_count",
         "if(size(edges) >= 3, slice(edges, 2, size(edges) - 2), array()) AS inner",
     )
@@ -109,9 +113,11 @@ def psi(
         F.expr(f"sum({term}) AS total")
     )
     # Every requested feature gets a row, also one without a single observed value.
-    named = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    return named.join(summed, "feature", "left").selectExpr(
-        "feature",
+    every = reference.sparkSession.createDataFrame(
+        [(i,) for i in range(len(features))], "feature int"
+    )
+    return every.join(summed, "feature", "left").selectExpr(
+        name_of_feature(features),
         f"if(all_ref >= {bins} AND all_cur > 0 AND edge_count >= 3, total, double('NaN')) AS psi",
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import SEED, SLICE, SlicePlan, plan_slices
+from .slices import SEED, SLICE, plan_slices
 
 ROWS_PER_SLICE = 1_000_000
 SLICES_PER_COLUMN = 1024
@@ -23,12 +23,29 @@ def evenly_spaced(bins: int) -> list[float]:
 
 
 def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows (feature, value) for every observed value of the named columns."""
-    values = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS `{c}`" for c in columns])
-    long = values.unpivot([], columns, "feature", "value")
+    """Rows (feature, value) for every observed value; ``feature`` is the place in ``columns``.
+
+    An array and its positions, not ``unpivot``: for hundreds of columns the generated code of an
+    expand is too long for the JVM to compile, and a number is a cheaper key than a name.
+    """
+    values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    long = df.selectExpr(f"posexplode(array({values})) AS (feature, value)")
     return long.filter("value IS NOT NULL AND NOT isnan(value)")
 
 
+def _names(columns: list[str]) -> str:
+    quoted = [c.replace("\\", "\\\\").replace("'", "\\'") for c in columns]
+    return "array({})".format(", ".join(f"'{c}'" for c in quoted))
+
+
+def name_of_feature(columns: list[str]) -> str:
+    return f"element_at({_names(columns)}, feature + 1) AS feature"
+
+
+def place_of_feature(columns: list[str]) -> str:
+    return f"CAST(array_position({_names(columns)}, feature) - 1 AS INT) AS feature"
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
@@ -39,10 +56,8 @@ def exact_quantiles(
     """(feature, n, quantiles) per column with at least one observed value."""
     long = long_form(df, columns)
     rows = df.count()
-    if rows <= rows_per_slice:
-        # No column can have more values than that.
-        plan = SlicePlan.whole(["feature"], ["value"])
-    else:
+    plan = None
+    if rows > rows_per_slice:
         plan = plan_slices(
             long,
             ["feature"],
@@ -50,27 +65,23 @@ def exact_quantiles(
             rows_per_slice=rows_per_slice,
             max_slices=SLICES_PER_COLUMN * len(columns),
             total=rows * len(columns),
-            # Draw whole rows, then unpivot: far fewer rows to draw from.
+            # Draw whole rows, then their values: far fewer rows to draw from.
             sample=lambda part: long_form(
                 df.select(*columns).sample(fraction=part, seed=SEED), columns
             ),
         )
-    copies = F.expr("count(*) AS copies")
-    if plan.empty:
-        by_value = long.groupBy("feature", F.lit(0).alias(SLICE), "value").agg(copies)
-        held = by_value.groupBy("feature", SLICE).agg(F.expr("sum(copies) AS held"))
-        targets = _targets(held, probabilities)
-    else:
-        sliced = plan.locate(long)
-        held = sliced.groupBy("feature", SLICE).agg(F.expr("count(*) AS held"))
-        targets = _targets(held, probabilities)
-        wanted = F.broadcast(targets.select("feature", SLICE))
-        by_value = (
-            sliced.join(wanted, ["feature", SLICE], "left_semi")
-            .groupBy("feature", SLICE, "value")
-            .agg(copies)
+    if plan is None or plan.empty:
+        # No column has more than rows_per_slice values, so a column fits one array.
+        at_rank = (
+            long.groupBy("feature")
+            .agg(F.expr("sort_array(collect_list(value)) AS at"))
+            .selectExpr("feature", "CAST(size(at) AS BIGINT) AS n", "at")
         )
-    return _interpolated(_values_at_ranks(by_value, targets), probabilities)
+        found = _interpolated(at_rank, probabilities, "get(at, CAST({rank} AS INT))")
+    else:
+        at_rank = _values_at_ranks(plan.locate(long), probabilities)
+        found = _interpolated(at_rank, probabilities, "at[{rank}]")
+    return found.selectExpr(name_of_feature(columns), "n", "quantiles")
 
 
 def _literal(probabilities: list[float]) -> str:
@@ -101,10 +112,18 @@ def _targets(held: DataFrame, probabilities: list[float]) -> DataFrame:
     )
 
 
-def _values_at_ranks(by_value: DataFrame, targets: DataFrame) -> DataFrame:
-    """(feature, n, rank, value) for every wanted rank."""
-    running = by_value.selectExpr(
-        "*", f"sum(copies) OVER (PARTITION BY feature, {SLICE} ORDER BY value) AS upto"
+def _values_at_ranks(sliced: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(feature, n, at): ``at`` maps every wanted rank to its value."""
+    held = sliced.groupBy("feature", SLICE).agg(F.expr("count(*) AS held"))
+    targets = _targets(held, probabilities)
+    wanted = F.broadcast(targets.select("feature", SLICE))
+    running = (
+        sliced.join(wanted, ["feature", SLICE], "left_semi")
+        .groupBy("feature", SLICE, "value")
+        .agg(F.expr("count(*) AS copies"))
+        .selectExpr(
+            "*", f"sum(copies) OVER (PARTITION BY feature, {SLICE} ORDER BY value) AS upto"
+        )
     )
     here = F.expr(
         f"v.feature = t.feature AND v.{SLICE} = t.{SLICE} "
@@ -113,26 +132,25 @@ def _values_at_ranks(by_value: DataFrame, targets: DataFrame) -> DataFrame:
     return (
         running.alias("v")
         .join(F.broadcast(targets.alias("t")), here)
-        .select("v.feature", "n", "rank", "value")
+        .groupBy("v.feature", "n")
+        # Two ranks per probability.
+        .agg(F.expr("map_from_entries(collect_list(struct(rank, value))) AS at"))
     )
 
 
-def _interpolated(at_ranks: DataFrame, probabilities: list[float]) -> DataFrame:
+def _interpolated(at_rank: DataFrame, probabilities: list[float], lookup: str) -> DataFrame:
     """Between the two ranks, from the nearer one, which is exact at both ends."""
-    # Two ranks per probability.
-    pairs = at_ranks.groupBy("feature", "n").agg(
-        F.expr("map_from_entries(collect_list(struct(rank, value))) AS at")
-    )
+    low = lookup.format(rank="floor((n - 1) * p)")
+    high = lookup.format(rank="least(floor((n - 1) * p) + 1, n - 1)")
     ends = (
         f"transform({_literal(probabilities)}, p -> struct("
-        "(n - 1) * p - floor((n - 1) * p) AS along, at[floor((n - 1) * p)] AS low, "
-        "at[least(floor((n - 1) * p) + 1, n - 1)] AS high))"
+        f"(n - 1) * p - floor((n - 1) * p) AS along, {low} AS low, {high} AS high))"
     )
     between = (
         "if(e.along < 0.5, e.low + (e.high - e.low) * e.along, "
         "e.high - (e.high - e.low) * (1 - e.along))"
     )
-    return pairs.selectExpr("feature", "n", f"transform({ends}, e -> {between}) AS quantiles")
+    return at_rank.selectExpr("feature", "n", f"transform({ends}, e -> {between}) AS quantiles")
 
 
 def sketched_quantiles(
@@ -146,4 +164,5 @@ def sketched_quantiles(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx("value", probabilities, accuracy).alias("quantiles"),
         )
+        .selectExpr(name_of_feature(columns), "n", "quantiles")
     )

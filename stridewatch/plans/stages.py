@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, drift, features, metrics, profile, quality, registry, scoring
 from ..operators import training
-from ..session import tune
+from ..session import wide_code_generation
 from ..sources import (
     append_history,
     overwrite_table,
@@ -101,7 +101,6 @@ def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
 
 def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
     """``bronze_readings`` to ``gold_features``; returns the profile per split."""
-    tune(spark)
     bronze = spark.read.parquet(settings.at("bronze_readings"))
     plan = feature_plan(
         bronze,
@@ -113,12 +112,10 @@ def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
         train_subjects=settings.train_subjects,
         holdout_subjects=settings.holdout_subjects,
     )
-    overwrite_table(
-        plan.withColumn("generated_at", F.current_timestamp()),
-        settings.at("gold_features"),
+    stamped = plan.withColumn("generated_at", F.current_timestamp())
+    with wide_code_generation(spark):
         # Training, scoring and monitoring each read one split.
-        partition_by=["split"],
-    )
+        overwrite_table(stamped, settings.at("gold_features"), partition_by=["split"])
     gold = spark.read.parquet(settings.at("gold_features"))
     quality.enforce(gold_contract(gold, settings))
     return profile.split_profile(gold)
@@ -159,7 +156,6 @@ def gold_contract(gold: DataFrame, settings: Settings) -> DataFrame:
 
 def train(spark: SparkSession, settings: Settings) -> str:
     """Fit, evaluate on the holdout and record the run; returns its id."""
-    tune(spark)
     gold = spark.read.parquet(settings.at("gold_features"))
     fit_on, hold = gold.filter("split = 'train'"), gold.filter("split = 'holdout'")
     inputs = features.feature_columns(gold, GOLD_IDS)
@@ -278,7 +274,6 @@ def champion_of(spark: SparkSession, settings: Settings) -> Row:
 
 def score_batch(spark: SparkSession, settings: Settings, split: str = "holdout") -> DataFrame:
     """Append the champion's predictions; returns the summary of its history."""
-    tune(spark)
     champion = champion_of(spark, settings)
     batch = spark.read.parquet(settings.at("gold_features")).filter(F.col("split") == split)
     scoring.require_inputs(batch, [(i["name"], i["type"]) for i in champion.inputs])
@@ -294,7 +289,6 @@ def score_batch(spark: SparkSession, settings: Settings, split: str = "holdout")
 
 def monitor(spark: SparkSession, settings: Settings, split: str = "holdout") -> Row:
     """Append the drift report and return it; raises on degraded performance."""
-    tune(spark)
     champion = champion_of(spark, settings)
     gold = spark.read.parquet(settings.at("gold_features"))
     predictions = read_history(spark, settings.at("predictions")).filter(

@@ -1,22 +1,30 @@
 """Session settings, and sessions for tests and local runs. On a cluster, bring your own."""
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 WIDE_ROW_FIELDS = 1000
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Keep wide rows in generated code.
+@contextmanager
+def wide_code_generation(spark: SparkSession) -> Iterator[None]:
+    """Keep an aggregation of wide rows in generated code while an action runs.
 
     Spark leaves whole-stage code generation for rows of more than 100 fields. A window has 205
     columns and about 400 aggregation buffers, and its aggregation runs several times faster in
-    generated code.
+    generated code. Elsewhere the limit is right: code that also unpacks hundreds of columns grows
+    too long for the JVM to compile.
     """
-    if int(spark.conf.get("spark.sql.codegen.maxFields")) < WIDE_ROW_FIELDS:
-        spark.conf.set("spark.sql.codegen.maxFields", str(WIDE_ROW_FIELDS))
-    return spark
+    key = "spark.sql.codegen.maxFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), WIDE_ROW_FIELDS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def local_session(app_name: str, cpus: int | None = None, **conf: str) -> SparkSession:
@@ -33,4 +41,4 @@ def local_session(app_name: str, cpus: int | None = None, **conf: str) -> SparkS
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    return spark
