@@ -17,6 +17,7 @@ from .quantiles import (
     sketched_quantiles,
 )
 
+# The limits of the bands and the defaults of the monitor.
 PSI_MODERATE = 0.10
 PSI_SIGNIFICANT = 0.25
 PROPORTION_FLOOR = 1e-6

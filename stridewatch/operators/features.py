@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Sampling rate, window length and the share of samples a window needs.
 SAMPLE_HZ = 100
 WINDOW_SECONDS = 5.12
 COMPLETENESS = 0.9

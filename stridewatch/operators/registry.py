@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import at_least
 
+# Alias names, gate limits and the metric they apply to.
 CHAMPION = "champion"
 CHALLENGER = "challenger"
 ABSOLUTE_FLOOR = 0.75
@@ -137,6 +138,7 @@ def gate_tags(
     regression_tolerance: float = REGRESSION_TOLERANCE,
 ) -> DataFrame:
     """(model_name, version, key, value): the decision as text, one row per tag."""
+    # The tag keys.
     fixed: dict[str, Column] = {
         "gate_passed": F.col("passed").cast("string"),
         "gate_metric": F.lit(metric),

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 WINDOW_KEYS = ["subject_id", "win", "phase"]
 
@@ -63,8 +64,7 @@ def score_in_batches(
     output_col: str,
 ) -> DataFrame:
     """Score with any Python model. ``load`` runs once per task and returns its predict function."""
-    kept = batch.select(*keep)
-    schema = kept.schema.add(output_col, "long")
+    schema = StructType([*(batch.schema[c] for c in keep), StructField(output_col, LongType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()

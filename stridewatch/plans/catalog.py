@@ -283,6 +283,25 @@ QUERIES["forward_fill"] = QUERIES.pop("forward_filled")
 ORACLE["forward_fill"] = ORACLE.pop("forward_filled")
 
 
+@query(
+    f"""WITH {READINGS_SQL}
+SELECT event_id, last_value(slow IGNORE NULLS) OVER (PARTITION BY activity_id ORDER BY ts, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS slow_filled
+FROM readings"""
+)
+def forward_fill_hot_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five groups hold all rows, so each is cut into slices."""
+    filled = forward_fill(
+        readings(spark, sf_dir),
+        "slow",
+        partition_cols=["activity_id"],
+        order_col="ts",
+        tie_col="event_id",
+        rows_per_slice=500,
+    )
+    return filled.select("event_id", "slow_filled")
+
+
 @query(
     f"WITH {READINGS_SQL}, {windowed_sql('readings', 1)} SELECT event_id, win, phase FROM windowed"
 )
@@ -580,6 +599,15 @@ def quantile_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(listed.withColumn("edge_no", F.col("edge_no").cast("long")), "edge")
 
 
+@query(ORACLE["quantile_edges"])
+def quantile_edges_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same edges by the way that large tables take."""
+    reference, _ = line_sides(spark, sf_dir)
+    edges = drift.quantile_edges(reference, LINE_FEATURES, rows_per_slice=5_000)
+    listed = edges.select("feature", "n", F.posexplode("edges").alias("edge_no", "edge"))
+    return rounded(listed.withColumn("edge_no", F.col("edge_no").cast("long")), "edge")
+
+
 @query(
     f"""WITH {SIDES_SQL}, {HISTOGRAM_SQL}
 SELECT feature, CAST(bin AS INTEGER) AS bin, CAST(n_ref AS BIGINT) AS n_ref,
@@ -1102,17 +1130,17 @@ def contract_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on most of the vectors, save and reload the model, score the rest with lineage."""
+    """Fit on the training split, save and reload the model, score every vector with lineage."""
     width = 64
     vectors = table(spark, sf_dir, "embeddings").select(
         "vec_id",
         "label",
-        (F.col("vec_id") % 4 == 0).alias("held_out"),
+        F.when(F.col("vec_id") % 4 == 0, "holdout").otherwise("train").alias("split"),
         *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(width)],
     )
     inputs = [f"x{i}" for i in range(width)]
     model = training.train_classifier(
-        vectors.filter(~F.col("held_out")),
+        vectors.filter("split = 'train'"),
         inputs,
         "label",
         params={"numTrees": 20, "maxDepth": 5, "seed": 42},
@@ -1120,7 +1148,5 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "model")
     model.write().save(path)
     loaded = training.PipelineModel.load(path)
-    scored = scoring.score(
-        loaded, vectors.filter("held_out"), ["vec_id", "label"], "predicted_label_id"
-    )
+    scored = scoring.score(loaded, vectors, ["vec_id", "label", "split"], "predicted_label_id")
     return scoring.stamp_lineage(scored, "vector-model", 1, "run-1")

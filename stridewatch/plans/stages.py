@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -50,7 +50,7 @@ class Settings:
     sample_hz: int = features.SAMPLE_HZ
     completeness: float = features.COMPLETENESS
     boosted: bool = False
-    params: dict = field(default_factory=lambda: dict(training.FOREST))
+    params: dict | None = None  # of the trees; None takes the defaults
     floor: float = registry.ABSOLUTE_FLOOR
     regression_tolerance: float = registry.REGRESSION_TOLERANCE
     performance_tolerance: float = drift.PERFORMANCE_TOLERANCE
@@ -59,6 +59,10 @@ class Settings:
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @property
+    def tree_params(self) -> dict:
+        return self.params or (training.BOOSTED if self.boosted else training.FOREST)
+
     @property
     def expected_samples(self) -> int:
         return int(self.sample_hz * self.window_seconds)
@@ -88,11 +92,9 @@ def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
                     quality.not_empty(),
                     quality.null_rate_between("heart_rate", *settings.slow_null_rate),
                     quality.no_row("no transient activity", F.col("activity_id") == 0),
+                    quality.distinct_exactly("subject_id", settings.expected_subjects),
                 ],
             ),
-            quality.check(
-                bronze, [quality.distinct_exactly("subject_id", settings.expected_subjects)]
-            ),
             quality.require_columns(bronze, ["subject_id", "activity_id"], "orient_"),
         )
     )
@@ -160,7 +162,7 @@ def train(spark: SparkSession, settings: Settings) -> str:
     fit_on, hold = gold.filter("split = 'train'"), gold.filter("split = 'holdout'")
     inputs = features.feature_columns(gold, GOLD_IDS)
     model = training.train_classifier(
-        fit_on, inputs, "activity_id", boosted=settings.boosted, params=settings.params
+        fit_on, inputs, "activity_id", boosted=settings.boosted, params=settings.tree_params
     )
     run_id = uuid.uuid4().hex
     path = settings.at(f"models/{run_id}")
@@ -192,7 +194,7 @@ def train(spark: SparkSession, settings: Settings) -> str:
         "model_path": path,
     }
     numbers = [c for c in measured.columns if not c.endswith("_subjects")]
-    record = training.run_record(run_id, settings.params, measured, tags, metric_cols=numbers)
+    record = training.run_record(run_id, settings.tree_params, measured, tags, metric_cols=numbers)
     append_history(record, settings.at("runs"))
     report = metrics.classification_report(counts).withColumn("run_id", F.lit(run_id))
     append_history(report, settings.at("run_reports"))
