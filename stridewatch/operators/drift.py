@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import at_least, observed, under, with_count_at_or_below
 from .metrics import confusion, per_class
 from .quantiles import (
-    ROWS_PER_SLICE,
+    ROWS_IN_ARRAY,
     evenly_spaced,
     exact_quantiles,
     long_form,
@@ -31,7 +31,7 @@ def quantile_edges(
     bins: int = BINS,
     *,
     approximate: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_in_array: int = ROWS_IN_ARRAY,
 ) -> DataFrame:
     """(feature, n, edges): distinct quantiles of the reference, in ascending order."""
     probabilities = evenly_spaced(bins)
@@ -39,7 +39,7 @@ def quantile_edges(
         found = sketched_quantiles(reference, features, probabilities)
     else:
         found = exact_quantiles(
-            reference, features, probabilities, rows_per_slice=rows_per_slice
+            reference, features, probabilities, rows_in_array=rows_in_array
         )
     return found.select("feature", "n", F.array_distinct("quantiles").alias("edges"))
 
@@ -94,7 +94,7 @@ def psi(
     bins: int = BINS,
     *,
     approximate: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_in_array: int = ROWS_IN_ARRAY,
 ) -> DataFrame:
     """(feature, psi) for every named column at once.
 
@@ -102,7 +102,7 @@ def psi(
     fewer than three distinct edges. A zero would look like "no drift".
     """
     edges = quantile_edges(
-        reference, features, bins, approximate=approximate, rows_per_slice=rows_per_slice
+        reference, features, bins, approximate=approximate, rows_in_array=rows_in_array
     )
     totals = _histogram(reference, current, features, edges, bins).selectExpr(
         "*",
@@ -232,7 +232,7 @@ def drift_report(
     prediction_col: str = "predicted_activity_id",
     bins: int = BINS,
     performance_tolerance: float = PERFORMANCE_TOLERANCE,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_in_array: int = ROWS_IN_ARRAY,
     feature_psi: DataFrame | None = None,
 ) -> DataFrame:
     """The monitoring row, without its load time.
@@ -241,7 +241,7 @@ def drift_report(
     counts, prediction drift and realised F1 come from one label x prediction table.
     """
     if feature_psi is None:
-        feature_psi = psi(reference, current, features, bins, rows_per_slice=rows_per_slice)
+        feature_psi = psi(reference, current, features, bins, rows_in_array=rows_in_array)
     bands = psi_bands(feature_psi).drop("features_compared")
     outcome = confusion(current, label_col, prediction_col)
     n = F.col("n")

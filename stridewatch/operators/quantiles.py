@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .slices import SEED, SLICE, plan_slices
 
-ROWS_PER_SLICE = 1_000_000
+ROWS_IN_ARRAY = 500_000
 SLICES_PER_COLUMN = 1024
 
 
@@ -51,18 +51,26 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     *,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_in_array: int = ROWS_IN_ARRAY,
 ) -> DataFrame:
     """(feature, n, quantiles) per column with at least one observed value."""
     long = long_form(df, columns)
     rows = df.count()
-    plan = None
-    if rows > rows_per_slice:
+    if rows <= rows_in_array:
+        # Counted, so the values of a column fit one array.
+        at_rank = (
+            long.groupBy("feature")
+            .agg(F.expr("sort_array(collect_list(value)) AS at"))
+            .selectExpr("feature", "CAST(size(at) AS BIGINT) AS n", "at")
+        )
+        found = _interpolated(at_rank, probabilities, "get(at, CAST({rank} AS INT))")
+    else:
+        # Fine slices, so that only a few rows lie in a slice with a wanted rank.
         plan = plan_slices(
             long,
             ["feature"],
             ["value"],
-            rows_per_slice=rows_per_slice,
+            rows_per_slice=max(1, rows // SLICES_PER_COLUMN),
             max_slices=SLICES_PER_COLUMN * len(columns),
             total=rows * len(columns),
             # Draw whole rows, then their values: far fewer rows to draw from.
@@ -70,15 +78,6 @@ def exact_quantiles(
                 df.select(*columns).sample(fraction=part, seed=SEED), columns
             ),
         )
-    if plan is None or plan.empty:
-        # No column has more than rows_per_slice values, so a column fits one array.
-        at_rank = (
-            long.groupBy("feature")
-            .agg(F.expr("sort_array(collect_list(value)) AS at"))
-            .selectExpr("feature", "CAST(size(at) AS BIGINT) AS n", "at")
-        )
-        found = _interpolated(at_rank, probabilities, "get(at, CAST({rank} AS INT))")
-    else:
         at_rank = _values_at_ranks(plan.locate(long), probabilities)
         found = _interpolated(at_rank, probabilities, "at[{rank}]")
     return found.selectExpr(name_of_feature(columns), "n", "quantiles")

@@ -603,7 +603,7 @@ def quantile_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quantile_edges_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same edges by the way that large tables take."""
     reference, _ = line_sides(spark, sf_dir)
-    edges = drift.quantile_edges(reference, LINE_FEATURES, rows_per_slice=5_000)
+    edges = drift.quantile_edges(reference, LINE_FEATURES, rows_in_array=5_000)
     listed = edges.select("feature", "n", F.posexplode("edges").alias("edge_no", "edge"))
     return rounded(listed.withColumn("edge_no", F.col("edge_no").cast("long")), "edge")
 
