@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,9 +40,7 @@ def create_namespace(spark: SparkSession, name: str, comment: str = "") -> None:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach: under the cluster's checkpoint folder.
 
-    Where the session names none, as in local tests, it is a temporary folder of this machine.
+    Where the session names none, as in local tests, it is under the warehouse folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="stridewatch-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
