@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import shared_folder
-from . import packing, simple8b, token_counts
+from . import decontamination, exact_dedup, packing, simple8b, token_counts, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,31 @@ def op1_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.document_digests(simple8b.read_segments(spark, path))
 
 
+@query(
+    """WITH k AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g')) AS text_sha256
+  FROM documents),
+w AS (
+  SELECT text_sha256, count(*) AS group_size,
+         first(doc_id ORDER BY n DESC, doc_id NULLS LAST) AS keep_id
+  FROM k GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+FROM k JOIN w USING (text_sha256)"""
+)
+def op2_perfect_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query()
+def op3_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES, model)
+
+
 @query()
 def op6_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -48,3 +73,39 @@ def op7_digest_cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = shared_folder(spark, "token-cache")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, tokenizer, limit=1024)
+
+
+@query(
+    """WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+items AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+         unnest([array_to_string(w[i : i + least(len(w), 10) - 1], ' ')
+                 FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS win
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM items),
+places AS (
+  SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS start, w FROM d, sizes WHERE len(w) >= size),
+met AS (
+  SELECT doc_id, p.size, start, item_id FROM places p JOIN items i
+  ON p.size = i.size AND array_to_string(w[start : start + p.size - 1], ' ') = i.win),
+covered AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (
+    SELECT doc_id, unnest(range(start, start + size)) AS spot FROM (SELECT DISTINCT doc_id, size, start FROM met))
+  GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+)
+def op10_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(documents, benchmark, size=10)
