@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import shared_folder
-from . import decontamination, exact_dedup, packing, simple8b, token_counts, url_filter
+from . import decontamination, exact_dedup, packing, quality, simple8b, token_counts, toxicity, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +62,17 @@ def op3_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES, model)
 
 
+def fold(parts: int, number: int) -> Column:
+    """Documents whose crc32 of doc_id, as text, leaves ``number`` of ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == number
+
+
+@query()
+def op5_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.classify(documents, labels, held_out=fold(5, 0), threshold=0.5)
+
+
 @query()
 def op6_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -75,6 +87,12 @@ def op7_digest_cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, tokenizer, limit=1024)
 
 
+@query()
+def op9_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.classify(documents, labels, held_out=fold(4, 2), threshold=0.7)
+
+
 @query(
     """WITH d AS (
   SELECT doc_id, regexp_extract_all(
