@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import shared_folder
-from . import decontamination, exact_dedup, packing, quality, simple8b, token_counts, toxicity, url_filter
+from . import decontamination, exact_dedup, packing, quality, simple8b, substring_dedup, token_counts
+from . import toxicity, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +63,31 @@ def op3_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES, model)
 
 
+@query(
+    r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, start, sha256(array_to_string(w[start : start + 19], ' ')) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS start FROM d)),
+later AS (
+  SELECT doc_id, start FROM (
+    SELECT doc_id, start, row_number() OVER (PARTITION BY win ORDER BY doc_id, start) AS nth FROM places)
+  WHERE nth > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT spot) AS spots
+  FROM (SELECT doc_id, unnest(range(start, start + 20)) AS spot FROM later) GROUP BY doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM d),
+removed AS (SELECT DISTINCT doc_id, spot FROM (SELECT doc_id, unnest(spots) AS spot FROM gone)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS text
+  FROM words ANTI JOIN removed USING (doc_id, spot) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(spots), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+)
+def op4_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.dedup_passages(table(spark, sf_dir, "documents"), size=20))
+
+
 def fold(parts: int, number: int) -> Column:
     """Documents whose crc32 of doc_id, as text, leaves ``number`` of ``parts``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == number
