@@ -23,17 +23,16 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(texts: pa.Array, most_bytes: int = 8 << 20):
-    """(from, to) row ranges of a batch, each of one row or at most so many bytes of text."""
-    sizes = np.diff(text_offsets(texts))
+def slices(texts: pa.Array, most_bytes: int = 8 << 20, most_rows: int = 1 << 15):
+    """(from, to) row ranges of a batch, each of one row or within these limits."""
     start, total = 0, 0
-    for row, size in enumerate(sizes.tolist()):
-        if total and total + size > most_bytes:
+    for row, size in enumerate(np.diff(text_offsets(texts)).tolist()):
+        if row > start and (total + size > most_bytes or row - start == most_rows):
             yield start, row
             start, total = row, 0
         total += size
-    if len(sizes) > start:
-        yield start, len(sizes)
+    if len(texts) > start:
+        yield start, len(texts)
 
 
 def text_offsets(texts: pa.Array) -> np.ndarray:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import shared_folder
-from . import decontamination, exact_dedup, packing, quality, simple8b, substring_dedup, token_counts
-from . import toxicity, url_filter
+from . import decontamination, exact_dedup, near_dedup, packing, quality, simple8b, substring_dedup
+from . import token_counts, toxicity, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,11 @@ def op7_digest_cache_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), cache, tokenizer, limit=1024)
 
 
+@query()
+def op8_weighted_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
+
+
 @query()
 def op9_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
