@@ -108,3 +108,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         F.sha2(F.coalesce(F.concat_ws(",", "items"), F.lit("")), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """The rows of ``docs`` in which no test window stands, with all their columns."""
+    met = hits(docs, test_windows(benchmark, size), size)
+    gone = met.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(gone, same, "left_anti")

@@ -172,3 +172,20 @@ def classify(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.7, most_rows: int = MOST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with all their columns. Nothing is shuffled but the
+    training sample."""
+    model = train(*labelled_sample(docs, labels, "quality", ~held_out, most_rows))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def choose(batches):
+        for batch in batches:
+            texts = batch.column(at).fill_null("")
+            for lo, hi in slices(texts, SLICE_BYTES):
+                good = shared.value.score(texts.slice(lo, hi - lo)) >= threshold
+                yield batch.slice(lo, hi - lo).filter(pa.array(good))
+
+    return docs.mapInArrow(choose, docs.schema)
