@@ -5,8 +5,9 @@ threshold in this package goes through :func:`at_least` or :func:`under`, which
 and for null.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def observed(value: Column) -> Column:
@@ -18,6 +19,11 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def reading(value: Column) -> Column:
+    """The value of a number column where it is a reading, else null."""
+    return F.when(observed(value), value)
+
+
 def at_least(value: Column, limit) -> Column:
     return F.coalesce(observed(value) & (value >= limit), F.lit(False))
 
@@ -26,6 +32,13 @@ def under(value: Column, limit) -> Column:
     return F.coalesce(observed(value) & (value < limit), F.lit(False))
 
 
-def missing_rate(value: Column) -> Column:
-    """Aggregate: share of rows where the value is null."""
-    return F.avg(value.isNull().cast("int"))
+def is_missing(df: DataFrame, column: str) -> Column:
+    """True where a column has no reading: null, or NaN where the type knows NaN."""
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return ~observed(F.col(column))
+    return F.col(column).isNull()
+
+
+def missing_rate(df: DataFrame, column: str) -> Column:
+    """Aggregate: share of rows without a reading."""
+    return F.avg(is_missing(df, column).cast("int"))

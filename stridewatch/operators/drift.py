@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import at_least, observed, under, with_count_at_or_below
 from .metrics import confusion, per_class
 from .quantiles import (
-    ROWS_IN_ARRAY,
     evenly_spaced,
     exact_quantiles,
     long_form,
@@ -31,16 +30,13 @@ def quantile_edges(
     bins: int = BINS,
     *,
     approximate: bool = False,
-    rows_in_array: int = ROWS_IN_ARRAY,
 ) -> DataFrame:
     """(feature, n, edges): distinct quantiles of the reference, in ascending order."""
     probabilities = evenly_spaced(bins)
     if approximate:
         found = sketched_quantiles(reference, features, probabilities)
     else:
-        found = exact_quantiles(
-            reference, features, probabilities, rows_in_array=rows_in_array
-        )
+        found = exact_quantiles(reference, features, probabilities)
     return found.select("feature", "n", F.array_distinct("quantiles").alias("edges"))
 
 
@@ -94,16 +90,13 @@ def psi(
     bins: int = BINS,
     *,
     approximate: bool = False,
-    rows_in_array: int = ROWS_IN_ARRAY,
 ) -> DataFrame:
     """(feature, psi) for every named column at once.
 
     NaN where no comparison is possible: fewer reference values than bins, no current value, or
     fewer than three distinct edges. A zero would look like "no drift".
     """
-    edges = quantile_edges(
-        reference, features, bins, approximate=approximate, rows_in_array=rows_in_array
-    )
+    edges = quantile_edges(reference, features, bins, approximate=approximate)
     totals = _histogram(reference, current, features, edges, bins).selectExpr(
         "*",
         "sum(n_ref) OVER (PARTITION BY feature) AS all_ref",
@@ -232,7 +225,6 @@ def drift_report(
     prediction_col: str = "predicted_activity_id",
     bins: int = BINS,
     performance_tolerance: float = PERFORMANCE_TOLERANCE,
-    rows_in_array: int = ROWS_IN_ARRAY,
     feature_psi: DataFrame | None = None,
 ) -> DataFrame:
     """The monitoring row, without its load time.
@@ -241,7 +233,7 @@ def drift_report(
     counts, prediction drift and realised F1 come from one label x prediction table.
     """
     if feature_psi is None:
-        feature_psi = psi(reference, current, features, bins, rows_in_array=rows_in_array)
+        feature_psi = psi(reference, current, features, bins)
     bands = psi_bands(feature_psi).drop("features_compared")
     outcome = confusion(current, label_col, prediction_col)
     n = F.col("n")

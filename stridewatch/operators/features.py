@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import reading
+
 # Sampling rate, window length and the share of samples a window needs.
 SAMPLE_HZ = 100
 WINDOW_SECONDS = 5.12
@@ -14,8 +16,8 @@ COMPLETENESS = 0.9
 
 
 def signal_statistics(column: str) -> list[Column]:
-    """Mean, sample deviation, extremes and energy (mean square) of a sensor channel."""
-    value = F.col(column)
+    """Mean, sample deviation, extremes and energy (mean square) of a sensor channel's readings."""
+    value = reading(F.col(column))
     return [
         F.avg(value).alias(f"{column}_mean"),
         F.stddev(value).alias(f"{column}_std"),
@@ -27,7 +29,7 @@ def signal_statistics(column: str) -> list[Column]:
 
 def filled_statistics(column: str, name: str) -> list[Column]:
     """A filled signal repeats its readings, so it has no energy and no minimum here."""
-    value = F.col(column)
+    value = reading(F.col(column))
     return [
         F.avg(value).alias(f"{name}_mean"),
         F.stddev(value).alias(f"{name}_std"),
@@ -54,6 +56,11 @@ def window_features(
     )
 
 
+def required_samples(expected: int, completeness: float = COMPLETENESS) -> float:
+    """The fewest samples a window may have."""
+    return expected * completeness
+
+
 def drop_partial_windows(
     df: DataFrame,
     *,
@@ -66,7 +73,7 @@ def drop_partial_windows(
     """Keep windows with enough samples; ``expected`` overrides rate times length."""
     if expected is None:
         expected = int(sample_hz * window_seconds)
-    return df.where(F.col(count_col) >= F.lit(expected * completeness))
+    return df.filter(F.col(count_col) >= required_samples(expected, completeness))
 
 
 def split_label(subject: Column, members: Mapping[str, Iterable]) -> Column:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .slices import SLICE, SlicePlan, is_single_position, join_null_safe, plan_slices
+from ..functions import join_null_safe, micros, observed
+from ..functions.timeline import MICROS_PER_SECOND
 
-ROWS_PER_SLICE = 500_000
+SPAN_SECONDS = 3600.0
 
 
 def forward_fill(
@@ -18,84 +20,55 @@ def forward_fill(
     order_col: str,
     tie_col: str | None = None,
     output_col: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    span_seconds: float = SPAN_SECONDS,
 ) -> DataFrame:
-    """Carry the last non-null value forward; it never crosses a partition boundary.
+    """Carry the last reading forward; it never crosses a partition boundary.
 
-    Rows before the first reading stay null. Rows with equal (order, tie) are peers, and their
-    mutual order is open; give ``tie_col`` a unique column for a fully determined result.
+    NaN and null are no readings. Rows before the first reading stay null. A row keeps its own
+    reading; else it takes the largest reading at its own place (``order_col``, then
+    ``tie_col``), else the last one before. The result depends on the rows' contents only.
 
-    Groups of ordinary size take one window. Hot groups are cut into slices that are filled
-    independently, and each slice starts from the last reading of the slices before it.
+    Time is cut into chunks of ``span_seconds``, the same for every amount of data. Only keys, place and
+    the slow column travel to the chunks, merged to one row a place before they do, so copies of a
+    place are no burden. A chunk is filled by itself and begins with the last reading of the chunks
+    before it. Choose the span so that a chunk of one key fits a task.
     """
     output_col = output_col or f"{column}_filled"
-    position = [order_col] + ([tie_col] if tie_col else [])
-    plan = plan_slices(df, partition_cols, position, rows_per_slice=rows_per_slice)
-    if plan.empty:
-        so_far = (
-            Window.partitionBy(*partition_cols)
-            .orderBy(*position)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return df.withColumn(output_col, F.last(column, ignorenulls=True).over(so_far))
-    return _fill_by_slice(df, column, plan, output_col)
-
-
-def _fill_by_slice(df: DataFrame, column: str, plan: SlicePlan, output_col: str) -> DataFrame:
-    keys, position = plan.keys, plan.position
-    spark = df.sparkSession
-    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # Peers all take the same value, so a position with many copies goes to many tasks. The input
-    # partition does not depend on row order, so a retried task sends each row to the same place.
-    rows = plan.locate(df).withColumn(
-        "__peer_task",
-        F.when(is_single_position(F.col(SLICE)), F.spark_partition_id() % spread).otherwise(0),
+    place = [order_col] + ([tie_col] if tie_col else [])
+    keys = list(partition_cols)
+    value = F.when(_is_reading(df, column), F.col(column))
+    places = (
+        df.select(*dict.fromkeys([*keys, *place]), value.alias("__reading"), _chunk(df, order_col, span_seconds))
+        .groupBy(*keys, "__chunk", *[c for c in place if c not in keys])
+        .agg(F.max("__reading").alias("__here"))
     )
-    within = (
-        Window.partitionBy(*keys, SLICE, "__peer_task")
-        .orderBy(*position)
+    so_far = (
+        Window.partitionBy(*keys, "__chunk")
+        .orderBy(*place)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = F.last(column, ignorenulls=True).over(within)
-    # One row per slice of a hot key, hence bounded like the cuts themselves.
-    carried = F.broadcast(_carried_into_slices(df, column, plan))
-    single = is_single_position(F.col(SLICE))
-    return (
-        join_null_safe(rows.withColumn("__local", local), carried, [*keys, SLICE], "left")
-        .withColumn(
-            output_col,
-            F.when(single, F.coalesce(column, "__carried")).otherwise(
-                F.coalesce("__local", "__carried")
-            ),
-        )
-        .drop(SLICE, "__peer_task", "__local", "__carried")
+    local = places.withColumn("__local", F.last("__here", ignorenulls=True).over(so_far))
+    # one row per key and chunk
+    newest = places.groupBy(*keys, "__chunk").agg(
+        F.max_by("__here", F.when(F.col("__here").isNotNull(), F.struct(*place))).alias("__newest")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = newest.select(
+        *keys, "__chunk", F.last("__newest", ignorenulls=True).over(earlier).alias("__carried")
+    )
+    filled = join_null_safe(local, carried, [*keys, "__chunk"], "left").select(
+        *dict.fromkeys([*keys, *place]), F.coalesce("__local", "__carried").alias("__value")
     )
+    joined = join_null_safe(df, filled, list(dict.fromkeys([*keys, *place])), "left")
+    return joined.withColumn(output_col, F.coalesce(value, "__value")).drop("__value")
 
 
-def _carried_into_slices(df: DataFrame, column: str, plan: SlicePlan) -> DataFrame:
-    """Per (key, slice): the value with which the slice starts.
+def _is_reading(df: DataFrame, column: str):
+    numeric = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    return observed(F.col(column)) if numeric else F.col(column).isNotNull()
 
-    For a single-position slice that includes the readings at the position itself.
-    """
-    keys, position = plan.keys, plan.position
-    needed = list(dict.fromkeys([*keys, *position, column]))
-    # A slow signal is mostly null, so the filter leaves few rows to aggregate.
-    readings = df.select(*needed).filter(F.col(column).isNotNull())
-    newest = (
-        plan.locate(readings, only_hot=True)
-        .groupBy(*keys, SLICE)
-        .agg(F.max_by(column, F.struct(*position, column)).alias("__newest"))
-    )
-    per_slice = join_null_safe(plan.slices(), newest, [*keys, SLICE], "left")
-    in_order = Window.partitionBy(*keys).orderBy(SLICE)
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    through = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.last("__newest", ignorenulls=True)
-    return per_slice.select(
-        *keys,
-        SLICE,
-        F.when(is_single_position(F.col(SLICE)), last.over(through))
-        .otherwise(last.over(before))
-        .alias("__carried"),
-    )
+
+def _chunk(df: DataFrame, order_col: str, span_seconds: float):
+    """The number of the chunk of time; null for a null time, which comes first."""
+    span = max(1, round(span_seconds * MICROS_PER_SECOND))
+    return F.floor(micros(df, order_col) / F.lit(span)).alias("__chunk")

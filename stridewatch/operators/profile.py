@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import missing_rate
+from ..functions import is_missing, missing_rate
 
 
 def ingest_profile(
@@ -13,12 +13,12 @@ def ingest_profile(
     activity_col: str = "activity_id",
     signal_col: str = "heart_rate",
 ) -> DataFrame:
-    """Per subject: rows, distinct activities, null rate of the slow signal.
+    """Per subject: rows, distinct activities, share of rows without a reading of the slow signal.
 
     Two levels, so that a subject with most of the rows arrives as a few partial sums.
     """
     per_activity = df.groupBy(subject_col, activity_col).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(signal_col).isNull()).alias("nulls")
+        F.count(F.lit(1)).alias("rows"), F.count_if(is_missing(df, signal_col)).alias("nulls")
     )
     return (
         per_activity.groupBy(subject_col)
@@ -32,7 +32,7 @@ def ingest_profile(
 
 
 def null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.agg(*[missing_rate(F.col(c)).alias(c) for c in columns])
+    return df.agg(*[missing_rate(df, c).alias(c) for c in columns])
 
 
 def distinct_count(df: DataFrame, column: str, name: str = "distinct_values") -> DataFrame:

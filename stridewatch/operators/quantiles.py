@@ -1,8 +1,11 @@
 """Exact linear-interpolated quantiles of many columns, without collecting a column anywhere.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. Here the values of each
-column are cut into slices (see :mod:`.slices`), the slices are counted, and only the few slices
-that hold a wanted rank are looked into.
+Spark's ``percentile`` keeps every distinct value of a group in one task. Here a sketch of each column
+gives cuts close to the wanted ranks, one pass counts the values between cuts, and only the buckets
+that hold a wanted rank are looked into: they are cut and counted once more, and the values of the
+small buckets that remain are sorted, equal values as one row with their number. The same steps are
+taken for every amount of data. Counts decide which bucket holds a rank, so a sketch that is off
+makes a bucket larger and never a quantile wrong.
 """
 
 from __future__ import annotations
@@ -10,10 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .slices import SEED, SLICE, plan_slices
+from ..functions import with_count_at_or_below
 
-ROWS_IN_ARRAY = 500_000
-SLICES_PER_COLUMN = 1024
+#: Accuracy of the sketch: a bucket around a rank holds about two in so many of the rows.
+ACCURACY = 10_000
+#: Cuts within such a bucket; the buckets that are sorted hold that part of it.
+INNER_CUTS = 63
 
 
 def evenly_spaced(bins: int) -> list[float]:
@@ -51,47 +56,44 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     *,
-    rows_in_array: int = ROWS_IN_ARRAY,
+    accuracy: int = ACCURACY,
+    inner_cuts: int = INNER_CUTS,
 ) -> DataFrame:
-    """(feature, n, quantiles) per column with at least one observed value."""
+    """(feature, n, quantiles) per column with at least one observed value. Runs no job by itself."""
     long = long_form(df, columns)
-    rows = df.count()
-    if rows <= rows_in_array:
-        # Counted, so the values of a column fit one array.
-        at_rank = (
-            long.groupBy("feature")
-            .agg(F.expr("sort_array(collect_list(value)) AS at"))
-            .selectExpr("feature", "CAST(size(at) AS BIGINT) AS n", "at")
-        )
-        found = _interpolated(at_rank, probabilities, "get(at, CAST({rank} AS INT))")
-    else:
-        # Fine slices, so that only a few rows lie in a slice with a wanted rank.
-        plan = plan_slices(
-            long,
-            ["feature"],
-            ["value"],
-            rows_per_slice=max(1, rows // SLICES_PER_COLUMN),
-            max_slices=SLICES_PER_COLUMN * len(columns),
-            total=rows * len(columns),
-            # Draw whole rows, then their values: far fewer rows to draw from.
-            sample=lambda part: long_form(
-                df.select(*columns).sample(fraction=part, seed=SEED), columns
-            ),
-        )
-        at_rank = _values_at_ranks(plan.locate(long), probabilities)
-        found = _interpolated(at_rank, probabilities, "at[{rank}]")
+    near = sorted({min(max(p + d / accuracy, 0.0), 1.0) for p in probabilities for d in (-1, 1)})
+    outer = _bucketed(long, ["feature"], "outer", near, accuracy)
+    held = outer.groupBy("feature", "outer").agg(F.expr("count(*) AS held"))
+    ranks = _wanted(held, probabilities)
+    # two rows for each probability and column, whatever the number of rows
+    inside = outer.join(F.broadcast(ranks.select("feature", "outer").distinct()), ["feature", "outer"], "left_semi")
+    even = [(i + 1) / (inner_cuts + 1) for i in range(inner_cuts)]
+    inner = _bucketed(inside, ["feature", "outer"], "inner", even, accuracy)
+    values = _values_at_ranks(inner, ranks)
+    found = _interpolated(values, probabilities, "at[{rank}]")
     return found.selectExpr(name_of_feature(columns), "n", "quantiles")
 
 
+def _bucketed(long: DataFrame, keys: list[str], name: str, cuts_at: list[float], accuracy: int) -> DataFrame:
+    """``long`` with the number of the bucket of each value: how many of its group's cuts are at most
+    the value. There are as many rows of cuts as groups, which the columns and probabilities bound."""
+    cuts = long.groupBy(*keys).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx("value", cuts_at, accuracy))).alias("cuts")
+    )
+    placed = with_count_at_or_below(
+        long.join(F.broadcast(cuts), keys), "cuts", "value", name, len(cuts_at)
+    )
+    return placed.drop("cuts")
+
+
 def _literal(probabilities: list[float]) -> str:
     return f"array({', '.join(f'{p!r}D' for p in probabilities)})"
 
 
-def _targets(held: DataFrame, probabilities: list[float]) -> DataFrame:
-    """(feature, slice, before, n, rank): where the two ranks around each quantile lie.
+def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
+    """(feature, outer, before, n, rank): where the two ranks around each quantile lie.
 
-    Two rows per probability and column, whatever the number of rows, so the callers may broadcast
-    it. A column has at most SLICES_PER_COLUMN * 2 slices, so the windows stay small.
+    ``held`` has the number of values of each bucket; a column has a few dozen.
     """
     pairs = (
         f"transform({_literal(probabilities)}, p -> array(floor((n - 1) * p), "
@@ -100,9 +102,9 @@ def _targets(held: DataFrame, probabilities: list[float]) -> DataFrame:
     return (
         held.selectExpr(
             "feature",
-            SLICE,
+            "outer",
             "held",
-            f"sum(held) OVER (PARTITION BY feature ORDER BY {SLICE}) - held AS before",
+            "sum(held) OVER (PARTITION BY feature ORDER BY outer) - held AS before",
             "sum(held) OVER (PARTITION BY feature) AS n",
         )
         .selectExpr("*", f"explode(array_distinct(flatten({pairs}))) AS rank")
@@ -111,27 +113,28 @@ def _targets(held: DataFrame, probabilities: list[float]) -> DataFrame:
     )
 
 
-def _values_at_ranks(sliced: DataFrame, probabilities: list[float]) -> DataFrame:
+def _values_at_ranks(inner: DataFrame, ranks: DataFrame) -> DataFrame:
     """(feature, n, at): ``at`` maps every wanted rank to its value."""
-    held = sliced.groupBy("feature", SLICE).agg(F.expr("count(*) AS held"))
-    targets = _targets(held, probabilities)
-    wanted = F.broadcast(targets.select("feature", SLICE))
+    bucket = ["feature", "outer", "inner"]
+    upto = inner.groupBy(*bucket).agg(F.expr("count(*) AS held")).selectExpr(
+        *bucket, "held", "sum(held) OVER (PARTITION BY feature, outer ORDER BY inner) - held AS earlier"
+    )
+    # as few rows as there are ranks
+    located = (
+        upto.join(F.broadcast(ranks), ["feature", "outer"])
+        .selectExpr(*bucket, "before + earlier AS start", "held", "n", "rank")
+        .filter("rank >= start AND rank < start + held")
+    )
     running = (
-        sliced.join(wanted, ["feature", SLICE], "left_semi")
-        .groupBy("feature", SLICE, "value")
+        inner.join(F.broadcast(located.select(*bucket).distinct()), bucket, "left_semi")
+        .groupBy(*bucket, "value")
         .agg(F.expr("count(*) AS copies"))
-        .selectExpr(
-            "*", f"sum(copies) OVER (PARTITION BY feature, {SLICE} ORDER BY value) AS upto"
-        )
-    )
-    here = F.expr(
-        f"v.feature = t.feature AND v.{SLICE} = t.{SLICE} "
-        "AND rank < before + upto AND rank >= before + upto - copies"
+        .selectExpr("*", "sum(copies) OVER (PARTITION BY feature, outer, inner ORDER BY value) AS upto")
     )
     return (
-        running.alias("v")
-        .join(F.broadcast(targets.alias("t")), here)
-        .groupBy("v.feature", "n")
+        running.join(F.broadcast(located), bucket)
+        .filter("rank < start + upto AND rank >= start + upto - copies")
+        .groupBy("feature", "n")
         # Two ranks per probability.
         .agg(F.expr("map_from_entries(collect_list(struct(rank, value))) AS at"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from ..operators.features import assign_split, drop_partial_windows, window_features
-from ..operators.filling import ROWS_PER_SLICE, forward_fill
+from ..operators.filling import SPAN_SECONDS, forward_fill
 from ..operators.windows import assign_overlapping_windows
 
 
@@ -28,13 +28,12 @@ def feature_plan(
     train_subjects: Iterable = (),
     holdout_subjects: Iterable = (),
     split_by: str | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    span_seconds: float = SPAN_SECONDS,
 ) -> DataFrame:
     """Fill the slow signal, window the rows, aggregate, drop partial windows, label the split.
 
-    Readings are shuffled once, for the fill. Without hot groups that shuffle also serves the
-    window aggregation, whose keys contain the fill's. With hot groups the aggregation shuffles
-    its partial results: one row per window and task instead of every reading.
+    The slow column travels to its time chunks by itself; whole readings are shuffled once, to meet
+    the filled values. The window aggregation shuffles partial results, one row per window and task.
     """
     groups = [subject_col, activity_col]
     filled = forward_fill(
@@ -44,7 +43,7 @@ def feature_plan(
         order_col=time_col,
         tie_col=tie_col,
         output_col="__filled",
-        rows_per_slice=rows_per_slice,
+        span_seconds=span_seconds,
     )
     narrow = [*groups, *([split_by] if split_by else []), time_col, "__filled", *sensor_cols]
     windowed = assign_overlapping_windows(

@@ -10,11 +10,15 @@ from stridewatch.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = local_session(
         "tests",
         cpus=4,
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
     )
     yield session
     session.stop()

@@ -43,11 +43,10 @@ def samples():
     }
 
 
-@pytest.mark.parametrize("rows_in_array", [10**6, 500])
-def test_psi_matches_numpy(spark, samples, rows_in_array):
+def test_psi_matches_numpy(spark, samples):
     reference = frame(spark, **{k: v[0] for k, v in samples.items()}).repartition(3)
     current = frame(spark, **{k: v[1] for k, v in samples.items()})
-    out = drift.psi(reference, current, list(samples), rows_in_array=rows_in_array)
+    out = drift.psi(reference, current, list(samples))
     got = {r.feature: r.psi for r in out.collect()}
     for name, (ref, cur) in samples.items():
         assert got[name] == pytest.approx(numpy_psi(ref, cur), rel=1e-9, abs=1e-12), name
@@ -55,12 +54,12 @@ def test_psi_matches_numpy(spark, samples, rows_in_array):
     assert math.isfinite(got["disjoint"]) and min(got.values()) >= 0
 
 
-@pytest.mark.parametrize("rows_in_array", [10**6, 700])
-def test_exact_quantiles_match_numpy(spark, samples, rows_in_array):
+@pytest.mark.parametrize("cuts", [{}, {"accuracy": 5, "inner_cuts": 2}, {"accuracy": 50, "inner_cuts": 1}])
+def test_exact_quantiles_match_numpy(spark, samples, cuts):
     df = frame(spark, **{k: v[0] for k, v in samples.items()}).repartition(4)
     probabilities = evenly_spaced(10)
     assert probabilities == list(np.linspace(0, 1, 11))
-    out = exact_quantiles(df, list(samples), probabilities, rows_in_array=rows_in_array)
+    out = exact_quantiles(df, list(samples), probabilities, **cuts)
     got = {r.feature: (r.n, r.quantiles) for r in out.collect()}
     for name, (ref, _) in samples.items():
         assert got[name][0] == len(ref)

@@ -143,3 +143,10 @@ def test_lineage(spark):
     a = scoring.stamp_lineage(df, "m", 2, "r")
     b = scoring.stamp_lineage_from(df, champion)
     assert a.collect() == b.collect() and len(a.columns) == 4
+
+
+def test_a_nan_column_fails_the_null_rate_contract(spark):
+    df = spark.createDataFrame([(1.0, "NaN"), (float("nan"), "a"), (None, None)], "x double, s string")
+    got = quality.check(df, [quality.null_rate_below("x", 0.5), quality.null_rate_below("s", 0.5)]).collect()
+    assert [round(r.observed, 6) for r in got] == [0.666667, 0.333333]
+    assert [r.passed for r in got] == [False, True]
