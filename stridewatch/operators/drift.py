@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import at_least, observed, under, with_count_at_or_below
-from .metrics import confusion, per_class
+from .metrics import labelled, outcomes, per_class
 from .quantiles import (
     evenly_spaced,
     exact_quantiles,
@@ -181,6 +181,11 @@ def psi_bands(feature_psi: DataFrame) -> DataFrame:
     )
 
 
+def psi_detail(feature_psi: DataFrame) -> DataFrame:
+    """(feature, psi, band) of every feature: which ones a warning is about."""
+    return feature_psi.select("feature", "psi", band(F.col("psi")).alias("band"))
+
+
 def top_drifted(feature_psi: DataFrame, limit: int = 20) -> DataFrame:
     """The most drifted features first; undefined PSI is left out."""
     return (
@@ -235,7 +240,7 @@ def drift_report(
     if feature_psi is None:
         feature_psi = psi(reference, current, features, bins)
     bands = psi_bands(feature_psi).drop("features_compared")
-    outcome = confusion(current, label_col, prediction_col)
+    outcome = outcomes(current, label_col, prediction_col)
     n = F.col("n")
     labels = reference.groupBy(F.col(label_col).cast("long").alias("category")).agg(
         F.count(F.lit(1)).alias("n")
@@ -254,7 +259,7 @@ def drift_report(
         F.struct(F.sum("n_ref").alias("reference_rows"), F.sum("n_cur").alias("current_rows"))
     )
     prediction = categorical_psi_from_counts(mix.filter(F.col("category").isNotNull()))
-    realised = per_class(outcome).agg(F.avg("f1"))
+    realised = per_class(labelled(outcome)).agg(F.avg("f1"))
 
     # One row each; a scalar subquery fails if that ever stops being true.
     parts = champion.select(

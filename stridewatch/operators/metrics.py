@@ -7,13 +7,30 @@ classes rows, so a class that holds most of the data makes no difference.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import is_missing
+
+
+def outcomes(
+    df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
+) -> DataFrame:
+    """(label, prediction, n) of all rows; NaN counts as null on both sides."""
+    label, prediction = (
+        F.when(~is_missing(df, c), F.col(c)).alias(name)
+        for c, name in ((label_col, "label"), (prediction_col, "prediction"))
+    )
+    return df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
+
+
+def labelled(counts: DataFrame) -> DataFrame:
+    """What the metrics are about: rows without a label are left out, an absent prediction is a
+    miss of its label and no class of its own."""
+    return counts.filter(F.col("label").isNotNull())
+
 
 def confusion(
     df: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
 ) -> DataFrame:
-    return df.groupBy(
-        F.col(label_col).alias("label"), F.col(prediction_col).alias("prediction")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    return labelled(outcomes(df, label_col, prediction_col))
 
 
 def accuracy(counts: DataFrame) -> DataFrame:
@@ -46,7 +63,7 @@ def per_class(counts: DataFrame) -> DataFrame:
             )
         )
     )
-    totals = sides.groupBy("class").agg(
+    totals = sides.filter(F.col("class").isNotNull()).groupBy("class").agg(
         *[F.sum(c).alias(c) for c in ("hits", "support", "predicted")]
     )
 

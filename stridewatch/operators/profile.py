@@ -77,10 +77,12 @@ def scored_summary(
     prediction_col: str = "predicted_activity_id",
     time_col: str = "scored_at",
 ) -> DataFrame:
-    right = (F.col(prediction_col) == F.col(label_col)).cast("int")
+    """Rows, accuracy and newest time. As in :mod:`.metrics`, accuracy is over rows with a label, and
+    an absent prediction is a miss."""
+    right = F.coalesce((F.col(prediction_col) == F.col(label_col)).cast("int"), F.lit(0))
     return scored.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.avg(right).alias("accuracy"),
+        F.avg(F.when(~is_missing(scored, label_col), right)).alias("accuracy"),
         F.max(time_col).alias("latest_run"),
     )
 

@@ -20,12 +20,12 @@ FLOAT_SLACK = 1e-9
 METRIC = "holdout_macro_f1"
 
 RUNS = (
-    "run_id string, status string, start_time timestamp, params map<string,string>, "
+    "model_name string, run_id string, status string, start_time timestamp, params map<string,string>, "
     "metrics map<string,double>, tags map<string,string>"
 )
 MODEL_VERSIONS = (
     "model_name string, version bigint, run_id string, "
-    "inputs array<struct<name:string,type:string>>, path string"
+    "inputs array<struct<name:string,type:string>>, output struct<name:string,type:string>, path string"
 )
 MODEL_TAGS = "model_name string, version bigint, key string, value string"
 MODEL_ALIASES = (

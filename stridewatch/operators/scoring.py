@@ -47,12 +47,20 @@ def stamp_lineage_from(df: DataFrame, champion: DataFrame) -> DataFrame:
     return df.withColumn("__champion", held).select(*df.columns, "__champion.*")
 
 
-def score(model: PipelineModel, batch: DataFrame, keep: list[str], output_col: str) -> DataFrame:
-    """Keys and prediction; only the model's inputs are read besides the keys."""
+def score(
+    model: PipelineModel,
+    batch: DataFrame,
+    keep: list[str],
+    output_col: str,
+    output_type: str = "bigint",
+) -> DataFrame:
+    """Keys and prediction in the contract's type; only the model's inputs are read besides the keys."""
     needed = list(dict.fromkeys([*keep, *model_inputs(model)]))
     scored = model.transform(batch.select(*needed))
     # The model names its classes as text; a class that was a double reads like "5.0".
-    label = F.col("predicted_label").cast("double").cast("long")
+    label = F.col("predicted_label")
+    if output_type != "string":
+        label = label.cast("double").cast(output_type)
     return scored.select(*keep, label.alias(output_col))
 
 

@@ -71,6 +71,7 @@ def model_contract(model: PipelineModel, df: DataFrame) -> list[tuple[str, str]]
 
 
 def run_record(
+    model_name: str,
     run_id: str,
     params: dict,
     measured: DataFrame,
@@ -90,6 +91,7 @@ def run_record(
 
     numbers = {c: F.col(c).cast("double") for c in metric_cols or measured.columns}
     return measured.select(
+        F.lit(model_name).alias("model_name"),
         F.lit(run_id).alias("run_id"),
         F.lit("FINISHED").alias("status"),
         F.current_timestamp().alias("start_time"),

@@ -532,6 +532,43 @@ def performance_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(delta, *delta.columns)
 
 
+@query(
+    f"""WITH {SCORED_SQL}, gappy AS (
+  SELECT CASE WHEN o_custkey % 11 <> 0 THEN label END AS label,
+         CASE WHEN o_custkey % 7 <> 0 THEN prediction END AS prediction, o_custkey FROM scored),
+known AS (SELECT * FROM gappy WHERE label IS NOT NULL),
+{per_class_sql("known")},
+named AS (SELECT * FROM per_class WHERE class IS NOT NULL),
+right_ones AS (SELECT avg(CAST(coalesce(label = prediction, false) AS INTEGER)) AS a FROM known)
+SELECT round(avg(f1), 6) AS macro_f1, round(sum(f1 * support) / sum(support), 6) AS weighted_f1,
+       round(any_value(a), 6) AS accuracy, round(any_value(a), 6) AS summary_accuracy,
+       round(any_value(a), 6) AS report_accuracy
+FROM named, right_ones"""
+)
+def metrics_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All metrics under one rule: no label, no row; no prediction, a miss."""
+    gappy = scored_orders(spark, sf_dir).withColumns(
+        {
+            "label": F.when(F.col("o_custkey") % 11 != 0, F.col("label")).cast("double"),
+            "prediction": F.when(F.col("o_custkey") % 7 != 0, F.col("prediction").cast("double"))
+            .otherwise(F.lit(float("nan"))),
+        }
+    )
+    counts = metrics.confusion(gappy)
+    summary = profile.scored_summary(
+        gappy, label_col="label", prediction_col="prediction", time_col="o_orderdate"
+    )
+    report = metrics.classification_report(counts).filter("class = 'accuracy'")
+    together = metrics.evaluation(counts).select(
+        "macro_f1",
+        "weighted_f1",
+        metrics.accuracy(counts).scalar().alias("accuracy"),
+        summary.select("accuracy").scalar().alias("summary_accuracy"),
+        report.select("f1").scalar().alias("report_accuracy"),
+    )
+    return rounded(together, *together.columns)
+
+
 @query(
     f"""WITH {SCORED_SQL}
 SELECT count(*) AS "rows", round(avg(CAST(label = prediction AS INTEGER)), 6) AS accuracy,
@@ -994,6 +1031,32 @@ def next_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.next_version(tables["runs"], tables["versions"])
 
 
+@query(
+    f"""WITH {SIDES_SQL}, {PSI_SQL}
+SELECT feature, round(psi, 6) AS psi,
+       CASE WHEN psi >= 0.25 THEN 'significant' WHEN psi >= 0.1 THEN 'moderate' ELSE 'stable' END AS band
+FROM feature_psi"""
+)
+def drift_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference, current = line_sides(spark, sf_dir)
+    return rounded(drift.psi_detail(drift.psi(reference, current, LINE_FEATURES)), "psi")
+
+
+@query(
+    "SELECT "
+    + ", ".join(
+        f"round(avg(CAST(l_{c} IS NULL AS INTEGER)), 6) AS l_{c}" for c in ("quantity", "extendedprice", "discount", "tax")
+    )
+    + " FROM lineitem"
+)
+def prefixed_null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature columns of a table, by prefix and without its ids."""
+    lines = table(spark, sf_dir, "lineitem")
+    numbers = lines.select([c for c, kind in lines.dtypes if kind == "double"])
+    chosen = features.feature_columns(lines.select(cleaning.columns_with_prefix(numbers, ["l_"])), [])
+    return rounded(profile.null_rates(lines, chosen), *chosen)
+
+
 @query(f"WITH {REGISTRY_SQL} SELECT model_name, alias, version FROM held")
 def alias_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.alias_current(registry_tables(spark, sf_dir)["aliases"])
@@ -1064,6 +1127,32 @@ def promotion_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {JUDGED_SQL},
+moves AS (
+  SELECT model_name, CASE WHEN signed AND cleared AND kept THEN 'champion' ELSE 'challenger' END AS alias,
+         version FROM judged)
+SELECT model_name, alias, version FROM moves
+UNION ALL SELECT model_name, alias, version FROM held ANTI JOIN moves USING (model_name, alias)"""
+)
+def alias_after_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where aliases point once every model's latest run has been judged."""
+    events = registry_tables(spark, sf_dir)["aliases"]
+    moves = registry.alias_moves(judged(spark, sf_dir), events)
+    return registry.alias_current(events.unionByName(moves, allowMissingColumns=True))
+
+
+@query(
+    f"""WITH {REGISTRY_SQL}
+SELECT model_name, alias, version FROM held WHERE model_name <> 'model-1' OR alias <> 'champion'
+UNION ALL SELECT 'model-1', 'champion', 1"""
+)
+def alias_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = registry_tables(spark, sf_dir)["aliases"]
+    back = registry.rollback(events, "model-1", 1)
+    return registry.alias_current(events.unionByName(back, allowMissingColumns=True))
+
+
 @query(
     f"""WITH {JUDGED_SQL}
 SELECT model_name, version, t.k AS key, t.v AS value FROM judged, unnest([
@@ -1124,7 +1213,7 @@ def contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {LABELLED_SQL}, n AS (
-  SELECT count_if(activity_id = 'error') AS e, count_if(sample_count < 1) AS p FROM labelled)
+  SELECT count_if(activity_id = 'error') AS e, count_if(sample_count < 2) AS p FROM labelled)
 SELECT 'no transient activity' AS expectation, CAST(e AS DOUBLE) AS observed, e = 0 AS passed FROM n
 UNION ALL SELECT 'no partial window', p, p = 0 FROM n"""
 )
@@ -1133,7 +1222,7 @@ def contract_forbidden(spark: SparkSession, sf_dir: str) -> DataFrame:
         labelled_windows(spark, sf_dir),
         [
             quality.no_row("no transient activity", F.col("activity_id") == "error"),
-            quality.no_row("no partial window", F.col("sample_count") < 1),
+            quality.no_row("no partial window", F.col("sample_count") < 2),
         ],
     )
 
@@ -1156,25 +1245,56 @@ def contract_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training and scoring -------------------------------------------------------------------------------
 
 
-@query()
+@query(
+    """WITH s AS (SELECT *, CASE WHEN vec_id % 4 = 0 THEN 'holdout' ELSE 'train' END AS split FROM embeddings)
+SELECT split, count(*) AS "rows", 'vector-model' AS model_name, CAST(1 AS BIGINT) AS model_version,
+       'run-1' AS model_run_id, CAST(0 AS BIGINT) AS unknown_predictions,
+       CASE WHEN split = 'train' THEN true END AS beats_largest_class
+FROM s GROUP BY split"""
+)
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the training split, save and reload the model, score every vector with lineage."""
-    width = 64
-    vectors = table(spark, sf_dir, "embeddings").select(
+    """Fit on the training split, save and reload the model, score every vector with lineage.
+
+    The rows are facts that SQL can state: how many rows of each split were scored and under which
+    lineage, that no prediction is a class the training split lacks, and that on the training split the
+    model does better than naming the largest class. The labels of these vectors are drawn at random, so
+    nothing can be said about the holdout.
+    """
+    raw = table(spark, sf_dir, "embeddings")
+    widths = raw.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()  # two numbers
+    if widths[0] != widths[1]:
+        raise ValueError(f"vectors of {widths[0]} to {widths[1]} entries")
+    inputs = [f"x{i}" for i in range(widths[0])]
+    vectors = raw.select(
         "vec_id",
         "label",
         F.when(F.col("vec_id") % 4 == 0, "holdout").otherwise("train").alias("split"),
-        *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(width)],
-    )
-    inputs = [f"x{i}" for i in range(width)]
-    model = training.train_classifier(
-        vectors.filter("split = 'train'"),
-        inputs,
-        "label",
-        params={"numTrees": 20, "maxDepth": 5, "seed": 42},
+        *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(inputs)],
     )
+    train = vectors.filter("split = 'train'")
+    model = training.train_classifier(train, inputs, "label")
     path = shared_folder(spark, "model")
     model.write().save(path)
     loaded = training.PipelineModel.load(path)
     scored = scoring.score(loaded, vectors, ["vec_id", "label", "split"], "predicted_label_id")
-    return scoring.stamp_lineage(scored, "vector-model", 1, "run-1")
+    stamped = scoring.stamp_lineage(scored, "vector-model", 1, "run-1")
+    scores_path = shared_folder(spark, "scores")
+    stamped.write.parquet(scores_path)
+    written = spark.read.parquet(scores_path)
+    known = train.select(F.col("label").cast("long").alias("known")).distinct()
+    flagged = written.join(F.broadcast(known), F.col("predicted_label_id") == F.col("known"), "left")
+    largest = written.groupBy("split", "label").count().groupBy("split").agg(F.max("count").alias("largest"))
+    facts = flagged.groupBy("split", "model_name", "model_version", "model_run_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("known").isNull()).alias("unknown_predictions"),
+        F.count_if(F.col("label") == F.col("predicted_label_id")).alias("right"),
+    )
+    return facts.join(largest, "split").select(
+        "split",
+        "rows",
+        "model_name",
+        "model_version",
+        "model_run_id",
+        "unknown_predictions",
+        F.when(F.col("split") == "train", F.col("right") > F.col("largest")).alias("beats_largest_class"),
+    )

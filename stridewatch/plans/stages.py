@@ -32,6 +32,7 @@ from .features import feature_plan
 GOLD_KEYS = ["subject_id", "activity_id", "win", "phase"]
 GOLD_IDS = [*GOLD_KEYS, "split", "generated_at", "sample_count"]
 PREDICTION = "predicted_activity_id"
+OUTPUT_TYPE = "bigint"
 LINEAGE = ["model_name", "model_version", "model_run_id", "scored_at"]
 
 
@@ -125,7 +126,7 @@ def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
 
 def gold_contract(gold: DataFrame, settings: Settings) -> DataFrame:
     split = F.col("split")
-    needed = settings.expected_samples * settings.completeness
+    needed = features.required_samples(settings.expected_samples, settings.completeness)
     limit = settings.feature_null_limit
     keys = profile.class_balance(gold).drop("count")
     return quality.all_checks(
@@ -168,8 +169,11 @@ def train(spark: SparkSession, settings: Settings) -> str:
     path = settings.at(f"models/{run_id}")
     model.write().save(path)
 
-    scored = scoring.score(model, hold, ["activity_id"], PREDICTION)
-    counts = metrics.confusion(scored, "activity_id", PREDICTION)
+    scored = scoring.score(model, hold, ["activity_id"], PREDICTION, OUTPUT_TYPE)
+    # The holdout is scored once; the record and the report are made from these few rows.
+    counted = metrics.confusion(scored, "activity_id", PREDICTION)
+    overwrite_table(counted, settings.at(f"run_counts/{run_id}"))
+    counts = spark.read.parquet(settings.at(f"run_counts/{run_id}"))
     measured = (
         metrics.evaluation(counts)
         .select(
@@ -194,7 +198,9 @@ def train(spark: SparkSession, settings: Settings) -> str:
         "model_path": path,
     }
     numbers = [c for c in measured.columns if not c.endswith("_subjects")]
-    record = training.run_record(run_id, settings.tree_params, measured, tags, metric_cols=numbers)
+    record = training.run_record(
+        settings.model_name, run_id, settings.tree_params, measured, tags, metric_cols=numbers
+    )
     append_history(record, settings.at("runs"))
     report = metrics.classification_report(counts).withColumn("run_id", F.lit(run_id))
     append_history(report, settings.at("run_reports"))
@@ -209,9 +215,9 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     runs = read_or_empty(spark, settings.at("runs"), registry.RUNS)
     versions = read_or_empty(spark, settings.at("model_versions"), registry.MODEL_VERSIONS)
     events = read_or_empty(spark, settings.at("model_aliases"), registry.MODEL_ALIASES)
-    run = registry.latest_run(runs).first()
+    run = registry.latest_run(runs.filter(F.col("model_name") == settings.model_name)).first()
     if run is None:
-        raise registry.GateFailed("no finished run")
+        raise registry.GateFailed(f"no finished run of {settings.model_name}")
     wanted = spark.createDataFrame([(settings.model_name,)], "model_name string")
     held = registry.champion_lookup(wanted, events, versions, runs).select(
         "model_name",
@@ -228,12 +234,13 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
         F.array(
             *[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in contract]
         ).alias("inputs"),
+        F.struct(F.lit(PREDICTION).alias("name"), F.lit(OUTPUT_TYPE).alias("type")).alias("output"),
         F.lit(path).alias("path"),
     )
     candidate = entry.join(held, "model_name", "left").withColumns(
         {
             "candidate_score": F.lit(run.metrics.get(registry.METRIC)).cast("double"),
-            "has_signature": F.size("inputs") > 0,
+            "has_signature": F.lit(set(gold_inputs(gold)) >= {n for n, _ in contract} != set()),
         }
     )
     limits = {
@@ -244,7 +251,7 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     result = registry.evaluate_gate(candidate, **limits)
     decided = result.collect()
     judged = spark.createDataFrame(decided, result.schema)
-    columns = ["model_name", "version", "run_id", "inputs", "path"]
+    columns = ["model_name", "version", "run_id", "inputs", "output", "path"]
     append_history(judged.select(*columns), settings.at("model_versions"))
     append_history(registry.gate_tags(judged, **limits), settings.at("model_tags"))
     append_history(registry.alias_moves(judged, events), settings.at("model_aliases"))
@@ -257,6 +264,17 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     return outcome
 
 
+def gold_inputs(gold: DataFrame) -> list[str]:
+    """The columns of the feature table that a model may use."""
+    return features.feature_columns(gold, GOLD_IDS)
+
+
+def drift_history(spark: SparkSession, settings: Settings) -> DataFrame:
+    """All drift reports of the model, newest first."""
+    reports = read_history(spark, settings.at("drift_metrics"))
+    return reports.filter(F.col("model_name") == settings.model_name).orderBy(F.desc("computed_at"))
+
+
 def champion_of(spark: SparkSession, settings: Settings) -> Row:
     """Version, run, path, inputs and promoted score of the current champion."""
     versions = read_or_empty(spark, settings.at("model_versions"), registry.MODEL_VERSIONS)
@@ -267,7 +285,7 @@ def champion_of(spark: SparkSession, settings: Settings) -> Row:
         versions,
         read_or_empty(spark, settings.at("runs"), registry.RUNS),
     ).filter(F.col("version").isNotNull())
-    found = held.join(versions.select("model_name", "version", "path", "inputs"), ["model_name", "version"])
+    found = held.join(versions.select("model_name", "version", "path", "inputs", "output"), ["model_name", "version"])
     champion = found.first()
     if champion is None:
         raise LookupError(f"{settings.model_name} has no champion")
@@ -280,36 +298,50 @@ def score_batch(spark: SparkSession, settings: Settings, split: str = "holdout")
     batch = spark.read.parquet(settings.at("gold_features")).filter(F.col("split") == split)
     scoring.require_inputs(batch, [(i["name"], i["type"]) for i in champion.inputs])
     model = PipelineModel.load(champion.path)
-    scored = scoring.score(model, batch, GOLD_KEYS, PREDICTION)
+    scored = scoring.score(model, batch, GOLD_KEYS, champion.output.name, champion.output.type)
     stamped = scoring.stamp_lineage(
         scored, settings.model_name, champion.version, champion.run_id
     ).withColumn("scored_at", F.current_timestamp())
     append_history(stamped, settings.at("predictions"), ["model_version"])
-    history = read_history(spark, settings.at("predictions"))
-    return profile.scored_summary(history.filter(F.col("model_version") == champion.version))
+    history = read_history(spark, settings.at("predictions"), model_version=champion.version)
+    return profile.scored_summary(history.filter(F.col("model_name") == settings.model_name))
 
 
 def monitor(spark: SparkSession, settings: Settings, split: str = "holdout") -> Row:
     """Append the drift report and return it; raises on degraded performance."""
     champion = champion_of(spark, settings)
     gold = spark.read.parquet(settings.at("gold_features"))
-    predictions = read_history(spark, settings.at("predictions")).filter(
-        F.col("model_version") == champion.version
-    )
+    predictions = read_history(
+        spark, settings.at("predictions"), model_version=champion.version
+    ).filter(F.col("model_name") == settings.model_name)
     quality.enforce(quality.expect_any("champion has predictions", predictions))
     current = scoring.join_predictions(gold.filter(F.col("split") == split), predictions)
     promoted = spark.createDataFrame(
         [(settings.model_name, champion.version, champion.run_id, champion.score)],
         "model_name string, model_version bigint, model_run_id string, promoted_macro_f1 double",
     )
+    reference, inputs = gold.filter("split = 'train'"), features.feature_columns(gold, GOLD_IDS)
+    # Every feature's PSI is kept, and the report is made from what was written.
+    report_id = uuid.uuid4().hex
+    detail = drift.psi_detail(drift.psi(reference, current, inputs, settings.bins)).withColumns(
+        {
+            "model_name": F.lit(settings.model_name),
+            "model_version": F.lit(champion.version).cast("long"),
+            "computed_at": F.current_timestamp(),
+            "report_id": F.lit(report_id),
+        }
+    )
+    append_history(detail, settings.at("drift_features"), ["report_id"])
+    written = read_history(spark, settings.at("drift_features"), report_id=report_id)
     report = drift.drift_report(
-        gold.filter("split = 'train'"),
+        reference,
         current,
-        features.feature_columns(gold, GOLD_IDS),
+        inputs,
         promoted,
         bins=settings.bins,
         performance_tolerance=settings.performance_tolerance,
-    ).withColumn("computed_at", F.current_timestamp())
+        feature_psi=written.select("feature", "psi"),
+    ).withColumns({"computed_at": F.current_timestamp(), "report_id": F.lit(report_id)})
     # The row is collected once and written from the driver: the report is not computed twice.
     rows = report.collect()
     append_history(spark.createDataFrame(rows, report.schema), settings.at("drift_metrics"))

@@ -27,9 +27,14 @@ def append_history(
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All batches under the union of their columns; a column a batch lacked is null."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_history(spark: SparkSession, path: str, **partition) -> DataFrame:
+    """All batches under the union of their columns; a column a batch lacked is null.
+
+    With ``column=value`` of the partition columns, in their order, only the files of that partition
+    are listed and only their schemas merged.
+    """
+    folder = "/".join([path.rstrip("/"), *[f"{k}={v}" for k, v in partition.items()]])
+    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(folder)
 
 
 def create_namespace(spark: SparkSession, name: str, comment: str = "") -> None:

@@ -27,10 +27,3 @@ def test_query_equals_its_sql(spark, sf_dir, db, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
-
-
-def test_trained_model_scores_every_row(spark, sf_dir):
-    out = entry.queries()["train_and_score"](spark, sf_dir)
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    assert out.count() == vectors.count()
-    assert out.select("model_name", "model_version", "model_run_id").distinct().count() == 1

@@ -65,6 +65,26 @@ def test_all_stages(spark, settings, raw):
     assert len(version.inputs) == 198 and version.inputs[0]["type"] == "double"
 
 
+def test_every_features_drift_is_kept(spark, settings):
+    report = stages.drift_history(spark, settings).first()
+    detail = read_history(spark, settings.at("drift_features"), report_id=report.report_id)
+    assert detail.count() == 198
+    worst = detail.filter("NOT isnan(psi)").orderBy(F.desc("psi"), "feature").first()
+    assert (worst.feature, worst.psi) == (report.top_drifted_feature, report.max_feature_psi)
+    bands = {r.band: r["count"] for r in detail.groupBy("band").count().collect()}
+    assert bands.get("significant", 0) == report.features_significant
+
+
+def test_another_models_run_is_not_promoted(spark, settings):
+    other = stages.Settings(**{**settings.__dict__, "model_name": "other"})
+    with pytest.raises(registry.GateFailed, match="no finished run of other"):
+        stages.promote(spark, other)
+    run_id = stages.train(spark, other)
+    assert stages.promote(spark, other).run_id == run_id
+    assert stages.champion_of(spark, other).run_id == run_id
+    assert stages.champion_of(spark, settings).run_id != run_id
+
+
 def test_scoring_twice_does_not_fan_out_the_report(spark, settings):
     before = read_history(spark, settings.at("drift_metrics")).first()
     summary = stages.score_batch(spark, settings).first()
