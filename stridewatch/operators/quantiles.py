@@ -62,28 +62,28 @@ def exact_quantiles(
     """(feature, n, quantiles) per column with at least one observed value. Runs no job by itself."""
     long = long_form(df, columns)
     near = sorted({min(max(p + d / accuracy, 0.0), 1.0) for p in probabilities for d in (-1, 1)})
-    outer = _bucketed(long, ["feature"], "outer", near, accuracy)
-    held = outer.groupBy("feature", "outer").agg(F.expr("count(*) AS held"))
-    ranks = _wanted(held, probabilities)
-    # two rows for each probability and column, whatever the number of rows
-    inside = outer.join(F.broadcast(ranks.select("feature", "outer").distinct()), ["feature", "outer"], "left_semi")
     even = [(i + 1) / (inner_cuts + 1) for i in range(inner_cuts)]
-    inner = _bucketed(inside, ["feature", "outer"], "inner", even, accuracy)
-    values = _values_at_ranks(inner, ranks)
-    found = _interpolated(values, probabilities, "at[{rank}]")
+    cuts = long.groupBy("feature").agg(_sketch(near, accuracy).alias("cuts"))
+    outer = _placed(long, cuts, ["feature"], "outer", len(near)).select("feature", "outer", "value")
+    cells = outer.groupBy("feature", "outer").agg(
+        F.expr("count(*) AS held"), _sketch(even, accuracy).alias("cuts")
+    )
+    ranks = _wanted(cells, probabilities)
+    wanted = ranks.select("feature", "outer", "cuts").dropDuplicates(["feature", "outer"])
+    inner = _placed(outer, wanted, ["feature", "outer"], "inner", inner_cuts)
+    found = _interpolated(_values_at_ranks(inner, ranks), probabilities, "at[{rank}]")
     return found.selectExpr(name_of_feature(columns), "n", "quantiles")
 
 
-def _bucketed(long: DataFrame, keys: list[str], name: str, cuts_at: list[float], accuracy: int) -> DataFrame:
-    """``long`` with the number of the bucket of each value: how many of its group's cuts are at most
-    the value. There are as many rows of cuts as groups, which the columns and probabilities bound."""
-    cuts = long.groupBy(*keys).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx("value", cuts_at, accuracy))).alias("cuts")
-    )
-    placed = with_count_at_or_below(
-        long.join(F.broadcast(cuts), keys), "cuts", "value", name, len(cuts_at)
-    )
-    return placed.drop("cuts")
+def _sketch(cuts_at: list[float], accuracy: int):
+    """Aggregate: ascending distinct cuts near these quantiles."""
+    return F.array_sort(F.array_distinct(F.percentile_approx("value", cuts_at, accuracy)))
+
+
+def _placed(long: DataFrame, cuts: DataFrame, keys: list[str], name: str, longest: int) -> DataFrame:
+    """The rows of groups with cuts, and how many of its group's cuts are at most the value. There are
+    as many rows of cuts as groups, which the columns and probabilities bound."""
+    return with_count_at_or_below(long.join(F.broadcast(cuts), keys), "cuts", "value", name, longest)
 
 
 def _literal(probabilities: list[float]) -> str:
@@ -91,7 +91,7 @@ def _literal(probabilities: list[float]) -> str:
 
 
 def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
-    """(feature, outer, before, n, rank): where the two ranks around each quantile lie.
+    """(feature, outer, cuts, before, n, rank): where the two ranks around each quantile lie.
 
     ``held`` has the number of values of each bucket; a column has a few dozen.
     """
@@ -103,6 +103,7 @@ def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
         held.selectExpr(
             "feature",
             "outer",
+            "cuts",
             "held",
             "sum(held) OVER (PARTITION BY feature ORDER BY outer) - held AS before",
             "sum(held) OVER (PARTITION BY feature) AS n",
@@ -116,20 +117,18 @@ def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
 def _values_at_ranks(inner: DataFrame, ranks: DataFrame) -> DataFrame:
     """(feature, n, at): ``at`` maps every wanted rank to its value."""
     bucket = ["feature", "outer", "inner"]
-    upto = inner.groupBy(*bucket).agg(F.expr("count(*) AS held")).selectExpr(
+    values = inner.groupBy(*bucket, "value").agg(F.expr("count(*) AS copies"))
+    starts = values.groupBy(*bucket).agg(F.expr("sum(copies) AS held")).selectExpr(
         *bucket, "held", "sum(held) OVER (PARTITION BY feature, outer ORDER BY inner) - held AS earlier"
     )
     # as few rows as there are ranks
     located = (
-        upto.join(F.broadcast(ranks), ["feature", "outer"])
+        starts.join(F.broadcast(ranks.drop("cuts")), ["feature", "outer"])
         .selectExpr(*bucket, "before + earlier AS start", "held", "n", "rank")
         .filter("rank >= start AND rank < start + held")
     )
-    running = (
-        inner.join(F.broadcast(located.select(*bucket).distinct()), bucket, "left_semi")
-        .groupBy(*bucket, "value")
-        .agg(F.expr("count(*) AS copies"))
-        .selectExpr("*", "sum(copies) OVER (PARTITION BY feature, outer, inner ORDER BY value) AS upto")
+    running = values.selectExpr(
+        "*", "sum(copies) OVER (PARTITION BY feature, outer, inner ORDER BY value) AS upto"
     )
     return (
         running.join(F.broadcast(located), bucket)
