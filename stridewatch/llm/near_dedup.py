@@ -7,10 +7,10 @@ threshold; classes are the connected components of the links.
 1. Document frequencies over all documents, in ``FREQUENCIES`` hashed counters: a table of fixed size.
 2. Each document gets ``BANDS * ROWS`` consistent weighted samples. Documents with equal words share one
    representative; representatives that agree in all samples of a band meet in its bucket.
-3. In each bucket, members are compared with a growing set of pivots, first one, then eight, and so on, until all members
-   belong to one class or all pairs of members of different classes have been compared. No bucket is capped, and members of
-   one class are not compared again.
-4. A comparison first counts equal samples, then computes the similarity from both texts.
+3. Buckets with the same members count once. The texts of a bucket's members meet in blocks of bounded size, a
+   large bucket as all pairs of its blocks, so none is capped. A block computes the similarities of its members and
+   sends on a forest: one link fewer than it has members at most, never all pairs.
+4. The links' connected components are the classes.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 FREQUENCIES = 1 << 18  # the top 18 bits of a 64-bit hash
 SLICE_BYTES = 1 << 20
-#: Pairs whose share of equal samples is below this are not compared by text. At a similarity of
-#: 0.8 and 64 samples it lies six standard deviations down.
-LEAST_AGREEMENT = 0.5
-PIVOT_GROWTH = 8
+#: Members of a block; about as many again meet them where a bucket has several.
+BLOCK = 512
+#: Members that a block compares with all others one by one before it turns to an index of shingles.
+PIVOTS = 8
 #: Weights lie between one (a shingle of every document) and two (a shingle of none other).
 _QUANTA = 1 << 16
 
@@ -154,10 +154,8 @@ def idf_table(frequencies: np.ndarray, documents: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf, size: int) -> DataFrame:
-    """(doc_id, digest, bands, samples) of each document that has words and a doc_id.
-
-    ``samples`` has the low byte of each sample, ``bands`` a number for all samples of a band.
-    """
+    """(doc_id, digest, bands) of each document that has words and a doc_id; ``bands`` has a number for all
+    samples of each band."""
 
     def sample(batches):
         draws, weights = Sampler(BANDS * ROWS), idf.value
@@ -181,13 +179,12 @@ def signatures(docs: DataFrame, idf, size: int) -> DataFrame:
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(here) + 1) * BANDS, pa.int32()), pa.array(bands.view(np.int64).ravel())
                         ),
-                        pa.array([row.tobytes() for row in drawn.astype(np.uint8)], pa.binary()),
                     ],
-                    ["doc_id", "digest", "bands", "samples"],
+                    ["doc_id", "digest", "bands"],
                 )
 
     named = _texts(docs).where("doc_id IS NOT NULL")
-    return named.mapInArrow(sample, "doc_id long, digest binary, bands array<bigint>, samples binary")
+    return named.mapInArrow(sample, "doc_id long, digest binary, bands array<bigint>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -201,7 +198,6 @@ def components(edges: DataFrame) -> DataFrame:
         return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
     edges = settle(edges.where("a <> b").select(*larger_first("a", "b")).distinct(), "edges")
-    state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -210,93 +206,116 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = settle(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()  # two numbers
-        if now == state:
-            roots = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-            return roots.unionByName(roots.select(F.col("root").alias("id"), "root").distinct())
-        state = now
-
+        # done when every id has one root and no root has a root of its own
+        roots = edges.select(F.col("v").alias("u")).distinct()
+        twice = edges.groupBy("u").count().where("count > 1").select("u")
+        if edges.join(roots, "u", "left_semi").select("u").unionByName(twice).isEmpty():
+            named = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+            return named.unionByName(roots.select(F.col("u").alias("id"), F.col("u").alias("root")))
+
+
+class Block:
+    """Weighted shingles of some documents, and the links that join them into classes."""
+
+    def __init__(self, texts: pa.Array, weights: np.ndarray, size: int):
+        found = Shingles(texts, size)
+        self.n, self.text, self.hashes = len(texts), found.text, found.hashes
+        self.weight = found.counts * weights[found.counters()]
+        self.total = np.bincount(self.text, self.weight, self.n)
+        self.begin = np.searchsorted(self.text, np.arange(self.n + 1))
+        self.index = None
+
+    def _similar(self, overlap: np.ndarray, row: int, threshold: float) -> np.ndarray:
+        union = self.total + self.total[row] - overlap
+        return np.flatnonzero((overlap > 0) & (overlap >= threshold * union))
+
+    def against_all(self, row: int, threshold: float) -> np.ndarray:
+        """Rows similar to ``row``: every shingle of the block is looked up in the row's."""
+        own = slice(self.begin[row], self.begin[row + 1])
+        if self.begin[row] == self.begin[row + 1]:
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes[own], self.hashes), own.stop - own.start - 1)
+        shared = self.hashes[own][at] == self.hashes
+        least = np.minimum(self.weight[shared], self.weight[own][at[shared]])
+        return self._similar(np.bincount(self.text[shared], least, self.n), row, threshold)
+
+    def by_index(self, row: int, threshold: float) -> np.ndarray:
+        """The same from an index of the block's shingles: only documents that share one are met."""
+        if self.index is None:
+            order = np.argsort(self.hashes, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(self.hashes[order]) != 0))
+            size = np.diff(np.append(first, len(order)))
+            place = np.empty(len(order), np.int64)
+            place[order] = np.repeat(np.arange(len(first)), size)
+            self.index = order, first, size, place
+        order, first, size, place = self.index
+        own = np.arange(self.begin[row], self.begin[row + 1])
+        n = size[place[own]]
+        met = order[np.repeat(first[place[own]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        least = np.minimum(np.repeat(self.weight[own], n), self.weight[met])
+        return self._similar(np.bincount(self.text[met], least, self.n), row, threshold)
+
+    def forest(self, threshold: float) -> list[tuple[int, int]]:
+        """Links between similar rows that connect all that are connected, at most n - 1."""
+        root, links = list(range(self.n)), []
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        def join(row: int, similar: np.ndarray) -> None:
+            for other in similar.tolist():
+                a, b = find(row), find(other)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((row, other))
+
+        def outside() -> list[int]:
+            """Rows that are not of the largest class. Pairs within that class need no comparison."""
+            of = np.array([find(x) for x in range(self.n)])
+            return np.flatnonzero(of != np.bincount(of).argmax()).tolist()
+
+        left, asked = list(range(self.n)), set()
+        for _ in range(PIVOTS):
+            fresh = [x for x in left if x not in asked]
+            if not fresh:
+                return links
+            asked.add(fresh[0])
+            join(fresh[0], self.against_all(fresh[0], threshold))
+            left = outside()
+        for row in left:
+            if row not in asked:
+                join(row, self.by_index(row, threshold))
+        return links
+
+
+def links(members: DataFrame, texts: DataFrame, idf, size: int, threshold: float) -> DataFrame:
+    """(a, b): links that connect all similar members (bucket, id) of a bucket. ``texts`` is (id, text)."""
+    # buckets with the same members count once: by their number and two sums over hashes of the ids
+    number = F.xxhash64("id")
+    told = members.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(number).alias("x"), F.sum(F.shiftright(number, 24)).alias("s")
+    )
+    once = told.groupBy("n", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    placed = (
+        members.join(once, "bucket")
+        .withColumn("own", F.pmod(number, blocks))
+        .select("bucket", "id", "own", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        .select("bucket", "id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
 
-def similarities(pairs: DataFrame, texts: DataFrame, idf, size: int) -> DataFrame:
-    """(a, b, similarity) of pairs of ids, from their texts (id, text)."""
+    def connect(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("id").to_numpy(), kind="stable")
+        ids = table.column("id").to_numpy()[order]
+        text = pa.concat_arrays([c.cast(pa.large_binary()) for c in table.column("text").chunks])
+        found = Block(text.take(pa.array(order)), idf.value, size).forest(threshold)
+        a, b = (np.array([pair[k] for pair in found], np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())})
 
-    def compare(batches):
-        weights = idf.value
-        for batch in batches:
-            values = np.zeros(batch.num_rows)
-            for lo in range(0, batch.num_rows, 256):
-                sides = []
-                for column in (2, 3):
-                    found = Shingles(batch.column(column).slice(lo, 256), size)
-                    sides.append((found.text, found.hashes, found.counts * weights[found.counters()]))
-                values[lo : lo + 256] = _weighted_jaccard(*sides, min(256, batch.num_rows - lo))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(values)], ["a", "b", "similarity"]
-            )
-
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(compare, "a long, b long, similarity double")
-
-
-def _weighted_jaccard(left, right, rows: int) -> np.ndarray:
-    """Sum of smaller over sum of larger weights, by row; both sides are (row, shingle, weight)."""
-    row = np.concatenate([left[0], right[0]])
-    key = np.concatenate([left[1], right[1]]) | (row.astype(np.uint64) << np.uint64(48))
-    weight = np.concatenate([left[2], right[2]])
-    order = np.argsort(key, kind="stable")
-    key, weight, row = key[order], weight[order], row[order]
-    twice = np.flatnonzero(key[1:] == key[:-1])
-    shared = np.bincount(row[twice], np.minimum(weight[twice], weight[twice + 1]), rows)
-    total = np.bincount(row, weight, rows)
-    return shared / np.maximum(total - shared, 1e-300)
-
-
-def _agreement(a: str, b: str):
-    """Equal bytes of two sample strings, as a share."""
-    samples = BANDS * ROWS
-    same = [F.substr(a, F.lit(k), F.lit(1)) == F.substr(b, F.lit(k), F.lit(1)) for k in range(1, samples + 1)]
-    return sum((s.cast("int") for s in same), F.lit(0)) / samples
-
-
-def links(members: DataFrame, samples: DataFrame, texts: DataFrame, idf, size: int, threshold: float) -> DataFrame:
-    """(id, root): classes of the members (bucket, id) that are linked to another.
-
-    ``samples`` (id, samples) and ``texts`` (id, text) hold all members.
-    """
-    compared = roots = None
-
-    def rooted(members: DataFrame) -> DataFrame:
-        if roots is None:
-            return members.withColumn("root", F.col("id"))
-        return members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-
-    most = members.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0  # one number
-    pivots = 1
-    while most > 1:
-        held = rooted(members)
-        group = F.pmod(F.xxhash64("id"), F.lit(pivots))
-        chosen = held.groupBy("bucket", group.alias("part")).agg(F.min(F.struct("id", "root")).alias("pivot"))
-        chosen = chosen.select("bucket", F.col("pivot.id").alias("a"), F.col("pivot.root").alias("a_root"))
-        met = held.join(chosen, "bucket").where("root <> a_root")
-        pairs = met.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        first, second = (samples.select(F.col("id").alias(c), F.col("samples").alias(f"of_{c}")) for c in ("a", "b"))
-        agreed = pairs.join(first, "a").join(second, "b").where(_agreement("of_a", "of_b") >= LEAST_AGREEMENT)
-        fresh = agreed.select("a", "b")
-        if compared is not None:
-            fresh = fresh.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        found = settle(similarities(settle(fresh, "near-pairs"), texts, idf, size), "near-similarities")
-        compared = found if compared is None else compared.unionByName(found)
-        roots = components(compared.where(F.col("similarity") >= threshold).select("a", "b"))
-        if pivots >= most:
-            break
-        # buckets whose members are all of one class are done
-        mixed = rooted(members).groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        members = settle(members.join(mixed.select("bucket"), "bucket", "left_semi"), "near-members")
-        most = members.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
-        pivots *= PIVOT_GROWTH
-    return members.sparkSession.createDataFrame([], "id long, root long") if roots is None else roots
+    return placed.join(texts, "id").groupBy("bucket", "i", "j").applyInArrow(connect, "a long, b long")
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -310,7 +329,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD)
     frequencies, documents = document_frequencies(docs, size)
     idf = spark.sparkContext.broadcast(idf_table(frequencies, documents))
     signed = settle(signatures(docs, idf, size), "near-signatures")
-    best = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "bands", "samples")).alias("best"))
+    best = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "bands")).alias("best"))
     heads = settle(best.select("digest", "best.*"), "near-heads")
     heads = heads.withColumnRenamed("doc_id", "id")
     placed = heads.select("id", F.explode("bands").alias("bucket"))
@@ -319,8 +338,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD)
     wanted = members.select("id").distinct()
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     texts = settle(texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text")), "near-texts")
-    samples = settle(heads.select("id", "samples").join(wanted, "id", "left_semi"), "near-samples")
-    roots = links(members, samples.dropDuplicates(["id"]), texts, idf, size, threshold)
+    roots = components(settle(links(members, texts, idf, size, threshold), "near-links"))
     named = heads.join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("class_id"))
     of_digest = settle(named, "near-classes")
     # rows that share a doc_id have one class: the smallest of their texts'
