@@ -23,6 +23,7 @@ from .common import settle
 SHARD_DIGESTS = 1 << 15
 BUCKETS = 1 << 13
 SEEDS = 3
+ROUNDS = 400
 SLOT = (
     "shard long, bucket long, slot long, shift long, spread long, slots long, seed int, leads boolean, "
     "digest string, keep_id long, group_size long"
@@ -106,7 +107,7 @@ def _perfect(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _place(a, b, m, members, rng):
-    """(slot, shift, spread, leads) by digest, or None if two digests of a bucket always fall together."""
+    """(slot, shift, spread, leads) by digest, or None if a bucket finds no free slots."""
     free = np.ones(m, bool)
     slot, shift, spread = (np.zeros(m, np.int64) for _ in range(3))
     leads = np.zeros(m, bool)
@@ -118,7 +119,7 @@ def _place(a, b, m, members, rng):
         if len(set(zip(x.tolist(), y.tolist()))) < len(keys):
             return None
         tries = 32
-        while True:
+        for _ in range(ROUNDS):
             moves, turns = rng.integers(0, m, tries), rng.integers(0, 1 << 20, tries)
             spots = (a[keys] + moves[:, None] + turns[:, None] * b[keys]) % m
             fits = free[spots].all(axis=1)
@@ -131,6 +132,8 @@ def _place(a, b, m, members, rng):
                     free[spots[k]] = False
                     break
             tries = min(4 * tries, 4096)
+        else:
+            return None
     singles = np.array([keys[0] for keys in members if len(keys) == 1], np.int64)
     leads[singles] = True
     left = np.flatnonzero(free)

@@ -152,6 +152,27 @@ def test_near_equals_brute_force(spark, make):
     assert len(set(want.values())) < len(want) - 20
 
 
+@pytest.mark.parametrize("pivots,block", [(0, 512), (2, 512), (8, 16)])
+def test_blocks_lose_no_link(make, monkeypatch, pivots, block):
+    """A few pivots or none, one block or many: the same classes."""
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    pairs = near_pairs()
+    docs = make(pairs)
+    idf = near_dedup.idf_table(*near_dedup.document_frequencies(docs, 5))
+    if block == 512:
+        found = near_dedup.Block(pa.array([t or "" for _, t in pairs]), idf, 5).forest(0.8)
+        root = {i: i for i in range(len(pairs))}
+        for a, b in found:
+            low, high = sorted((root[a], root[b]))
+            assert low != high  # a forest
+            root = {k: low if v == high else v for k, v in root.items()}
+        assert {pairs[k][0]: pairs[v][0] for k, v in root.items()} == brute_classes(pairs, idf)
+    else:
+        got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+        assert got == brute_classes(pairs, idf)
+
+
 def test_near_odd_rows(odd, empty):
     got = near_dedup.classes(odd).collect()
     assert len(got) == len(odd_pairs())
