@@ -35,6 +35,7 @@ EXCEPTIONS = (
 
 PREFIX_LENGTHS = (4, 5, 6)
 LEAST_DOCUMENTS = 4
+LEAST_SHARE = 0.01
 LEAST_LOG_ODDS = 2.5
 MOST_TERMS = 2_000
 
@@ -76,10 +77,12 @@ def learn_lexicon(texts: list[str], labels: np.ndarray) -> dict[str, float]:
     """Weights of terms: the smoothed log odds of a document that has the term being toxic.
 
     ``" word "`` is a whole word, ``" stem"`` the beginning of any word. Only terms of at least
-    ``LEAST_DOCUMENTS`` toxic documents and ``LEAST_LOG_ODDS`` above the base rate are kept, a longer one only if no
-    beginning of it is as telling.
+    ``LEAST_DOCUMENTS`` toxic documents, and ``LEAST_SHARE`` of them, and ``LEAST_LOG_ODDS`` above the base rate are
+    kept, a longer one only if no beginning of it is as telling. Copies of a text count once.
     """
     toxic, clean = Counter(), Counter()
+    once = dict(zip(texts, labels.tolist()))
+    texts, labels = list(once), np.array(list(once.values()), np.int64)
     n_toxic = int(labels.sum())
     n_clean = len(labels) - n_toxic
     if not n_toxic or not n_clean:
@@ -91,7 +94,7 @@ def learn_lexicon(texts: list[str], labels: np.ndarray) -> dict[str, float]:
         (toxic if label else clean).update(terms)
     weights = {}
     for term, n in toxic.items():
-        if n >= LEAST_DOCUMENTS:
+        if n >= max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic):
             odds = np.log((n + 0.5) / (n_toxic + 1)) - np.log((clean[term] + 0.5) / (n_clean + 1))
             if odds >= LEAST_LOG_ODDS:
                 weights[term] = float(odds)
