@@ -1,7 +1,9 @@
-"""Benchmark decontamination: windows of test words looked up in a broadcast hash set.
+"""Benchmark decontamination: test n-grams in a broadcast hash set, looked up from every document.
 
-Only DataFrame functions run here. The words of each document give the hash of the window at each place; windows
-whose hash is in the set are compared word by word with the test window, and the words they cover are hit.
+Only DataFrame functions run here. A window of ``size`` words is found by its grams of half as many words: the set has every gram
+of every test window with its offset in it, and of a document every so-many-th gram is looked up, so that
+each window of the document has exactly one of them. What is found is compared word by word with the test window, and the
+words of equal windows are hit.
 """
 
 from __future__ import annotations
@@ -12,23 +14,31 @@ from pyspark.sql import functions as F
 from .common import settle
 from .url_filter import LOWER, UPPER
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Test windows that one broadcast holds; more are dealt to several, each with its own scan.
-WINDOWS_AT_ONCE = 400_000
+#: What parts words, in lowered texts and in texts as they are.
+PARTING = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+PARTING_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Grams that one broadcast holds; more are dealt to several, each with its own scan.
+GRAMS_AT_ONCE = 400_000
 
 
 def words(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered, PARTING), "")
 
 
-def window_hashes(size: int) -> Column:
-    """The hash of each run of ``size`` entries of the column ``words``."""
-    starts = F.sequence(F.lit(0), F.size("words") - F.lit(size))
+def gram_and_stride(size: int) -> tuple[int, int]:
+    """Words of a gram, and words between looked-up grams: a window has one of them whole."""
+    gram = (size + 1) // 2
+    return gram, size - gram + 1
+
+
+def looked_up(size: int) -> Column:
+    """Hashes of the grams of the column ``words`` at every stride."""
+    gram, stride = gram_and_stride(size)
+    starts = F.sequence(F.lit(0), F.size("words") - F.lit(gram), F.lit(stride))
     return F.when(
         F.size("words") >= size,
-        F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col("words"), i + F.lit(k)) for k in range(size)])),
+        F.transform(starts, lambda i: F.xxhash64(*[F.get(F.col("words"), i + F.lit(k)) for k in range(gram)])),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -49,26 +59,33 @@ def test_windows(benchmark: DataFrame, size: int) -> DataFrame:
     return found.groupBy("size", "window").agg(F.collect_set("item").alias("items"))
 
 
-def with_hash(windows: DataFrame, size: int) -> DataFrame:
-    chosen = windows.where(F.col("size") == size)
-    return chosen.select(F.xxhash64(*[F.get("window", F.lit(k)) for k in range(size)]).alias("hash"), "window", "items")
+def grams(windows: DataFrame, size: int) -> DataFrame:
+    """(hash, offset, window, items): all grams of the windows of ``size`` words."""
+    gram, stride = gram_and_stride(size)
+    spread = windows.where(F.col("size") == size).select(
+        "window", "items", F.explode(F.array(*map(F.lit, range(stride)))).alias("offset")
+    )
+    hashed = F.xxhash64(*[F.get("window", F.col("offset") + F.lit(k)) for k in range(gram)])
+    return spread.select(hashed.alias("hash"), "offset", "window", "items")
 
 
-def hits(docs: DataFrame, windows: DataFrame, size: int, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
+def hits(docs: DataFrame, windows: DataFrame, size: int, at_once: int = GRAMS_AT_ONCE) -> DataFrame:
     """(doc_id, text_hash, start, size, items): places of ``docs`` where a test window stands."""
     windows = settle(windows, "test-windows")
     counts = {row["size"]: row["count"] for row in windows.groupBy("size").count().collect()}  # at most ``size`` rows
     split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
     found = []
     for length, count in sorted(counts.items()) or [(size, 0)]:
-        places = split.select("doc_id", "text_hash", "words", F.posexplode(window_hashes(length)).alias("start", "hash"))
-        parts = max(1, -(-count // at_once))
-        tests = with_hash(windows, length)
+        stride = gram_and_stride(length)[1]
+        places = split.select("doc_id", "text_hash", "words", F.posexplode(looked_up(length)).alias("k", "hash"))
+        parts = max(1, -(-count * stride // at_once))
+        tests = grams(windows, length)
         for part in range(parts):
             held = tests if parts == 1 else tests.where(F.pmod(F.col("hash"), F.lit(parts)) == part)
-            met = places.join(F.broadcast(held), "hash")
-            same = F.slice("words", F.col("start") + 1, F.lit(length)) == F.col("window")
-            found.append(met.where(same).select("doc_id", "text_hash", "start", F.lit(length).alias("size"), "items"))
+            met = places.join(F.broadcast(held), "hash").withColumn("start", F.col("k") * stride - F.col("offset"))
+            there = F.when(F.col("start") >= 0, F.slice("words", F.col("start") + 1, F.lit(length)))
+            met = met.where(there == F.col("window"))
+            found.append(met.select("doc_id", "text_hash", "start", F.lit(length).alias("size"), "items"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -95,7 +112,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     counted = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"),
+        F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), PARTING_ANY_CASE), "")).cast("long").alias("n_words"),
     )
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     joined = counted.join(per_document, same, "left")
