@@ -46,9 +46,12 @@ def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
 
 
 def misses(docs: DataFrame, cached: DataFrame) -> DataFrame:
-    """(digest, text), one row for each distinct content that is not in the cache."""
+    """(digest, text), one row for each distinct content that is not in the cache.
+
+    Copies are merged before anything is shuffled, so a content of very many documents is one row a task.
+    """
     keyed = docs.select(content(F.col("text")).alias("text")).select(digest(F.col("text")).alias("digest"), "text")
-    return keyed.join(cached, "digest", "left_anti").dropDuplicates(["digest"])
+    return keyed.dropDuplicates(["digest"]).join(cached, "digest", "left_anti")
 
 
 def count(missing: DataFrame, path: str) -> DataFrame:
