@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_PIECES = 500_000
+KEPT_PIECES = 350_000
 LONG_PIECE = 64
 TOGETHER = 256
 MARKS = (".", ",")
