@@ -9,7 +9,7 @@ doc_id, then smallest start) stays, and the words of the others go.
    Aho-Corasick automaton over words, and the shard's documents are streamed through it: it finds every
    occurrence, hence every window that may recur.
 3. Passages. These windows, one row for each shard they stand in, are confirmed by their count over all shards, and
-   get their first place.
+   get their first place. They go back to the shards that hold a later one.
 4. Removal. Each shard's documents meet the confirmed windows of the shard; words under a later place go.
 
 Anchors and windows of a shard are merged before they are shuffled, so what a phrase in very many documents
@@ -295,8 +295,10 @@ def dedup_passages(
     everywhere = Window.partitionBy("key", "check")
     first = F.min(F.struct("doc_id", "start")).over(everywhere)
     confirmed = found.select(
-        "key", "check", "shard", first.alias("first"), F.sum("n").over(everywhere).alias("total")
+        "key", "check", "shard", "doc_id", "start", "n", first.alias("first"), F.sum("n").over(everywhere).alias("total")
     ).where("total > 1")
+    # a shard whose only copy is the first of all has nothing to remove
+    confirmed = confirmed.where("n > 1 OR first.doc_id <> doc_id OR first.start <> start")
     passages = confirmed.select(
         "key", "check", "shard", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start")
     )
