@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import shared_folder
-from . import decontamination, exact_dedup, near_dedup, packing, quality, simple8b, substring_dedup
+from . import decontamination, exact_dedup, fingerprints, near_dedup, packing, quality, simple8b, substring_dedup
 from . import token_counts, toxicity, url_filter
 from .common import table
 
@@ -158,3 +158,8 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
 def op10_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.contamination(documents, benchmark, size=10)
+
+
+@query()
+def op11_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
