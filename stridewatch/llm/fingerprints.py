@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import with_count_at_or_below
+
 WINDOW = 7
 LEAST_CHUNKS, MOST_CHUNKS = 32, 64
 RUN = 4
@@ -187,7 +189,7 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _cuts(keyed: DataFrame, parts: int) -> np.ndarray:
+def _cuts(keyed: DataFrame, parts: int) -> list[tuple[int, int]]:
     """The smallest (id, hash) of each of at most ``parts`` ranges of the rows: one row a range."""
     ranged = keyed.select("key", "hash").repartitionByRange(parts, "key", "hash")
 
@@ -202,18 +204,7 @@ def _cuts(keyed: DataFrame, parts: int) -> np.ndarray:
         if best is not None:
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in best], ["key", "hash"])
 
-    rows = ranged.mapInArrow(least, "key long, hash long").collect()
-    return np.array(sorted((r.key, r.hash) for r in rows), np.int64).reshape(-1, 2)
-
-
-def range_of(cuts: np.ndarray, key: np.ndarray, hash_: np.ndarray) -> np.ndarray:
-    """The number of the range of each (key, hash)."""
-    low, high = (np.searchsorted(cuts[:, 0], key, side) for side in ("left", "right"))
-    out = low.copy()
-    for value in np.unique(key[high > low]).tolist():
-        here = np.flatnonzero(key == value)
-        out[here] += np.searchsorted(cuts[low[here[0]] : high[here[0]], 1], hash_[here], "right")
-    return np.maximum(out - 1, 0)
+    return sorted((r.key, r.hash) for r in ranged.mapInArrow(least, "key long, hash long").collect())
 
 
 def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -230,18 +221,14 @@ def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
     )
     cuts = _cuts(keyed, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = max(len(cuts), 1)
-
-    @F.pandas_udf("int")
-    def part(key, hash_):
-        import pandas as pd
-
-        return pd.Series(range_of(cuts, key.to_numpy(), hash_.to_numpy()).astype(np.int32))
-
-    own = keyed.withColumn("part", part("key", "hash")).withColumn("own", F.lit(True))
     # as many rows as there are ranges, at most spark.sql.shuffle.partitions
     heads = spark.createDataFrame(
-        [(int(k), int(h), (i - 1) % n) for i, (k, h) in enumerate(cuts)], "key long, hash long, part int"
+        [(k, h, (i - 1) % n) for i, (k, h) in enumerate(cuts)], "key long, hash long, part int"
     )
+    bounds = heads.agg(F.sort_array(F.collect_list(F.struct("key", "hash")))).scalar()
+    placed = keyed.select("*", F.struct("key", "hash").alias("place"), bounds.alias("bounds"))
+    placed = with_count_at_or_below(placed, "bounds", "place", "part", n)
+    own = placed.select(keyed.columns + [(F.col("part") - 1).alias("part"), F.lit(True).alias("own")])
     wanted = keyed.join(F.broadcast(heads.select("key", "hash")), ["key", "hash"], "left_semi")
     first = wanted.groupBy("key", "hash").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
     guests = first.join(F.broadcast(heads), ["key", "hash"]).withColumn("own", F.lit(False))
