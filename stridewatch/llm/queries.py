@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import shared_folder
-from . import decontamination, exact_dedup, fingerprints, near_dedup, packing, quality, simple8b, substring_dedup
-from . import token_counts, toxicity, url_filter
+from . import alignment, conversations, decontamination, exact_dedup, fingerprints, near_dedup, packing, quality
+from . import simple8b, substring_dedup, token_counts, toxicity, url_filter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,14 @@ def op10_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_token_span_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bytes_file, pieces_file = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), bytes_file, pieces_file)
+
+
+@query()
+def op13_path_ranked_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))

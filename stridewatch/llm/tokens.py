@@ -118,7 +118,7 @@ class Encoder:
             lists = pc.ascii_split_whitespace(texts)
             pieces, before = lists.flatten(), _list_offsets(lists)
         else:
-            pieces, before = self._space_pieces(texts)
+            pieces, before = space_pieces(texts)
         coded = pc.dictionary_encode(pieces)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
@@ -129,27 +129,28 @@ class Encoder:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         return gather(flat, first, size, codes), np.concatenate([[0], np.cumsum(size[codes])])[before]
 
-    def _space_pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """Pieces that begin at single spaces between non-space characters."""
-        lists = pc.split_pattern(texts, " ")
-        pieces, before = lists.flatten(), _list_offsets(lists)
-        # a piece that is empty or has white space at an edge shows a space beside white space
-        edge = pc.match_substring_regex(pieces, r"^$|^[\s\p{Z}\x1c-\x1f\x85]|[\s\p{Z}\x1c-\x1f\x85]$")
-        odd = np.add.reduceat(np.append(edge.to_numpy(zero_copy_only=False), False).astype(np.int64), before[:-1])
-        out, at = [], [0]
-        head = np.zeros(len(pieces), bool)
-        head[before[:-1]] = True
-        if not odd.any():
-            spaced = pc.if_else(pa.array(head), pieces, pc.binary_join_element_wise("", pieces, " "))
-            return spaced, before
+
+def space_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Pieces that begin at single spaces between non-space characters."""
+    lists = pc.split_pattern(texts, " ")
+    pieces, before = lists.flatten(), _list_offsets(lists)
+    # a piece that is empty or has white space at an edge shows a space beside white space
+    edge = pc.match_substring_regex(pieces, r"^$|^[\s\p{Z}\x1c-\x1f\x85]|[\s\p{Z}\x1c-\x1f\x85]$")
+    odd = np.add.reduceat(np.append(edge.to_numpy(zero_copy_only=False), False).astype(np.int64), before[:-1])
+    out, at = [], [0]
+    head = np.zeros(len(pieces), bool)
+    head[before[:-1]] = True
+    if not odd.any():
         spaced = pc.if_else(pa.array(head), pieces, pc.binary_join_element_wise("", pieces, " "))
-        for row in range(len(texts)):
-            if odd[row]:
-                out.append(pa.array(_CAREFUL.split(texts[row].as_py()), pa.string()))
-            else:
-                out.append(spaced.slice(int(before[row]), int(before[row + 1] - before[row])).cast(pa.string()))
-            at.append(at[-1] + len(out[-1]))
-        return pa.concat_arrays(out), np.array(at)
+        return spaced, before
+    spaced = pc.if_else(pa.array(head), pieces, pc.binary_join_element_wise("", pieces, " "))
+    for row in range(len(texts)):
+        if odd[row]:
+            out.append(pa.array(_CAREFUL.split(texts[row].as_py()), pa.string()))
+        else:
+            out.append(spaced.slice(int(before[row]), int(before[row + 1] - before[row])).cast(pa.string()))
+        at.append(at[-1] + len(out[-1]))
+    return pa.concat_arrays(out), np.array(at)
 
 
 #: Before a space that stands between two characters, neither of them white space.
