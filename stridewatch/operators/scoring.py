@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 WINDOW_KEYS = ["subject_id", "win", "phase"]
 
@@ -64,27 +60,6 @@ def score(
     return scored.select(*keep, label.alias(output_col))
 
 
-def score_in_batches(
-    batch: DataFrame,
-    inputs: list[str],
-    keep: list[str],
-    load: Callable[[], Callable[[pd.DataFrame], pd.Series]],
-    output_col: str,
-) -> DataFrame:
-    """Score with any Python model. ``load`` runs once per task and returns its predict function."""
-    schema = StructType([*(batch.schema[c] for c in keep), StructField(output_col, LongType())])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = load()
-        for frame in frames:
-            out = frame[keep].copy()
-            out[output_col] = pd.Series(predict(frame[inputs]), index=frame.index).astype("int64")
-            yield out
-
-    needed = list(dict.fromkeys([*keep, *inputs]))
-    return batch.select(*needed).mapInPandas(run, schema)
-
-
 def latest_predictions(
     predictions: DataFrame,
     *,

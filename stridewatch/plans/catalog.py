@@ -1298,3 +1298,52 @@ def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unknown_predictions",
         F.when(F.col("split") == "train", F.col("right") > F.col("largest")).alias("beats_largest_class"),
     )
+
+
+BOOSTED_ROUNDS = 30
+
+
+@query(
+    """WITH steps AS (
+  SELECT vec_id,
+         greatest(-8, least(7, floor(CAST(embedding[1] AS DOUBLE) * 4))) AS a,
+         greatest(-8, least(7, floor(CAST(embedding[2] AS DOUBLE) * 4))) AS b,
+         CAST(floor(CAST(embedding[3] AS DOUBLE) * 4) AS BIGINT) % 3 = 0 AS missing
+  FROM embeddings)
+SELECT vec_id, CASE WHEN vec_id % 4 = 0 THEN 'holdout' ELSE 'train' END AS split,
+       CASE WHEN missing THEN 3 WHEN a < 0 THEN 0 WHEN b < 0 THEN 1 ELSE 2 END AS predicted,
+       true AS stopped_early
+FROM steps"""
+)
+def train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted ensembles stopped early by subject, saved, reloaded, and every prediction compared.
+
+    The label is a rule over steps of the vectors, so a right model predicts it on the holdout too. Whether the
+    third entry is missing decides first, and its median is no missing value: that takes the indicator.
+    """
+
+    def entry(i: int):
+        return F.floor(F.get("embedding", F.lit(i)).cast("double") * 4)
+
+    def step(i: int):
+        return F.greatest(F.lit(-8), F.least(F.lit(7), entry(i))).cast("double")
+
+    rule = F.when(F.col("c").isNull(), 3).when(F.col("a") < 0, 0).when(F.col("b") < 0, 1).otherwise(2)
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("vec_id") % 4 == 0, "holdout").otherwise("train").alias("split"),
+        (F.col("vec_id") % 30).alias("subject_id"),
+        step(0).alias("a"),
+        step(1).alias("b"),
+        F.when(entry(2) % 3 != 0, step(2)).alias("c"),
+    ).withColumn("label", rule)
+    limits = {"maxIter": BOOSTED_ROUNDS, "stepSize": 0.8, "maxDepth": 3, "seed": 42, "validationTol": 0.2}
+    model = training.train_classifier(
+        vectors.filter("split = 'train'"), ["a", "b", "c"], "label", boosted=True, params=limits, subject_col="subject_id"
+    )
+    path = shared_folder(spark, "boosted-model")
+    model.write().save(path)
+    loaded = training.PipelineModel.load(path)
+    early = any(n < BOOSTED_ROUNDS for n in training.rounds_used(loaded))
+    scored = scoring.score(loaded, vectors, ["vec_id", "split"], "predicted", "int")
+    return scored.withColumn("stopped_early", F.lit(early))

@@ -52,6 +52,7 @@ class Settings:
     completeness: float = features.COMPLETENESS
     boosted: bool = False
     params: dict | None = None  # of the trees; None takes the defaults
+    validation_fraction: float = training.VALIDATION_FRACTION  # of the subjects; boosted only
     floor: float = registry.ABSOLUTE_FLOOR
     regression_tolerance: float = registry.REGRESSION_TOLERANCE
     performance_tolerance: float = drift.PERFORMANCE_TOLERANCE
@@ -163,7 +164,13 @@ def train(spark: SparkSession, settings: Settings) -> str:
     fit_on, hold = gold.filter("split = 'train'"), gold.filter("split = 'holdout'")
     inputs = features.feature_columns(gold, GOLD_IDS)
     model = training.train_classifier(
-        fit_on, inputs, "activity_id", boosted=settings.boosted, params=settings.tree_params
+        fit_on,
+        inputs,
+        "activity_id",
+        boosted=settings.boosted,
+        params=settings.tree_params,
+        subject_col="subject_id",
+        validation_fraction=settings.validation_fraction,
     )
     run_id = uuid.uuid4().hex
     path = settings.at(f"models/{run_id}")

@@ -1,4 +1,3 @@
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,14 +126,48 @@ def test_boosted_multiclass(spark):
     assert scoring.score(model, df, ["y"], "p").filter("p <> y").count() == 0
 
 
-def test_any_python_model_scores_in_batches(spark):
-    df = spark.createDataFrame([(i, float(i)) for i in range(20)], "k bigint, a double")
+@pytest.fixture(scope="module")
+def stepped(spark):
+    """A label that follows from a, b and whether c is missing; twenty subjects."""
+    rows = [
+        (i, f"s{i % 20}", float(i % 7), float(i * 5 % 11), None if i % 3 == 0 else float(i % 4)) for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k int, subject string, a double, b double, c double")
+    label = F.when(F.col("c").isNull(), 9).when(F.col("a") < 3, 4).when(F.col("b") < 5, 5).otherwise(7)
+    return df.withColumn("y", label)
+
 
-    def load():
-        return lambda frame: pd.Series(frame["a"] * 2)
+STEPS = {"maxIter": 40, "stepSize": 0.8, "maxDepth": 3, "seed": 3, "validationTol": 0.2}
 
-    got = {r.k: r.p for r in scoring.score_in_batches(df, ["a"], ["k"], load, "p").collect()}
-    assert got == {i: 2 * i for i in range(20)}
+
+def test_boosting_stops_early_and_is_saved_whole(spark, stepped, tmp_path):
+    model = training.train_classifier(
+        stepped, ["a", "b", "c"], "y", boosted=True, params=STEPS, subject_col="subject", validation_fraction=0.2
+    )
+    rounds = training.rounds_used(model)
+    assert len(rounds) == 4 and all(1 <= r < 40 for r in rounds)
+    model.write().save(str(tmp_path / "model"))
+    loaded = training.PipelineModel.load(str(tmp_path / "model"))
+    assert scoring.model_inputs(loaded) == ["a", "b", "c"]
+    assert training.rounds_used(loaded) == rounds
+    # the median of c is a reading of others: only the indicator tells them apart
+    assert scoring.score(loaded, stepped, ["y"], "p").filter("p <> y").count() == 0
+
+
+def test_validation_is_by_subject(spark, stepped):
+    marked = training.with_validation_subjects(stepped, "subject", 0.2)
+    sides = marked.groupBy("subject").agg(F.count_distinct(training.VALIDATES).alias("n"), F.max(training.VALIDATES).alias("v"))
+    rows = sides.collect()
+    assert all(r.n == 1 for r in rows) and sum(r.v for r in rows) in (4, 5)
+    few = training.with_validation_subjects(stepped.filter("k < 3"), "subject", 0.1)
+    assert few.filter(training.VALIDATES).select("subject").distinct().count() == 1
+
+
+def test_one_subject_leaves_nothing_to_validate_on(spark, stepped):
+    alone = stepped.withColumn("subject", F.lit("s")).filter("c IS NOT NULL")
+    params = {**STEPS, "maxIter": 3}
+    model = training.train_classifier(alone, ["a", "b", "c"], "y", boosted=True, params=params, subject_col="subject")
+    assert training.rounds_used(model) == [3, 3, 3]
 
 
 def test_lineage(spark):
