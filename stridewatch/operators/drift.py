@@ -52,25 +52,34 @@ def histogram_by_edges(
     return counted.selectExpr(name_of_feature(features), "bin", "n_ref", "n_cur")
 
 
-def _histogram(
-    reference: DataFrame, current: DataFrame, features: list[str], edges: DataFrame, bins: int
-) -> DataFrame:
-    # The feature column is its place in the list here; see long_form.
-    # slice() rejects a negative length, and fewer than three edges have no inner edge.
-    inner = edges.selectExpr(
+def _inner_edges(edges: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, edge_count, inner), one row a feature: its size is fixed by the schema.
+
+    slice() rejects a negative length, and fewer than three edges have no inner edge.
+    """
+    return edges.selectExpr(
         place_of_feature(features),
         "size(edges) AS edge_count",
         "if(size(edges) >= 3, slice(edges, 2, size(edges) - 2), array()) AS inner",
     )
+
+
+def _binned(long: DataFrame, inner: DataFrame, bins: int) -> DataFrame:
+    return with_count_at_or_below(
+        long.join(F.broadcast(inner), "feature", "left"), "inner", "value", "bin", bins
+    )
+
+
+def _histogram(
+    reference: DataFrame, current: DataFrame, features: list[str], edges: DataFrame, bins: int
+) -> DataFrame:
+    # The feature column is its place in the list here; see long_form.
     sides = (
         long_form(reference, features)
         .selectExpr("*", "1 AS is_ref")
         .unionByName(long_form(current, features).selectExpr("*", "0 AS is_ref"))
     )
-    # One row per feature: its size is fixed by the schema.
-    placed = with_count_at_or_below(
-        sides.join(F.broadcast(inner), "feature", "left"), "inner", "value", "bin", bins
-    )
+    placed = _binned(sides, _inner_edges(edges, features), bins)
     return placed.groupBy("feature", "edge_count", "bin").agg(
         F.expr("sum(is_ref) AS n_ref"), F.expr("sum(1 - is_ref) AS n_cur")
     )
@@ -97,7 +106,11 @@ def psi(
     fewer than three distinct edges. A zero would look like "no drift".
     """
     edges = quantile_edges(reference, features, bins, approximate=approximate)
-    totals = _histogram(reference, current, features, edges, bins).selectExpr(
+    return _psi_of(_histogram(reference, current, features, edges, bins), features, bins)
+
+
+def _psi_of(histogram: DataFrame, features: list[str], bins: int) -> DataFrame:
+    totals = histogram.selectExpr(
         "*",
         "sum(n_ref) OVER (PARTITION BY feature) AS all_ref",
         "sum(n_cur) OVER (PARTITION BY feature) AS all_cur",
@@ -107,7 +120,7 @@ def psi(
         F.expr(f"sum({term}) AS total")
     )
     # Every requested feature gets a row, also one without a single observed value.
-    every = reference.sparkSession.createDataFrame(
+    every = histogram.sparkSession.createDataFrame(
         [(i,) for i in range(len(features))], "feature int"
     )
     return every.join(summed, "feature", "left").selectExpr(
@@ -116,6 +129,49 @@ def psi(
     )
 
 
+def baseline(reference: DataFrame, features: list[str], bins: int = BINS) -> DataFrame:
+    """(feature, n, edges, counts): all that PSI needs to know of the reference.
+
+    ``counts`` maps a bin to its number of reference values. A few hundred numbers a feature, whatever the
+    reference's size: written at training, they spare every monitoring run a scan of the training rows.
+    """
+    edges = quantile_edges(reference, features, bins)
+    inner = _inner_edges(edges, features)
+    counted = _binned(long_form(reference, features), inner, bins).groupBy("feature", "bin").agg(
+        F.count(F.lit(1)).alias("held")
+    )
+    # at most ``bins`` entries a feature
+    maps = counted.groupBy("feature").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "held"))).alias("counts")
+    )
+    return edges.join(maps.selectExpr(name_of_feature(features), "counts"), "feature")
+
+
+def psi_from_baseline(
+    stored: DataFrame, current: DataFrame, features: list[str], bins: int = BINS
+) -> DataFrame:
+    """(feature, psi), as ``psi`` gives it, from a stored baseline with this number of bins."""
+    inner = _inner_edges(stored, features)
+    reference = stored.selectExpr(
+        place_of_feature(features), "size(edges) AS edge_count", "explode(counts) AS (bin, n_ref)"
+    )
+    counted = _binned(long_form(current, features), inner, bins).groupBy(
+        "feature", "edge_count", "bin"
+    ).agg(F.count(F.lit(1)).alias("n_cur"))
+    both = reference.selectExpr("*", "0L AS n_cur").unionByName(counted.selectExpr("*", "0L AS n_ref"))
+    summed = both.groupBy("feature", "edge_count", "bin").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
+    )
+    return _psi_of(summed, features, bins)
+
+
+def label_counts(reference: DataFrame, label_col: str) -> DataFrame:
+    """(category, n): the reference's side of the prediction drift."""
+    return reference.groupBy(F.col(label_col).cast("long").alias("category")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 def category_counts(
     reference: DataFrame, reference_col: str, current: DataFrame, current_col: str
 ) -> DataFrame:
@@ -221,7 +277,7 @@ def drift_status(
 
 
 def drift_report(
-    reference: DataFrame,
+    reference: DataFrame | None,
     current: DataFrame,
     features: list[str],
     champion: DataFrame,
@@ -231,8 +287,10 @@ def drift_report(
     bins: int = BINS,
     performance_tolerance: float = PERFORMANCE_TOLERANCE,
     feature_psi: DataFrame | None = None,
+    reference_labels: DataFrame | None = None,
 ) -> DataFrame:
-    """The monitoring row, without its load time.
+    """The monitoring row, without its load time. With ``feature_psi`` and ``reference_labels`` (see
+    ``label_counts``) from a stored baseline no reference is needed.
 
     ``champion`` is one row (model_name, model_version, model_run_id, promoted_macro_f1). Row
     counts, prediction drift and realised F1 come from one label x prediction table.
@@ -242,9 +300,7 @@ def drift_report(
     bands = psi_bands(feature_psi).drop("features_compared")
     outcome = outcomes(current, label_col, prediction_col)
     n = F.col("n")
-    labels = reference.groupBy(F.col(label_col).cast("long").alias("category")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    labels = label_counts(reference, label_col) if reference_labels is None else reference_labels
     mix = (
         labels.select("category", n.alias("n_ref"), F.lit(0).cast("long").alias("n_cur"))
         .unionByName(

@@ -1,9 +1,9 @@
 """Exact linear-interpolated quantiles of many columns, without collecting a column anywhere.
 
 Spark's ``percentile`` keeps every distinct value of a group in one task. Here a sketch of each column
-gives cuts close to the wanted ranks, one pass counts the values between cuts, and only the buckets
-that hold a wanted rank are looked into: they are cut and counted once more, and the values of the
-small buckets that remain are sorted, equal values as one row with their number. The same steps are
+gives cuts close to the wanted ranks, one pass counts the values between cuts, and only the values of
+buckets that hold a wanted rank, about two in ten thousand a rank, go on, equal values as one row with
+their number: they are cut and counted once more, and what remains is sorted. The same steps are
 taken for every amount of data. Counts decide which bucket holds a rank, so a sketch that is off
 makes a bucket larger and never a quantile wrong.
 """
@@ -65,12 +65,17 @@ def exact_quantiles(
     even = [(i + 1) / (inner_cuts + 1) for i in range(inner_cuts)]
     cuts = long.groupBy("feature").agg(_sketch(near, accuracy).alias("cuts"))
     outer = _placed(long, cuts, ["feature"], "outer", len(near)).select("feature", "outer", "value")
-    cells = outer.groupBy("feature", "outer").agg(
-        F.expr("count(*) AS held"), _sketch(even, accuracy).alias("cuts")
-    )
+    cells = outer.groupBy("feature", "outer").agg(F.expr("count(*) AS held"))
     ranks = _wanted(cells, probabilities)
-    wanted = ranks.select("feature", "outer", "cuts").dropDuplicates(["feature", "outer"])
-    inner = _placed(outer, wanted, ["feature", "outer"], "inner", inner_cuts)
+    wanted = ranks.select("feature", "outer").dropDuplicates(["feature", "outer"])
+    # only cells with a wanted rank go on; there are as many as ranks at most
+    values = (
+        outer.join(F.broadcast(wanted), ["feature", "outer"])
+        .groupBy("feature", "outer", "value")
+        .agg(F.expr("count(*) AS copies"))
+    )
+    within = values.groupBy("feature", "outer").agg(_sketch(even, accuracy).alias("cuts"))
+    inner = _placed(values, within, ["feature", "outer"], "inner", inner_cuts)
     found = _interpolated(_values_at_ranks(inner, ranks), probabilities, "at[{rank}]")
     return found.selectExpr(name_of_feature(columns), "n", "quantiles")
 
@@ -91,7 +96,7 @@ def _literal(probabilities: list[float]) -> str:
 
 
 def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
-    """(feature, outer, cuts, before, n, rank): where the two ranks around each quantile lie.
+    """(feature, outer, before, n, rank): where the two ranks around each quantile lie.
 
     ``held`` has the number of values of each bucket; a column has a few dozen.
     """
@@ -103,7 +108,6 @@ def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
         held.selectExpr(
             "feature",
             "outer",
-            "cuts",
             "held",
             "sum(held) OVER (PARTITION BY feature ORDER BY outer) - held AS before",
             "sum(held) OVER (PARTITION BY feature) AS n",
@@ -114,16 +118,15 @@ def _wanted(held: DataFrame, probabilities: list[float]) -> DataFrame:
     )
 
 
-def _values_at_ranks(inner: DataFrame, ranks: DataFrame) -> DataFrame:
-    """(feature, n, at): ``at`` maps every wanted rank to its value."""
+def _values_at_ranks(values: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(feature, n, at): ``at`` maps every wanted rank to its value. ``values`` has distinct values."""
     bucket = ["feature", "outer", "inner"]
-    values = inner.groupBy(*bucket, "value").agg(F.expr("count(*) AS copies"))
     starts = values.groupBy(*bucket).agg(F.expr("sum(copies) AS held")).selectExpr(
         *bucket, "held", "sum(held) OVER (PARTITION BY feature, outer ORDER BY inner) - held AS earlier"
     )
     # as few rows as there are ranks
     located = (
-        starts.join(F.broadcast(ranks.drop("cuts")), ["feature", "outer"])
+        starts.join(F.broadcast(ranks), ["feature", "outer"])
         .selectExpr(*bucket, "before + earlier AS start", "held", "n", "rank")
         .filter("rank >= start AND rank < start + held")
     )

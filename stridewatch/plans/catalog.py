@@ -690,6 +690,15 @@ def feature_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(drift.psi(reference, current, LINE_FEATURES), "psi")
 
 
+@query(ORACLE["feature_psi"])
+def psi_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's edges and counts are written once; PSI then reads them and the current rows."""
+    reference, current = line_sides(spark, sf_dir)
+    path = shared_folder(spark, "baseline")
+    drift.baseline(reference, LINE_FEATURES).write.parquet(path)
+    return rounded(drift.psi_from_baseline(spark.read.parquet(path), current, LINE_FEATURES), "psi")
+
+
 GUARDED = ["constant", "few_values", "only_reference", "never", "far_apart"]
 
 

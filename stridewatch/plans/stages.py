@@ -211,9 +211,36 @@ def train(spark: SparkSession, settings: Settings) -> str:
     append_history(record, settings.at("runs"))
     report = metrics.classification_report(counts).withColumn("run_id", F.lit(run_id))
     append_history(report, settings.at("run_reports"))
+    write_baseline(spark, settings, run_id)
     return run_id
 
 
+def write_baseline(spark: SparkSession, settings: Settings, run_id: str) -> None:
+    """What drift is measured against, taken from the training rows once and kept with the run."""
+    gold = spark.read.parquet(settings.at("gold_features"))
+    fit_on = gold.filter("split = 'train'")
+    kept = {"run_id": F.lit(run_id), "bins": F.lit(settings.bins)}
+    labels = drift.label_counts(fit_on, "activity_id").withColumn("run_id", F.lit(run_id))
+    append_history(labels, settings.at("baseline_labels"), ["run_id"])
+    edges = drift.baseline(fit_on, gold_inputs(gold), settings.bins).withColumns(kept)
+    append_history(edges, settings.at("baselines"), ["run_id", "bins"])
+
+
+def baseline_of(spark: SparkSession, settings: Settings, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """(edges and counts, label counts) of a run. A run that has none for this number of bins gets them
+    now: one of before baselines were kept, or one with other settings."""
+    try:
+        edges = read_history(spark, settings.at("baselines"), run_id=run_id, bins=settings.bins)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        write_baseline(spark, settings, run_id)
+        edges = read_history(spark, settings.at("baselines"), run_id=run_id, bins=settings.bins)
+    labels = read_history(spark, settings.at("baseline_labels"), run_id=run_id)
+    # a second baseline of the run repeats the same rows
+    return edges, labels.select("category", "n").distinct()
+
+
 def promote(spark: SparkSession, settings: Settings) -> Row:
     """Register the latest run, judge it, record the decision and move an alias.
 
@@ -327,10 +354,13 @@ def monitor(spark: SparkSession, settings: Settings, split: str = "holdout") ->
         [(settings.model_name, champion.version, champion.run_id, champion.score)],
         "model_name string, model_version bigint, model_run_id string, promoted_macro_f1 double",
     )
-    reference, inputs = gold.filter("split = 'train'"), features.feature_columns(gold, GOLD_IDS)
+    inputs = gold_inputs(gold)
+    # The training side was counted when the champion was trained: only the current rows are read.
+    edges, labels = baseline_of(spark, settings, champion.run_id)
     # Every feature's PSI is kept, and the report is made from what was written.
     report_id = uuid.uuid4().hex
-    detail = drift.psi_detail(drift.psi(reference, current, inputs, settings.bins)).withColumns(
+    found = drift.psi_from_baseline(edges, current, inputs, settings.bins)
+    detail = drift.psi_detail(found).withColumns(
         {
             "model_name": F.lit(settings.model_name),
             "model_version": F.lit(champion.version).cast("long"),
@@ -341,13 +371,14 @@ def monitor(spark: SparkSession, settings: Settings, split: str = "holdout") ->
     append_history(detail, settings.at("drift_features"), ["report_id"])
     written = read_history(spark, settings.at("drift_features"), report_id=report_id)
     report = drift.drift_report(
-        reference,
+        None,
         current,
         inputs,
         promoted,
         bins=settings.bins,
         performance_tolerance=settings.performance_tolerance,
         feature_psi=written.select("feature", "psi"),
+        reference_labels=labels,
     ).withColumns({"computed_at": F.current_timestamp(), "report_id": F.lit(report_id)})
     # The row is collected once and written from the driver: the report is not computed twice.
     rows = report.collect()

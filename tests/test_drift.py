@@ -193,3 +193,21 @@ def test_alert():
     assert "2 features" in drift.alert({**row, "status": "drift_detected"})
     with pytest.raises(drift.PerformanceDegraded, match="0.7000"):
         drift.alert({**row, "status": "performance_degraded"})
+
+
+def test_baseline_gives_the_same_psi_without_the_reference(spark, tmp_path):
+    rows = [
+        (i % 3 > 0, float(i * 7919 % 301), 1.0, float("nan") if i % 2 else 5.0, None if i % 3 else 2.0, float(i % 4))
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(rows, "ref boolean, wide double, same double, half double, late double, few double")
+    names = ["wide", "same", "half", "late", "few"]
+    before, after = df.filter("ref"), df.filter("NOT ref").withColumn("wide", F.col("wide") + 20)
+    path = str(tmp_path / "baseline")
+    drift.baseline(before, names).write.parquet(path)
+    found = drift.psi_from_baseline(spark.read.parquet(path), after, names)
+    got, want = ({r.feature: r.psi for r in d.collect()} for d in (found, drift.psi(before, after, names)))
+    assert got.keys() == want.keys() == set(names)
+    for name in names:
+        assert got[name] == pytest.approx(want[name], nan_ok=True, abs=1e-12)
+    assert not math.isnan(got["wide"]) and math.isnan(got["late"])

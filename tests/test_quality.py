@@ -158,7 +158,7 @@ def test_validation_is_by_subject(spark, stepped):
     marked = training.with_validation_subjects(stepped, "subject", 0.2)
     sides = marked.groupBy("subject").agg(F.count_distinct(training.VALIDATES).alias("n"), F.max(training.VALIDATES).alias("v"))
     rows = sides.collect()
-    assert all(r.n == 1 for r in rows) and sum(r.v for r in rows) in (4, 5)
+    assert all(r.n == 1 for r in rows) and sum(r.v for r in rows) in (3, 4, 5)
     few = training.with_validation_subjects(stepped.filter("k < 3"), "subject", 0.1)
     assert few.filter(training.VALIDATES).select("subject").distinct().count() == 1
 

@@ -75,6 +75,33 @@ def test_every_features_drift_is_kept(spark, settings):
     assert bands.get("significant", 0) == report.features_significant
 
 
+def test_monitoring_reads_no_training_row(spark, settings):
+    champion = stages.champion_of(spark, settings)
+    edges, labels = stages.baseline_of(spark, settings, champion.run_id)
+    assert edges.count() == 198
+    assert not [f for f in edges.inputFiles() + labels.inputFiles() if "gold_features" in f]
+    gold = spark.read.parquet(settings.at("gold_features"))
+    train = gold.filter("split = 'train'")
+    assert labels.agg(F.sum("n")).first()[0] == train.count()
+    inputs = stages.gold_inputs(gold)
+    current = gold.filter("split = 'holdout'")
+    found = drift.psi_from_baseline(edges, current, inputs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "gold_features" in line]
+    assert scans and all("split" in line and "= holdout" in line for line in scans)
+    want = {r.feature: r.psi for r in drift.psi(train, current, inputs).collect()}
+    for row in found.collect():
+        assert row.psi == pytest.approx(want[row.feature], nan_ok=True, abs=1e-9)
+
+
+def test_a_run_without_a_baseline_gets_one(spark, settings):
+    run_id = stages.champion_of(spark, settings).run_id
+    coarse = stages.Settings(**{**settings.__dict__, "bins": 5})
+    edges, labels = stages.baseline_of(spark, coarse, run_id)
+    assert edges.agg(F.max(F.size("counts"))).first()[0] == 5
+    assert labels.count() == labels.select("category").distinct().count()
+
+
 def test_another_models_run_is_not_promoted(spark, settings):
     other = stages.Settings(**{**settings.__dict__, "model_name": "other"})
     with pytest.raises(registry.GateFailed, match="no finished run of other"):
