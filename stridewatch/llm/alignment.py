@@ -6,7 +6,7 @@ Byte offsets where tokens of both end cut them into groups; an A and a B token o
 1. Spans. The character offsets of ``tokenizers`` and the spans of a sentencepiece proto are coarse cuts. Where several
    tokens share a character, and for byte-fallback tokens, the decoded bytes of the tokens say where each ends.
 2. Pieces. Neither tokenizer has a token across a single space between two other characters, so both end there: a
-   text's groups are those of its pieces, and a worker aligns a piece that it remembers once.
+   text's groups are those of its pieces. A worker remembers the pieces it has met and aligns the others together.
 3. Blocks. Documents are taken in blocks of ``BLOCK_BYTES``. A block sends each of its distinct id pairs once, with the
    number of its documents that hold it. Counts are summed over all blocks, go back to the blocks that asked, and there
    meet the documents again: no row is made for a pair of a document.
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections import Counter
 
 import numpy as np
@@ -28,9 +29,14 @@ from pyspark.sql import functions as F
 from .common import settle, slices
 from .tokens import LONG_PIECE, Memo, gather, space_pieces
 
-KEPT_PIECES = 150_000
+KEPT_PIECES = 250_000
 TOGETHER = 512
 BLOCK_BYTES = 4 << 20
+#: More links than this in a group, and its pairs are counted by distinct ids.
+LARGE_GROUP = 4096
+MARKS = (".", ",")
+_MARKED = re.compile(r"[^\W\d_][.,]")
+_LINES = re.compile(r"(?<=[\w.,;:!?])(\n)(?=\w)")
 
 _aligners: dict[tuple, "Aligner"] = {}
 
@@ -72,20 +78,42 @@ class Aligner:
             self.b_is_byte.append(single)
             self.b_bytes.append(bytes([int(entry[3:5], 16)]) if single else entry.replace("▁", " ").encode())
         self.memo = Memo(KEPT_PIECES)
+        most = max(self.a_bytes, default=-1) + 1
+        self.a_width = np.array([len(self.a_bytes.get(i, b"")) for i in range(most)], np.int64)
+        self.b_width = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.b_single = np.array(self.b_is_byte)
+        # ids as text behind each separator
+        names = [str(i) for i in range(max(most, len(self.b_bytes)))]
+        self.named = [names] + [[mark + name for name in names] for mark in (",", ";", "|")]
+        pieces = [b.decode("utf-8", "ignore") for b, one in zip(self.b_bytes, self.b_is_byte) if not one]
+        self.cut_marks = not any(_MARKED.search(piece) for piece in pieces)
+        self.cut_lines = not any("\n" in piece for piece in pieces) and len(self.b.encode("\n")) == 2
 
     @property
     def b_size(self) -> int:
         return len(self.b_bytes)
 
+    def units(self, piece: str) -> list[str]:
+        """Parts of a piece at whose ends tokens of both end: words, a mark after a word, a line end between words.
+
+        The first tokenizer never joins these; the model does not if none of its entries does.
+        """
+        parts = _LINES.split(piece) if self.cut_lines and "\n" in piece else [piece]
+        if not self.cut_marks:
+            return parts
+        out = []
+        for part in parts:
+            marked = part[-1:] in MARKS and part[-2:-1].isalpha()
+            out += [part[:-1], part[-1]] if marked else [part]
+        return out
+
     def ends_of_a(self, piece: str, ids: list[int], offsets: list[tuple[int, int]]) -> list[int]:
         """The byte offset at which each token ends. A token that ends where the next one's first character begins ends
         with a character; one that the next shares a character with ends after as many bytes as it has."""
         ends = [end for _, end in offsets]
         if piece.isascii():
             return ends
-        width = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
-        size = 1 + (width > 0x7F).astype(np.int64) + (width > 0x7FF) + (width > 0xFFFF)
-        at = np.concatenate([[0], np.cumsum(size)]).tolist()
+        at = _byte_offsets(piece).tolist()
         done, last = 0, len(ids) - 1
         for k, end in enumerate(ends):
             shared = k < last and offsets[k + 1][0] < end
@@ -93,25 +121,26 @@ class Aligner:
             ends[k] = done
         return ends
 
-    def ends_of_b(self, pieces) -> tuple[list[int], list[int]]:
-        """(ids, byte offset at which each token ends) of a proto's pieces. Its spans do not count the space before the
-        text; byte tokens of one character have one span, so each ends a byte after the one before."""
+    def ends_of_b(self, unit: str, pieces) -> tuple[list[int], list[int]]:
+        """(ids, byte offset at which each token ends) of a proto's pieces. Its spans count from the text that was given to
+        the model; byte tokens of one character have one span, so each ends a byte after the one before."""
         ids, ends, done = [], [], 0
+        more = 1 if unit[0] == " " else -1
         for token in pieces:
             i = token.id
-            done = done + 1 if self.b_is_byte[i] else token.end + 1
+            done = done + 1 if self.b_is_byte[i] else token.end + more
             ids.append(i)
             ends.append(done)
         return ids, ends
 
-    def groups(self, piece: str, encoded, proto) -> list[tuple[list[int], list[int]]] | None:
-        """(A ids, B ids) of each group; None if the tokens of either do not spell the piece."""
-        raw = piece.encode()
+    def groups(self, unit: str, encoded, pieces) -> list[tuple[list[int], list[int]]] | None:
+        """(A ids, B ids) of each group; None if the tokens of either do not spell the unit."""
+        raw = unit.encode()
         a_ids = encoded.ids
-        b_ids, b_ends = self.ends_of_b(proto.pieces)
+        b_ids, b_ends = self.ends_of_b(unit, pieces)
         if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
             return None
-        a_ends = self.ends_of_a(piece, a_ids, encoded.offsets)
+        a_ends = self.ends_of_a(unit, a_ids, encoded.offsets)
         place = {end: k for k, end in enumerate(b_ends)}
         found, i, j = [], 0, 0
         for k, end in enumerate(a_ends):
@@ -143,16 +172,115 @@ class Aligner:
         numbers = [n_a, n_b, len(groups), links, len(pairs), *pairs, *pairs.values()]
         return np.array(numbers, np.int64).tobytes(), ";".join(text).encode()
 
+    def _alone(self, unit: str) -> tuple[bytes, bytes]:
+        """The value of one unit. The model puts a space before a text; a unit that has none comes after a line end, which
+        is a token of its own, and both are left out."""
+        encoded = self.a.encode(unit, add_special_tokens=False)
+        if unit[0] == " ":
+            pieces = self.b.encode(unit[1:], return_type="proto").pieces
+        else:
+            pieces = self.b.encode("\n" + unit, return_type="proto").pieces[2:]
+        return self._value(self.groups(unit, encoded, pieces))
+
+    def _together(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """The values of units without white space but one space before them: one text of all, a line end before each.
+
+        Where the tokens do not spell that text, or a group is large, each unit is done alone.
+        """
+        text = "\n" + "\n".join(units)
+        raw, n = text.encode(), len(units)
+        encoded = self.a.encode(text, add_special_tokens=False)
+        pieces = self.b.encode(text, return_type="proto").pieces
+        a_list, b_list = encoded.ids, [token.id for token in pieces]
+        a, b = np.array(a_list, np.int64), np.array(b_list, np.int64)
+        size = np.array([len(unit.encode()) for unit in units] if len(raw) > len(text) else list(map(len, units)), np.int64)
+        stop = np.cumsum(size + 1)
+        begin = stop - size
+        # spans first; tokens that share a character, and byte tokens, end after as many bytes as they have
+        span = np.array(encoded.offsets, np.int64).reshape(-1, 2)
+        shared = np.append(span[1:, 0] < span[:-1, 1], False)[: len(span)]
+        a_end = np.where(shared, np.cumsum(self.a_width[a]), _byte_offsets(text)[span[:, 1]])
+        b_span = np.array([token.end for token in pieces], np.int64)
+        b_end = np.where(self.b_single[b], np.cumsum(self.b_width[b]) - 1, b_span)
+        spelled = (
+            b"".join([self.a_bytes[i] for i in a_list]) == raw
+            and b"".join([self.b_bytes[i] for i in b_list]) == b" " + raw
+            and all(_also_in(edge, end).all() for edge in (begin, stop) for end in (a_end, b_end))
+        )
+        if spelled:
+            a_own, b_own = ~_also_in(a_end, begin), ~_also_in(b_end, begin) & (b_end > 0)
+            a, b, a_end, b_end = a[a_own], b[b_own], a_end[a_own], b_end[b_own]
+            a_of, b_of = np.searchsorted(stop, a_end), np.searchsorted(stop, b_end)
+            a_count, b_count = np.bincount(a_of, minlength=n), np.bincount(b_of, minlength=n)
+            a_cut, b_cut = _also_in(a_end, b_end), _also_in(b_end, a_end)
+            a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
+            held_a, held_b = np.bincount(a_group), np.bincount(b_group)
+            links = held_a * held_b
+            spelled = links.max(initial=0) <= LARGE_GROUP
+        if not spelled:
+            return list(map(self._alone, units))
+        a_first, b_first = np.cumsum(held_a) - held_a, np.cumsum(held_b) - held_b
+        unit_of = a_of[a_first]
+        # all pairs of each group, then each unit's distinct ones
+        group = np.repeat(np.arange(len(links)), links)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
+        keys = a[a_first[group] + k // held_b[group]] * self.b_size + b[b_first[group] + k % held_b[group]]
+        most = len(self.a_width) * self.b_size
+        once, times = np.unique(unit_of[group] * most + keys, return_counts=True)
+        owner, keys = np.divmod(once, most)
+        held = np.bincount(owner, minlength=n)
+        width = 5 + 2 * held
+        first = np.cumsum(width) - width
+        flat = np.empty(int(width.sum()), np.int64)
+        heads = [a_count, b_count, np.bincount(unit_of, minlength=n), np.bincount(unit_of, links, n).astype(np.int64), held]
+        for c, column in enumerate(heads):
+            flat[first + c] = column
+        at = first[owner] + 5 + np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
+        flat[at] = keys
+        flat[at + held[owner]] = times
+        # the groups as text: every id behind its separator
+        a_mark, b_mark = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
+        a_mark[a_first], b_mark[b_first] = 2, 3
+        a_mark[np.cumsum(a_count) - a_count] = 0
+        text = np.empty(len(a) + len(b), object)
+        text[np.arange(len(a)) + b_first[a_group]] = [self.named[m][i] for m, i in zip(a_mark.tolist(), a.tolist())]
+        text[np.arange(len(b)) + a_first[b_group] + held_a[b_group]] = [
+            self.named[m][i] for m, i in zip(b_mark.tolist(), b.tolist())
+        ]
+        text, raw = text.tolist(), flat.tobytes()
+        ends, cuts = np.cumsum(a_count + b_count).tolist(), (8 * np.append(first, len(flat))).tolist()
+        return [
+            (raw[lo:hi], "".join(text[x:y]).encode()) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)
+        ]
+
+    def _known(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """The value of each of these units, from the memo where it has them."""
+        units = list(dict.fromkeys(units))
+        found = dict(zip(units, self.memo.look_up(units)))
+        unknown = [unit for unit, value in found.items() if value is None]
+        plain = [u for u in unknown if len(u.split()) == 1 and not u[-1].isspace() and not u[1:2].isspace()]
+        plain = plain if self.cut_lines else []
+        for lo in range(0, len(plain), TOGETHER):
+            part = plain[lo : lo + TOGETHER]
+            found.update(zip(part, self._together(part)))
+        for unit in unknown:
+            if found[unit] is None:
+                found[unit] = self._alone(unit)
+            if len(unit) <= LONG_PIECE:
+                self.memo.put(unit, found[unit])
+        return found
+
     def values(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
         """The value of each of these distinct pieces, from the memo where it has them. Each begins with a space."""
         values = self.memo.look_up(pieces)
         unknown = [i for i, value in enumerate(values) if value is None]
-        for lo in range(0, len(unknown), TOGETHER):
-            part = unknown[lo : lo + TOGETHER]
-            encoded = self.a.encode_batch([pieces[i] for i in part], add_special_tokens=False)
-            protos = self.b.encode([pieces[i][1:] for i in part], return_type="proto", num_threads=1)
-            for i, one, other in zip(part, encoded, protos):
-                values[i] = self._value(self.groups(pieces[i], one, other))
+        parts = [self.units(pieces[i]) for i in unknown]
+        known = self._known([unit for units in parts for unit in units])
+        for i, units in zip(unknown, parts):
+            if len(units) == 1:
+                values[i] = known[units[0]]
+            else:
+                values[i] = _joined([known[unit] for unit in units])
                 if len(pieces[i]) <= LONG_PIECE:
                     self.memo.put(pieces[i], values[i])
         return values
@@ -204,6 +332,32 @@ class Aligner:
         }
 
 
+def _byte_offsets(text: str) -> np.ndarray:
+    """The byte offset of each character, and of the end."""
+    if text.isascii():
+        return np.arange(len(text) + 1)
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    size = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+    return np.concatenate([[0], np.cumsum(size)])
+
+
+def _also_in(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of these ascending numbers are among the other ascending ones."""
+    at = np.minimum(np.searchsorted(others, values), len(others) - 1)
+    return others[at] == values
+
+
+def _joined(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
+    """The value of a piece from those of its units. A pair of two units is listed twice."""
+    numbers = [np.frombuffer(raw, np.int64) for raw, _ in values]
+    if any(part[0] == 0 for part in numbers):
+        return _NO_TOKENS
+    pairs = [part[5 : 5 + part[4]] for part in numbers]
+    times = [part[5 + part[4] :] for part in numbers]
+    head = sum(part[:5] for part in numbers)
+    return np.concatenate([head, *pairs, *times]).tobytes(), b";".join([text for _, text in values])
+
+
 _NO_TOKENS = (np.zeros(5, np.int64).tobytes(), b"")
 _LONGS = pa.list_(pa.int64())
 _BLOCK = pa.schema(

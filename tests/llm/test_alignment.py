@@ -90,7 +90,7 @@ def plain_rows(tokens, pairs):
 
 def mixed(n, seed=6):
     rng = random.Random(seed)
-    pieces = PIECES + ["<s>", "▁", "𓀀", "ﬁ", "\r\n", "​", "ing", "tion ", "word", " word", "naïve ", "Zürich", "0.5%"]
+    pieces = PIECES + ["<s>", "▁", "𓀀", "ﬁ", "\r\n", "​", "ing", "tion ", "word", " word", "naïve ", "Zürich", "0.5%", "end.\nNext", "x.\n", "²."]
     return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(n)]
 
 
@@ -113,6 +113,16 @@ def test_pieces_give_the_groups_of_whole_texts(plain):
             assert dict(zip(pairs, found["times"][span].tolist())) == dict(links)
 
 
+def test_large_groups_and_single_units_are_the_same(plain, monkeypatch):
+    texts = mixed(80, 12)
+    want = alignment.Aligner(A, B).block(pa.array(texts))
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 0)
+    got = alignment.Aligner(A, B).block(pa.array(texts))
+    assert got["digests"] == want["digests"]
+    for name in ("pairs", "holders", "before", "which", "times"):
+        assert (got[name] == want[name]).all()
+
+
 def test_alignment_equals_plain_python(make, odd, plain):
     pairs = odd_pairs() + [(100 + i, t) for i, t in enumerate(mixed(120, 9))] + [(7, "a tie"), (7, "a tie")]
     got = [tuple(r) for r in alignment.align(make(pairs), A, B).collect()]
