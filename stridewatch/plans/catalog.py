@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import micros
 from ..operators import cleaning, drift, features, metrics, profile, quality, registry, scoring
-from ..operators import training, windows
+from ..operators import sketches, training, windows
 from ..operators.filling import forward_fill
-from ..operators.quantiles import evenly_spaced, exact_quantiles
+from ..operators.quantiles import evenly_spaced, exact_quantiles, long_form, name_of_feature
 from ..sources import append_history, read_history, shared_folder
 from .features import feature_plan
 
@@ -699,6 +699,92 @@ def psi_from_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(drift.psi_from_baseline(spark.read.parquet(path), current, LINE_FEATURES), "psi")
 
 
+def batch_sketches(spark: SparkSession, sides: DataFrame, features_: list[str], split: str) -> DataFrame:
+    """Quantile sketches of three batches, each appended by itself, read back as one history."""
+    path = shared_folder(spark, "sketches")
+    for batch in range(3):
+        rows = sides.filter(F.col(split) % 3 == batch)
+        kept = sketches.quantile_sketches(rows, features_).withColumn("batch", F.lit(batch))
+        append_history(kept, path, ["batch"])
+    return read_history(spark, path)
+
+
+@query(
+    f"""WITH {SIDES_SQL}
+SELECT feature, count(*) AS n, CAST(p.i AS INTEGER) AS quantile_no, true AS within
+FROM sides, (SELECT unnest(range(0, {drift.BINS + 1})) AS i) p
+WHERE is_ref AND value IS NOT NULL AND NOT isnan(value) GROUP BY feature, p.i"""
+)
+def merged_sketch_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of three merged batches, each held against exact counts of the values below it."""
+    reference, _ = line_sides(spark, sf_dir)
+    kept = batch_sketches(spark, reference, LINE_FEATURES, "l_orderkey")
+    points = evenly_spaced(drift.BINS)
+    found = sketches.merged_quantiles(kept, points)
+    # four rows, one a feature
+    long = long_form(reference, LINE_FEATURES).selectExpr(name_of_feature(LINE_FEATURES), "value")
+    met = long.join(F.broadcast(found.select("feature", "quantiles")), "feature")
+    counts = [
+        F.struct(
+            F.count_if(F.col("value") < F.get("quantiles", F.lit(i))).alias("below"),
+            F.count_if(F.col("value") <= F.get("quantiles", F.lit(i))).alias("upto"),
+            F.lit(p).alias("p"),
+        )
+        for i, p in enumerate(points)
+    ]
+    held = met.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.array(*counts).alias("counts"))
+    stated = held.join(found.select("feature", F.col("n").alias("sketched")), "feature").filter("n = sketched")
+    listed = stated.select("feature", "n", F.posexplode("counts").alias("quantile_no", "c"))
+    error = sketches.rank_error()
+    within = (F.col("c.below") / F.col("n") - error <= F.col("c.p")) & (
+        F.col("c.p") <= F.col("c.upto") / F.col("n") + error
+    )
+    return listed.select("feature", "n", "quantile_no", within.alias("within"))
+
+
+@query(
+    f"""WITH {SHIFTED_SQL}, {PSI_SQL}
+SELECT feature, true AS close,
+       CASE WHEN psi >= 0.25 THEN 'significant' WHEN psi >= 0.1 THEN 'moderate' ELSE 'stable' END AS band
+FROM feature_psi"""
+)
+def psi_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of three merged batches against a baseline, from sketches alone, next to the exact PSI."""
+    reference, current = shifted_sides(spark, sf_dir)
+    kept = batch_sketches(spark, current, SHIFTED, "l_partkey")
+    near = sketches.psi_from_sketches(drift.baseline(reference, SHIFTED), kept, SHIFTED)
+    exact = drift.psi(reference, current, SHIFTED).withColumnRenamed("psi", "exact")
+    both = near.join(exact, "feature")
+    # a share is off by the rank error; the floor of a share makes the largest term about ln(10^6) times that
+    limit = 2 * drift.BINS * sketches.rank_error() * 14
+    close = F.abs(F.col("psi") - F.col("exact")) <= limit
+    return both.select("feature", close.alias("close"), drift.band(F.col("psi")).alias("band"))
+
+
+COUNTED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+@query(
+    "WITH c AS (UNPIVOT (SELECT "
+    + ", ".join(f"count(DISTINCT {c}) AS {c}" for c in COUNTED)
+    + """ FROM lineitem) ON COLUMNS(*) INTO NAME "column" VALUE exact)
+SELECT "column", exact, true AS within FROM c"""
+)
+def merged_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of two batches that share most values, from merged sketches, next to the exact ones."""
+    lines = table(spark, sf_dir, "lineitem")
+    path = shared_folder(spark, "distinct")
+    for batch in range(2):
+        rows = lines.filter(F.col("l_linenumber") % 2 == batch)
+        append_history(sketches.distinct_sketches(rows, COUNTED).withColumn("batch", F.lit(batch)), path, ["batch"])
+    near = sketches.merged_distinct(read_history(spark, path))
+    counts = lines.agg(*[F.count_distinct(c).alias(c) for c in COUNTED])
+    exact = counts.unpivot([], COUNTED, "column", "exact")
+    off = F.abs(F.col("distinct_values") / F.col("exact") - 1)
+    within = off <= 3 * sketches.distinct_error()
+    return near.join(exact, "column").select("column", "exact", within.alias("within"))
+
+
 GUARDED = ["constant", "few_values", "only_reference", "never", "far_apart"]
 
 
