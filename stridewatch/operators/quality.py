@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import at_least, missing_rate, observed
@@ -23,6 +23,7 @@ class Expectation:
     name: str
     measure: Callable[[DataFrame], Column]  # an aggregate over the checked table
     holds: Callable[[Column], Column]
+    distinct: bool = False  # a distinct aggregate cannot be measured during a write
 
 
 def null_rate_between(column: str, low: float, high: float) -> Expectation:
@@ -59,15 +60,19 @@ def no_null(column: str) -> Expectation:
 
 def distinct_exactly(column: str, count: int) -> Expectation:
     return Expectation(
-        f"{count} distinct {column}", lambda _: F.count_distinct(column), lambda n: n == count
+        f"{count} distinct {column}",
+        lambda _: F.count_distinct(column),
+        lambda n: n == count,
+        distinct=True,
     )
 
 
-def check(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """(expectation, observed, passed), from a single aggregation over the table."""
-    measured = df.agg(
-        *[e.measure(df).cast("double").alias(f"m{i}") for i, e in enumerate(expectations)]
-    )
+def _measures(df: DataFrame, expectations: list[Expectation]) -> list[Column]:
+    return [e.measure(df).cast("double").alias(f"m{i}") for i, e in enumerate(expectations)]
+
+
+def _judged(measured: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """(expectation, observed, passed) from one row of measures m0, m1, ..."""
     rows = [
         F.struct(
             F.lit(e.name).alias("expectation"),
@@ -79,6 +84,35 @@ def check(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     return measured.select(F.inline(F.array(*rows)))
 
 
+def check(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """(expectation, observed, passed), from a single aggregation over the table."""
+    return _judged(df.agg(*_measures(df, expectations)), expectations)
+
+
+class WrittenContract:
+    """Expectations that are measured while a table is written, so that it need not be read again for them.
+
+    ``observed`` is the table with the measures attached; write that, then take ``result``. ``df`` should come from
+    an ``observing_session``. Expectations on distinct
+    values cannot be measured on the way and are left to ``check`` on the written table.
+    """
+
+    def __init__(self, df: DataFrame, expectations: list[Expectation]):
+        self.expectations = [e for e in expectations if not e.distinct]
+        self.left_over = [e for e in expectations if e.distinct]
+        self._observation = Observation()
+        self.observed = df.observe(self._observation, *_measures(df, self.expectations))
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """(expectation, observed, passed), once ``observed`` was written. One row of numbers comes to the driver."""
+        found = self._observation.get
+        names = [f"m{i}" for i in range(len(self.expectations))]
+        measured = spark.createDataFrame(
+            [tuple(found[name] for name in names)], ", ".join(f"{name} double" for name in names)
+        )
+        return _judged(measured, self.expectations)
+
+
 def require_columns(
     df: DataFrame, required: list[str] | tuple[str, ...] = (), forbidden_like: str | None = None
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from ..operators import cleaning, drift, features, metrics, profile, quality, re
 from ..operators import sketches, training, windows
 from ..operators.filling import forward_fill
 from ..operators.quantiles import evenly_spaced, exact_quantiles, long_form, name_of_feature
+from ..session import observing_session
 from ..sources import append_history, read_history, shared_folder
 from .features import feature_plan
 
@@ -1295,15 +1296,16 @@ UNION ALL SELECT 'train has rows', t, t > 0 FROM n
 UNION ALL SELECT 'holdout has rows', h, h > 0 FROM n"""
 )
 def contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.check(
-        labelled_windows(spark, sf_dir),
-        [
-            quality.distinct_exactly("activity_id", 5),
-            quality.not_empty(),
-            quality.some_row("train has rows", F.col("split") == "train"),
-            quality.some_row("holdout has rows", F.col("split") == "holdout"),
-        ],
-    )
+    return quality.check(labelled_windows(spark, sf_dir), count_expectations())
+
+
+def count_expectations() -> list[quality.Expectation]:
+    return [
+        quality.distinct_exactly("activity_id", 5),
+        quality.not_empty(),
+        quality.some_row("train has rows", F.col("split") == "train"),
+        quality.some_row("holdout has rows", F.col("split") == "holdout"),
+    ]
 
 
 @query(
@@ -1442,3 +1444,12 @@ def train_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = any(n < BOOSTED_ROUNDS for n in training.rounds_used(loaded))
     scored = scoring.score(loaded, vectors, ["vec_id", "split"], "predicted", "int")
     return scored.withColumn("stopped_early", F.lit(early))
+
+
+@query(ORACLE["contract_counts"])
+def contract_during_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expectations of ``contract_counts``, measured while the table is written; the distinct one afterwards."""
+    contract = quality.WrittenContract(labelled_windows(observing_session(spark), sf_dir), count_expectations())
+    path = shared_folder(spark, "contract")
+    contract.observed.write.parquet(path)
+    return contract.result(spark).unionByName(quality.check(spark.read.parquet(path), contract.left_over))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, drift, features, metrics, profile, quality, registry, scoring
 from ..operators import training
-from ..session import wide_code_generation
+from ..session import observing_session, wide_code_generation
 from ..sources import (
     append_history,
     overwrite_table,
@@ -47,6 +47,7 @@ class Settings:
     expected_subjects: int = 9
     slow_null_rate: tuple[float, float] = (0.85, 0.95)
     feature_null_limit: float = 0.05
+    checked_features: Sequence[str] = ("hand_acc16_x_mean",)  # besides the slow signal's
     window_seconds: float = features.WINDOW_SECONDS
     sample_hz: int = features.SAMPLE_HZ
     completeness: float = features.COMPLETENESS
@@ -81,22 +82,27 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
-    """Raw text to ``bronze_readings``; returns the profile per subject."""
-    raw = read_delimited_sensor(spark, raw_path)
+    """Raw text to ``bronze_readings``; returns the profile per subject.
+
+    The contract is measured during the write; only the number of subjects takes a scan of its one column.
+    """
+    raw = read_delimited_sensor(observing_session(spark), raw_path)
     readings = cleaning.clean_readings(raw, sensor_cols=sensor_schema().names)
-    overwrite_table(readings, settings.at("bronze_readings"))
+    contract = quality.WrittenContract(
+        readings,
+        [
+            quality.not_empty(),
+            quality.null_rate_between("heart_rate", *settings.slow_null_rate),
+            quality.no_row("no transient activity", F.col("activity_id") == 0),
+            quality.distinct_exactly("subject_id", settings.expected_subjects),
+        ],
+    )
+    overwrite_table(contract.observed, settings.at("bronze_readings"))
     bronze = spark.read.parquet(settings.at("bronze_readings"))
     quality.enforce(
         quality.all_checks(
-            quality.check(
-                bronze,
-                [
-                    quality.not_empty(),
-                    quality.null_rate_between("heart_rate", *settings.slow_null_rate),
-                    quality.no_row("no transient activity", F.col("activity_id") == 0),
-                    quality.distinct_exactly("subject_id", settings.expected_subjects),
-                ],
-            ),
+            contract.result(spark),
+            quality.check(bronze, contract.left_over),
             quality.require_columns(bronze, ["subject_id", "activity_id"], "orient_"),
         )
     )
@@ -105,7 +111,8 @@ def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
 
 def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
     """``bronze_readings`` to ``gold_features``; returns the profile per split."""
-    bronze = spark.read.parquet(settings.at("bronze_readings"))
+    own = observing_session(spark)
+    bronze = own.read.parquet(settings.at("bronze_readings"))
     plan = feature_plan(
         bronze,
         sensor_cols=cleaning.columns_with_prefix(bronze, [f"{s}_" for s in SENSORS]),
@@ -117,32 +124,36 @@ def build_features(spark: SparkSession, settings: Settings) -> DataFrame:
         holdout_subjects=settings.holdout_subjects,
     )
     stamped = plan.withColumn("generated_at", F.current_timestamp())
-    with wide_code_generation(spark):
+    contract = quality.WrittenContract(stamped, gold_expectations(settings))
+    with wide_code_generation(own):
         # Training, scoring and monitoring each read one split.
-        overwrite_table(stamped, settings.at("gold_features"), partition_by=["split"])
+        overwrite_table(contract.observed, settings.at("gold_features"), partition_by=["split"])
     gold = spark.read.parquet(settings.at("gold_features"))
-    quality.enforce(gold_contract(gold, settings))
+    quality.enforce(quality.all_checks(contract.result(spark), gold_relations(gold)))
     return profile.split_profile(gold)
 
 
-def gold_contract(gold: DataFrame, settings: Settings) -> DataFrame:
+def gold_expectations(settings: Settings) -> list[quality.Expectation]:
+    """What can be said of the feature table row by row and in sums."""
     split = F.col("split")
     needed = features.required_samples(settings.expected_samples, settings.completeness)
     limit = settings.feature_null_limit
+    return [
+        quality.not_empty(),
+        *[quality.no_null(key) for key in [*GOLD_KEYS, "split"]],
+        quality.null_rate_below("heart_rate_mean", limit),
+        *[quality.null_rate_below(column, limit) for column in settings.checked_features],
+        quality.some_row("train has rows", split == "train"),
+        quality.some_row("holdout has rows", split == "holdout"),
+        quality.no_row("no partial window", F.col("sample_count") < needed),
+    ]
+
+
+def gold_relations(gold: DataFrame) -> DataFrame:
+    """What relates rows of the feature table to each other: these read a few columns of the written table."""
+    split = F.col("split")
     keys = profile.class_balance(gold).drop("count")
     return quality.all_checks(
-        quality.check(
-            gold,
-            [
-                quality.not_empty(),
-                *[quality.no_null(key) for key in [*GOLD_KEYS, "split"]],
-                quality.null_rate_below("heart_rate_mean", limit),
-                quality.null_rate_below("hand_acc16_x_mean", limit),
-                quality.some_row("train has rows", split == "train"),
-                quality.some_row("holdout has rows", split == "holdout"),
-                quality.no_row("no partial window", F.col("sample_count") < needed),
-            ],
-        ),
         quality.require_columns(
             gold, [*GOLD_KEYS, "split", "heart_rate_mean", "heart_rate_std", "sample_count"]
         ),
@@ -158,6 +169,13 @@ def gold_contract(gold: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def gold_contract(gold: DataFrame, settings: Settings) -> DataFrame:
+    """The whole contract of a feature table that is already there."""
+    return quality.all_checks(
+        quality.check(gold, gold_expectations(settings)), gold_relations(gold)
+    )
+
+
 def train(spark: SparkSession, settings: Settings) -> str:
     """Fit, evaluate on the holdout and record the run; returns its id."""
     gold = spark.read.parquet(settings.at("gold_features"))

@@ -42,3 +42,16 @@ def local_session(app_name: str, cpus: int | None = None, **conf: str) -> SparkS
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings for writes that are observed.
+
+    A session that has observed a write cannot be serialised any more, and models that MLlib has just fitted carry theirs to
+    the executors: so the session that trains must not be the one that observes.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stridewatch.operators import quality, scoring, training
+from stridewatch.session import observing_session
 
 
 @pytest.fixture
@@ -183,3 +184,30 @@ def test_a_nan_column_fails_the_null_rate_contract(spark):
     got = quality.check(df, [quality.null_rate_below("x", 0.5), quality.null_rate_below("s", 0.5)]).collect()
     assert [round(r.observed, 6) for r in got] == [0.666667, 0.333333]
     assert [r.passed for r in got] == [False, True]
+
+
+def test_a_contract_measured_during_the_write(spark, tmp_path):
+    own = observing_session(spark)
+    df = own.createDataFrame([(i % 5, float(i) if i % 4 else None) for i in range(40)], "k int, x double")
+    wanted = [
+        quality.not_empty(),
+        quality.null_rate_between("x", 0.2, 0.3),
+        quality.distinct_exactly("k", 5),
+        quality.no_row("k is small", F.col("k") > 3),
+    ]
+    contract = quality.WrittenContract(df, wanted)
+    path = str(tmp_path / "table")
+    contract.observed.write.parquet(path)
+    written = spark.read.parquet(path)
+    both = quality.all_checks(contract.result(spark), quality.check(written, contract.left_over))
+    assert [e.name for e in contract.left_over] == ["5 distinct k"]
+    assert sorted(both.collect()) == sorted(quality.check(df, wanted).collect())
+    with pytest.raises(quality.ContractViolation, match="k is small"):
+        quality.enforce(both)
+
+
+def test_a_contract_over_no_rows(spark, tmp_path):
+    df = observing_session(spark).createDataFrame([], "k int, x double")
+    contract = quality.WrittenContract(df, [quality.not_empty(), quality.null_rate_below("x", 0.5)])
+    contract.observed.write.parquet(str(tmp_path / "none"))
+    assert [r.passed for r in contract.result(spark).collect()] == [False, False]

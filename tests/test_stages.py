@@ -154,3 +154,10 @@ def test_wrong_subject_count_stops_the_run(spark, settings, raw):
 def test_no_champion(spark, tmp_path):
     with pytest.raises(LookupError):
         stages.champion_of(spark, stages.Settings(root=str(tmp_path)))
+
+
+def test_the_written_tables_contract_still_raises(spark, settings):
+    """Measured during the write, a broken contract stops the run as before."""
+    impossible = stages.Settings(**{**settings.__dict__, "feature_null_limit": 0.0})
+    with pytest.raises(quality.ContractViolation, match="null rate below 0.0"):
+        stages.build_features(spark, impossible)
