@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle, slices
-from .tokens import LONG_PIECE, Memo, gather, space_pieces
+from .tokens import LONG_PIECE, RepeatMemo, gather, space_pieces
 
 KEPT_PIECES = 250_000
 TOGETHER = 512
@@ -36,7 +36,7 @@ BLOCK_BYTES = 4 << 20
 LARGE_GROUP = 4096
 MARKS = (".", ",")
 _MARKED = re.compile(r"[^\W\d_][.,]")
-_LINES = re.compile(r"(?<=[\w.,;:!?])(\n)(?=\w)")
+_BEFORE_LINE = tuple(".,;:!?")
 
 _aligners: dict[tuple, "Aligner"] = {}
 
@@ -77,7 +77,7 @@ class Aligner:
             single = self.b.is_byte(i)
             self.b_is_byte.append(single)
             self.b_bytes.append(bytes([int(entry[3:5], 16)]) if single else entry.replace("▁", " ").encode())
-        self.memo = Memo(KEPT_PIECES)
+        self.memo = RepeatMemo(KEPT_PIECES)
         most = max(self.a_bytes, default=-1) + 1
         self.a_width = np.array([len(self.a_bytes.get(i, b"")) for i in range(most)], np.int64)
         self.b_width = np.array(list(map(len, self.b_bytes)), np.int64)
@@ -98,7 +98,11 @@ class Aligner:
 
         The first tokenizer never joins these; the model does not if none of its entries does.
         """
-        parts = _LINES.split(piece) if self.cut_lines and "\n" in piece else [piece]
+        parts = [piece]
+        if self.cut_lines and "\n" in piece:
+            lines = piece.split("\n")
+            if all(a[-1:].isalnum() or a[-1:] in _BEFORE_LINE for a in lines[:-1]) and all(b[:1].isalnum() for b in lines[1:]):
+                parts = [part for line in lines for part in ("\n", line)][1:]
         if not self.cut_marks:
             return parts
         out = []
@@ -191,7 +195,8 @@ class Aligner:
         raw, n = text.encode(), len(units)
         encoded = self.a.encode(text, add_special_tokens=False)
         pieces = self.b.encode(text, return_type="proto").pieces
-        a_list, b_list = encoded.ids, [token.id for token in pieces]
+        a_list, b_told = encoded.ids, [(token.id, token.end) for token in pieces]
+        b_list, b_ends = zip(*b_told)
         a, b = np.array(a_list, np.int64), np.array(b_list, np.int64)
         size = np.array([len(unit.encode()) for unit in units] if len(raw) > len(text) else list(map(len, units)), np.int64)
         stop = np.cumsum(size + 1)
@@ -200,7 +205,7 @@ class Aligner:
         span = np.array(encoded.offsets, np.int64).reshape(-1, 2)
         shared = np.append(span[1:, 0] < span[:-1, 1], False)[: len(span)]
         a_end = np.where(shared, np.cumsum(self.a_width[a]), _byte_offsets(text)[span[:, 1]])
-        b_span = np.array([token.end for token in pieces], np.int64)
+        b_span = np.array(b_ends, np.int64)
         b_end = np.where(self.b_single[b], np.cumsum(self.b_width[b]) - 1, b_span)
         spelled = (
             b"".join([self.a_bytes[i] for i in a_list]) == raw
@@ -253,21 +258,19 @@ class Aligner:
             (raw[lo:hi], "".join(text[x:y]).encode()) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)
         ]
 
-    def _known(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """The value of each of these units, from the memo where it has them."""
-        units = list(dict.fromkeys(units))
-        found = dict(zip(units, self.memo.look_up(units)))
-        unknown = [unit for unit, value in found.items() if value is None]
-        plain = [u for u in unknown if len(u.split()) == 1 and not u[-1].isspace() and not u[1:2].isspace()]
+    def _fresh(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """The value of each of these distinct units."""
+        plain = [u for u in units if len(u.split()) == 1 and not u[-1].isspace() and not u[1:2].isspace()]
         plain = plain if self.cut_lines else []
+        found = {}
         for lo in range(0, len(plain), TOGETHER):
             part = plain[lo : lo + TOGETHER]
             found.update(zip(part, self._together(part)))
-        for unit in unknown:
-            if found[unit] is None:
+        for unit in units:
+            if unit not in found:
                 found[unit] = self._alone(unit)
             if len(unit) <= LONG_PIECE:
-                self.memo.put(unit, found[unit])
+                self.memo.offer(unit, found[unit])
         return found
 
     def values(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
@@ -275,14 +278,17 @@ class Aligner:
         values = self.memo.look_up(pieces)
         unknown = [i for i, value in enumerate(values) if value is None]
         parts = [self.units(pieces[i]) for i in unknown]
-        known = self._known([unit for units in parts for unit in units])
+        several = list({unit for units in parts if len(units) > 1 for unit in units})
+        known = {unit: value for unit, value in zip(several, self.memo.look_up(several)) if value is not None}
+        wanted = dict.fromkeys(unit for units in parts for unit in units)
+        known |= self._fresh([unit for unit in wanted if unit not in known])
         for i, units in zip(unknown, parts):
             if len(units) == 1:
                 values[i] = known[units[0]]
             else:
                 values[i] = _joined([known[unit] for unit in units])
                 if len(pieces[i]) <= LONG_PIECE:
-                    self.memo.put(pieces[i], values[i])
+                    self.memo.offer(pieces[i], values[i])
         return values
 
     def block(self, texts: pa.Array) -> dict:
@@ -317,7 +323,7 @@ class Aligner:
         times = gather(flat, first + 5 + head[:, 4], head[:, 4], piece) * np.repeat(often, held)
         pairs, which = np.unique(keys, return_inverse=True)
         place = np.repeat(doc, held) * max(len(pairs), 1) + which
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(place)
         place, times = place[order], times[order]
         start = np.flatnonzero(np.append(True, place[1:] != place[:-1]))[: len(place)]
         doc, which = np.divmod(place[start], max(len(pairs), 1))

@@ -60,6 +60,27 @@ class Memo:
         self.young[key] = value
 
 
+class RepeatMemo(Memo):
+    """A memo that takes in a piece when it comes up for the second time: most pieces of a corpus never do.
+
+    What came up once is marked in a table of hashes; pieces that share a mark are taken in early.
+    """
+
+    def __init__(self, most: int, marks: int = 1 << 23):
+        super().__init__(most)
+        self.marks, self.marked = bytearray(marks), 0
+
+    def offer(self, key, value) -> None:
+        at = hash(key) & (len(self.marks) - 1)
+        if self.marks[at]:
+            self.put(key, value)
+            return
+        self.marks[at] = 1
+        self.marked += 1
+        if 2 * self.marked > len(self.marks):
+            self.marks, self.marked = bytearray(len(self.marks)), 0
+
+
 class Encoder:
     def __init__(self, path: str, cut: str):
         if cut not in ("drop", "space"):
