@@ -83,8 +83,8 @@ class Aligner:
         self.b_width = np.array(list(map(len, self.b_bytes)), np.int64)
         self.b_single = np.array(self.b_is_byte)
         # ids as text behind each separator
-        names = [str(i) for i in range(max(most, len(self.b_bytes)))]
-        self.named = [names] + [[mark + name for name in names] for mark in (",", ";", "|")]
+        self.most_named = max(most, len(self.b_bytes))
+        self.named = [mark + str(i) for mark in ("", ",", ";", "|") for i in range(self.most_named)]
         pieces = [b.decode("utf-8", "ignore") for b, one in zip(self.b_bytes, self.b_is_byte) if not one]
         self.cut_marks = not any(_MARKED.search(piece) for piece in pieces)
         self.cut_lines = not any("\n" in piece for piece in pieces) and len(self.b.encode("\n")) == 2
@@ -202,9 +202,9 @@ class Aligner:
         stop = np.cumsum(size + 1)
         begin = stop - size
         # spans first; tokens that share a character, and byte tokens, end after as many bytes as they have
-        span = np.array(encoded.offsets, np.int64).reshape(-1, 2)
-        shared = np.append(span[1:, 0] < span[:-1, 1], False)[: len(span)]
-        a_end = np.where(shared, np.cumsum(self.a_width[a]), _byte_offsets(text)[span[:, 1]])
+        a_start, a_stop = (np.array(column, np.int64) for column in zip(*encoded.offsets))
+        shared = np.append(a_start[1:] < a_stop[:-1], False)
+        a_end = np.where(shared, np.cumsum(self.a_width[a]), _byte_offsets(text)[a_stop])
         b_span = np.array(b_ends, np.int64)
         b_end = np.where(self.b_single[b], np.cumsum(self.b_width[b]) - 1, b_span)
         spelled = (
@@ -247,12 +247,10 @@ class Aligner:
         a_mark, b_mark = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
         a_mark[a_first], b_mark[b_first] = 2, 3
         a_mark[np.cumsum(a_count) - a_count] = 0
-        text = np.empty(len(a) + len(b), object)
-        text[np.arange(len(a)) + b_first[a_group]] = [self.named[m][i] for m, i in zip(a_mark.tolist(), a.tolist())]
-        text[np.arange(len(b)) + a_first[b_group] + held_a[b_group]] = [
-            self.named[m][i] for m, i in zip(b_mark.tolist(), b.tolist())
-        ]
-        text, raw = text.tolist(), flat.tobytes()
+        named = np.empty(len(a) + len(b), np.int64)
+        named[np.arange(len(a)) + b_first[a_group]] = a_mark * self.most_named + a
+        named[np.arange(len(b)) + a_first[b_group] + held_a[b_group]] = b_mark * self.most_named + b
+        text, raw = list(map(self.named.__getitem__, named.tolist())), flat.tobytes()
         ends, cuts = np.cumsum(a_count + b_count).tolist(), (8 * np.append(first, len(flat))).tolist()
         return [
             (raw[lo:hi], "".join(text[x:y]).encode()) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)
@@ -293,7 +291,10 @@ class Aligner:
 
     def block(self, texts: pa.Array) -> dict:
         """Sizes, groups' digest and id pairs of each text of a batch of non-null strings."""
-        pieces, before = space_pieces(pc.binary_join_element_wise(" ", texts, ""))
+        pieces, before = space_pieces(texts)
+        head = np.zeros(len(pieces), bool)
+        head[before[:-1]] = True
+        pieces = pc.if_else(pa.array(head), pc.binary_join_element_wise(" ", pieces, ""), pieces)
         coded = pc.dictionary_encode(pieces)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
