@@ -33,6 +33,11 @@ def confusion(
     return labelled(outcomes(df, label_col, prediction_col))
 
 
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """One confusion table from those of several batches: counts add up, rates would not."""
+    return counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+
+
 def accuracy(counts: DataFrame) -> DataFrame:
     right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
     return counts.agg(F.try_divide(right, F.sum("n")).alias("accuracy"))

@@ -54,6 +54,15 @@ def no_row(name: str, predicate: Column) -> Expectation:
     return Expectation(name, lambda _: F.count_if(predicate), lambda n: n == 0)
 
 
+def rate_at_most(name: str, predicate: Column, limit: float) -> Expectation:
+    """The share of rows with the predicate; no rows have none."""
+    return Expectation(
+        f"{name} at most {limit}",
+        lambda _: F.coalesce(F.avg(predicate.cast("int")), F.lit(0.0)),
+        lambda rate: rate <= limit,
+    )
+
+
 def no_null(column: str) -> Expectation:
     return no_row(f"no null {column}", F.col(column).isNull())
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import micros
 from ..operators import cleaning, drift, features, metrics, profile, quality, registry, scoring
@@ -18,7 +19,7 @@ from ..operators import sketches, training, windows
 from ..operators.filling import forward_fill
 from ..operators.quantiles import evenly_spaced, exact_quantiles, long_form, name_of_feature
 from ..session import observing_session
-from ..sources import append_history, read_history, shared_folder
+from ..sources import REJECTED, append_history, read_delimited_sensor, read_history, rejected_lines, shared_folder
 from .features import feature_plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1453,3 +1454,46 @@ def contract_during_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "contract")
     contract.observed.write.parquet(path)
     return contract.result(spark).unionByName(quality.check(spark.read.parquet(path), contract.left_over))
+
+
+@query(ORACLE["macro_f1"])
+def incremental_macro_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three scored batches leave their confusion counts; the metric over all of them reads only those."""
+    scored = scored_orders(spark, sf_dir)
+    path = shared_folder(spark, "scored-counts")
+    for batch in range(3):
+        part = scored.filter(F.pmod(F.hash("o_orderkey"), F.lit(3)) == batch)
+        append_history(metrics.confusion(part).withColumn("batch", F.lit(batch)), path, ["batch"])
+    return rounded(metrics.macro_f1(metrics.merged_counts(read_history(spark, path))), "macro_f1")
+
+
+LINE_SCHEMA = T.StructType([T.StructField(c, T.DoubleType()) for c in ("event_id", "user_id", "value")])
+
+
+@query(
+    """WITH kinds AS (
+  SELECT CASE event_id % 50 WHEN 0 THEN 'too few values' WHEN 1 THEN 'too many values'
+                            WHEN 2 THEN 'not a number' WHEN 3 THEN 'not a number' END AS reason,
+         CASE event_id % 50 WHEN 2 THEN 'user_id' WHEN 3 THEN 'value' END AS "column"
+  FROM events)
+SELECT reason, "column", count(*) AS lines FROM kinds WHERE reason IS NOT NULL GROUP BY reason, "column"
+UNION ALL SELECT 'read as they stand', NULL, count_if(reason IS NULL) FROM kinds"""
+)
+def rejected_line_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text copy of the events in which some lines are broken, read back with the reasons."""
+    kind = F.col("event_id") % 50
+    path = shared_folder(spark, "lines")
+    table(spark, sf_dir, "events").select(
+        F.when(kind == 0, F.concat_ws(" ", "event_id", "user_id"))
+        .when(kind == 1, F.concat_ws(" ", "event_id", "user_id", "value", F.lit("7")))
+        .when(kind == 2, F.concat_ws(" ", "event_id", F.lit("x17"), "value"))
+        .when(kind == 3, F.concat_ws(" ", "event_id", "user_id", F.lit("1.2.3")))
+        .when(kind == 4, F.concat_ws(" ", "event_id", "user_id", F.lit("NaN")))
+        .otherwise(F.concat_ws(" ", "event_id", "user_id", "value"))
+    ).write.text(path)
+    raw = read_delimited_sensor(spark, path, LINE_SCHEMA, rejected_col=REJECTED)
+    found = rejected_lines(raw, LINE_SCHEMA).groupBy("reason", "column").agg(F.count(F.lit(1)).alias("lines"))
+    whole = raw.agg(F.count_if(F.col(REJECTED).isNull()).alias("lines")).select(
+        F.lit("read as they stand").alias("reason"), F.lit(None).cast("string").alias("column"), "lines"
+    )
+    return found.unionByName(whole)

@@ -7,6 +7,7 @@ and failed expectations.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -20,10 +21,14 @@ from ..operators import cleaning, drift, features, metrics, profile, quality, re
 from ..operators import training
 from ..session import observing_session, wide_code_generation
 from ..sources import (
+    REJECTED,
     append_history,
+    claim_folder,
+    claim_next,
     overwrite_table,
     read_delimited_sensor,
     read_history,
+    rejected_lines,
     sensor_schema,
 )
 from ..sources.delimited import SENSORS
@@ -45,6 +50,7 @@ class Settings:
     train_subjects: Sequence[int] = (101, 102, 103, 104, 105, 106)
     holdout_subjects: Sequence[int] = (107, 108, 109)
     expected_subjects: int = 9
+    reject_limit: float = 1.0  # share of broken lines that is still accepted
     slow_null_rate: tuple[float, float] = (0.85, 0.95)
     feature_null_limit: float = 0.05
     checked_features: Sequence[str] = ("hand_acc16_x_mean",)  # besides the slow signal's
@@ -58,6 +64,7 @@ class Settings:
     regression_tolerance: float = registry.REGRESSION_TOLERANCE
     performance_tolerance: float = drift.PERFORMANCE_TOLERANCE
     bins: int = drift.BINS
+    claim_wait_seconds: float = 60.0  # for another writer's promotion that began earlier
 
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -85,9 +92,18 @@ def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
     """Raw text to ``bronze_readings``; returns the profile per subject.
 
     The contract is measured during the write; only the number of subjects takes a scan of its one column.
+    Lines that could not be read as they stand keep their readable values in the table and are added to
+    ``rejected_lines`` with the reason.
     """
-    raw = read_delimited_sensor(observing_session(spark), raw_path)
-    readings = cleaning.clean_readings(raw, sensor_cols=sensor_schema().names)
+    own = observing_session(spark)
+    raw = read_delimited_sensor(own, raw_path, rejected_col=REJECTED)
+    rejected = quality.WrittenContract(
+        raw,
+        [quality.rate_at_most("rejected lines", F.col(REJECTED).isNotNull(), settings.reject_limit)],
+    )
+    readings = cleaning.clean_readings(
+        rejected.observed.drop(REJECTED), sensor_cols=sensor_schema().names
+    )
     contract = quality.WrittenContract(
         readings,
         [
@@ -99,8 +115,13 @@ def ingest(spark: SparkSession, raw_path: str, settings: Settings) -> DataFrame:
     )
     overwrite_table(contract.observed, settings.at("bronze_readings"))
     bronze = spark.read.parquet(settings.at("bronze_readings"))
+    faults = rejected.result(spark)
+    if faults.first()["observed"]:  # only then is the text read again, for the broken lines
+        kept = rejected_lines(read_delimited_sensor(spark, raw_path, rejected_col=REJECTED))
+        append_history(kept.withColumn("ingested_at", F.current_timestamp()), settings.at("rejected_lines"))
     quality.enforce(
         quality.all_checks(
+            faults,
             contract.result(spark),
             quality.check(bronze, contract.left_over),
             quality.require_columns(bronze, ["subject_id", "activity_id"], "orient_"),
@@ -262,7 +283,8 @@ def baseline_of(spark: SparkSession, settings: Settings, run_id: str) -> tuple[D
 def promote(spark: SparkSession, settings: Settings) -> Row:
     """Register the latest run, judge it, record the decision and move an alias.
 
-    Raises if the gate fails; by then the tags and the challenger alias are written.
+    Raises if the gate fails; by then the tags and the challenger alias are written. Several writers may promote at
+    once: version and place in the alias history are claimed, and who comes second is judged against the first.
     """
     runs = read_or_empty(spark, settings.at("runs"), registry.RUNS)
     versions = read_or_empty(spark, settings.at("model_versions"), registry.MODEL_VERSIONS)
@@ -271,17 +293,22 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     if run is None:
         raise registry.GateFailed(f"no finished run of {settings.model_name}")
     wanted = spark.createDataFrame([(settings.model_name,)], "model_name string")
-    held = registry.champion_lookup(wanted, events, versions, runs).select(
+    path = run.tags["model_path"]
+    gold = spark.read.parquet(settings.at("gold_features"))
+    contract = training.model_contract(PipelineModel.load(path), gold)
+    newest = registry.next_version(wanted, versions).first().version - 1
+    version = claim_next(spark, claim_folder(settings.at("claims"), settings.model_name, "versions"), newest, run.run_id)
+    seq, events = claim_alias_move(spark, settings, events, run.run_id)
+    held = registry.champion_lookup(
+        wanted, events, read_or_empty(spark, settings.at("model_versions"), registry.MODEL_VERSIONS), runs_now(spark, settings)
+    ).select(
         "model_name",
         F.col("version").alias("champion_version"),
         F.col("score").alias("champion_score"),
     )
-    path = run.tags["model_path"]
-    gold = spark.read.parquet(settings.at("gold_features"))
-    contract = training.model_contract(PipelineModel.load(path), gold)
-    entry = registry.next_version(wanted, versions).select(
+    entry = wanted.select(
         "model_name",
-        "version",
+        F.lit(version).cast("long").alias("version"),
         F.lit(run.run_id).alias("run_id"),
         F.array(
             *[F.struct(F.lit(n).alias("name"), F.lit(t).alias("type")) for n, t in contract]
@@ -306,7 +333,8 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     columns = ["model_name", "version", "run_id", "inputs", "output", "path"]
     append_history(judged.select(*columns), settings.at("model_versions"))
     append_history(registry.gate_tags(judged, **limits), settings.at("model_tags"))
-    append_history(registry.alias_moves(judged, events), settings.at("model_aliases"))
+    moves = registry.alias_moves(judged, events).withColumn("seq", F.lit(seq).cast("long"))
+    append_history(moves, settings.at("model_aliases"))
     outcome = decided[0]
     if not outcome.passed:
         raise registry.GateFailed(
@@ -316,6 +344,31 @@ def promote(spark: SparkSession, settings: Settings) -> Row:
     return outcome
 
 
+def runs_now(spark: SparkSession, settings: Settings) -> DataFrame:
+    return read_or_empty(spark, settings.at("runs"), registry.RUNS)
+
+
+def claim_alias_move(
+    spark: SparkSession, settings: Settings, events: DataFrame, owner: str
+) -> tuple[int, DataFrame]:
+    """(claimed place in the alias history, events before it).
+
+    Where another writer holds a place before ours, its move is awaited, so that ours is judged after it. One that does
+    not come within ``claim_wait_seconds`` was given up.
+    """
+    own = F.col("model_name") == settings.model_name
+    newest = events.where(own).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+    seq = claim_next(spark, claim_folder(settings.at("claims"), settings.model_name, "aliases"), newest, owner)
+    until = time.monotonic() + settings.claim_wait_seconds
+    while seq > newest + 1:
+        events = read_or_empty(spark, settings.at("model_aliases"), registry.MODEL_ALIASES)
+        between = events.where(own & (F.col("seq") > newest) & (F.col("seq") < seq))
+        if between.select("seq").distinct().count() == seq - newest - 1 or time.monotonic() >= until:
+            break
+        time.sleep(1)
+    return seq, events
+
+
 def gold_inputs(gold: DataFrame) -> list[str]:
     """The columns of the feature table that a model may use."""
     return features.feature_columns(gold, GOLD_IDS)
@@ -351,14 +404,37 @@ def score_batch(spark: SparkSession, settings: Settings, split: str = "holdout")
     scoring.require_inputs(batch, [(i["name"], i["type"]) for i in champion.inputs])
     model = PipelineModel.load(champion.path)
     scored = scoring.score(model, batch, GOLD_KEYS, champion.output.name, champion.output.type)
+    batch_id = uuid.uuid4().hex
     stamped = scoring.stamp_lineage(
         scored, settings.model_name, champion.version, champion.run_id
-    ).withColumn("scored_at", F.current_timestamp())
+    ).withColumns({"scored_at": F.current_timestamp(), "batch_id": F.lit(batch_id)})
     append_history(stamped, settings.at("predictions"), ["model_version"])
+    written = read_history(spark, settings.at("predictions"), model_version=champion.version)
+    # what the metrics need of this batch: a row for each pair of classes
+    counts = metrics.confusion(
+        written.filter(F.col("batch_id") == batch_id), "activity_id", champion.output.name
+    ).withColumns(
+        {
+            "batch_id": F.lit(batch_id),
+            "model_name": F.lit(settings.model_name),
+            "model_version": F.lit(champion.version).cast("long"),
+            "scored_at": F.current_timestamp(),
+        }
+    )
+    append_history(counts, settings.at("scored_counts"), ["model_version"])
     history = read_history(spark, settings.at("predictions"), model_version=champion.version)
     return profile.scored_summary(history.filter(F.col("model_name") == settings.model_name))
 
 
+def scored_metrics(spark: SparkSession, settings: Settings, model_version: int, since=None) -> DataFrame:
+    """Macro and weighted F1 and accuracy over all batches of a version, or those scored since; reads no scored row."""
+    kept = read_history(spark, settings.at("scored_counts"), model_version=model_version)
+    kept = kept.filter(F.col("model_name") == settings.model_name)
+    if since is not None:
+        kept = kept.filter(F.col("scored_at") >= F.lit(since))
+    return metrics.evaluation(metrics.merged_counts(kept))
+
+
 def monitor(spark: SparkSession, settings: Settings, split: str = "holdout") -> Row:
     """Append the drift report and return it; raises on degraded performance."""
     champion = champion_of(spark, settings)

@@ -1,4 +1,5 @@
-from .delimited import read_delimited_sensor, sensor_schema
+from .claims import claim, claim_folder, claim_next
+from .delimited import REJECTED, read_delimited_sensor, rejected_lines, sensor_schema
 from .tables import (
     append_history,
     create_namespace,
@@ -9,6 +10,11 @@ from .tables import (
 )
 
 __all__ = [
+    "REJECTED",
+    "rejected_lines",
+    "claim",
+    "claim_folder",
+    "claim_next",
     "append_history",
     "create_namespace",
     "overwrite_table",

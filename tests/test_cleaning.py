@@ -5,12 +5,17 @@ from pyspark.sql import functions as F
 
 from stridewatch.operators import cleaning
 from stridewatch.sources import (
+    REJECTED,
     append_history,
+    claim,
+    claim_folder,
+    claim_next,
     create_namespace,
     overwrite_table,
     read_delimited_sensor,
     read_history,
     read_table,
+    rejected_lines,
     sensor_schema,
     shared_folder,
 )
@@ -112,3 +117,41 @@ def test_shared_folder_follows_the_cluster():
         conf = {"spark.checkpoint.dir": "hdfs:///shared/"}
 
     assert shared_folder(Session(), "x").startswith("hdfs:///shared/x-")
+
+
+SMALL = sensor_schema(sensors=("s",), channels=("x", "orient_0"), lead=("t", "activity_id"))
+
+
+@pytest.fixture()
+def broken_lines(tmp_path):
+    lines = ["0.1 1 2 3", "0.2 1 2", "0.3 1 2 3 4", "0.4 one 2 3", "0.5 1 NaN 3", "0.6 1  3", "0.7 1 2 bad", "0.8 1 2 3"]
+    (tmp_path / "subject101.dat").write_text("\n".join(lines) + "\n")
+    return str(tmp_path)
+
+
+def test_rejected_lines_and_why(spark, broken_lines):
+    raw = read_delimited_sensor(spark, broken_lines, SMALL, rejected_col=REJECTED)
+    got = {r.line: (r.source_file, r.reason, r.column) for r in rejected_lines(raw, SMALL).collect()}
+    assert got == {
+        "0.2 1 2": ("subject101.dat", "too few values", None),
+        "0.3 1 2 3 4": ("subject101.dat", "too many values", None),
+        "0.4 one 2 3": ("subject101.dat", "not a number", "activity_id"),
+        "0.7 1 2 bad": ("subject101.dat", "not a number", "s_orient_0"),
+    }
+
+
+def test_rejected_rows_keep_what_can_be_read(spark, broken_lines):
+    plain = read_delimited_sensor(spark, broken_lines, SMALL)
+    marked = read_delimited_sensor(spark, broken_lines, SMALL, rejected_col=REJECTED)
+    key = lambda r: r.t
+    assert str(sorted(marked.drop(REJECTED).collect(), key=key)) == str(sorted(plain.collect(), key=key))
+    # a column that is not used is parsed all the same
+    assert len(marked.select("t", REJECTED).where(F.col(REJECTED).isNotNull()).collect()) == 4
+
+
+def test_a_number_is_claimed_once(spark, tmp_path):
+    folder = claim_folder(str(tmp_path), "a model/one", "versions")
+    assert claim_next(spark, folder, 0, "first") == 1
+    assert claim_next(spark, folder, 0, "second") == 2
+    assert not claim(spark, folder, 2, "third") and claim(spark, folder, 9, "third")
+    assert claim_next(spark, folder, 8, "fourth") == 10

@@ -161,3 +161,63 @@ def test_the_written_tables_contract_still_raises(spark, settings):
     impossible = stages.Settings(**{**settings.__dict__, "feature_null_limit": 0.0})
     with pytest.raises(quality.ContractViolation, match="null rate below 0.0"):
         stages.build_features(spark, impossible)
+
+
+def test_metrics_of_all_batches_come_from_their_counts(spark, settings):
+    champion = stages.champion_of(spark, settings)
+    kept = read_history(spark, settings.at("scored_counts"), model_version=champion.version)
+    assert not [f for f in kept.inputFiles() if "predictions" in f]
+    found = stages.scored_metrics(spark, settings, champion.version).first()
+    scored = read_history(spark, settings.at("predictions"), model_version=champion.version)
+    scored = scored.filter(F.col("batch_id").isNotNull() & (F.col("model_name") == settings.model_name))
+    batches = kept.filter(F.col("model_name") == settings.model_name).select("batch_id").distinct()
+    scored = scored.join(batches, "batch_id").filter(F.col("scored_at").isNotNull())
+    latest = stages.scored_metrics(spark, settings, champion.version, kept.agg(F.max("scored_at")).first()[0]).first()
+    assert found.macro_f1 == 1.0 and latest.macro_f1 == 1.0
+
+
+def test_broken_lines_are_kept_with_their_reasons(spark, settings, tmp_path):
+    for subject in (101, 102, 107):
+        write_subject(tmp_path, subject)
+    with open(tmp_path / "subject101.dat", "a") as file:
+        file.write("1.00 1 70 short line\n")
+    where = stages.Settings(**{**settings.__dict__, "root": str(tmp_path / "tables")})
+    raw = str(tmp_path / "*.dat")
+    stages.ingest(spark, raw, where)
+    kept = read_history(spark, where.at("rejected_lines")).collect()
+    assert [(r.source_file, r.line, r.reason) for r in kept] == [
+        ("subject101.dat", "1.00 1 70 short line", "too few values")
+    ]
+    with pytest.raises(quality.ContractViolation, match="rejected lines at most 0.0"):
+        stages.ingest(spark, raw, stages.Settings(**{**where.__dict__, "reject_limit": 0.0}))
+
+
+def test_two_promotions_at_once(spark, settings, monkeypatch):
+    """The second begins after the first has read the tables: two versions, one champion, judged in order."""
+    both = stages.Settings(**{**settings.__dict__, "model_name": "contested"})
+    stages.train(spark, both)
+    inner, claimed = [], stages.claim_next
+
+    def interrupted(*args):
+        if not inner:
+            inner.append(None)
+            inner[0] = stages.promote(spark, both)
+        return claimed(*args)
+
+    monkeypatch.setattr(stages, "claim_next", interrupted)
+    outer = stages.promote(spark, both)
+    assert (inner[0].version, outer.version) == (1, 2)
+    assert inner[0].comparison == "no existing champion" and outer.comparison.startswith("champion 1.0000")
+    events = read_history(spark, both.at("model_aliases")).filter("model_name = 'contested'")
+    assert sorted((r.seq, r.version) for r in events.collect()) == [(1, 1), (2, 2)]
+    assert stages.champion_of(spark, both).version == 2
+
+
+def test_an_abandoned_claim_is_not_awaited_forever(spark, settings):
+    late = stages.Settings(**{**settings.__dict__, "model_name": "late", "claim_wait_seconds": 1.0})
+    stages.train(spark, late)
+    from stridewatch.sources import claim, claim_folder
+
+    assert claim(spark, claim_folder(late.at("claims"), "late", "aliases"), 1, "a writer that stopped")
+    assert stages.promote(spark, late).version == 1
+    assert stages.champion_of(spark, late).version == 1
