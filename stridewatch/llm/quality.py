@@ -96,14 +96,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = EPO
     documents = []
     for text in texts:
         runs = [b[i[0] : j[0]].astype(np.int64) for b, i, j in features(pa.array([text], pa.string()))]
-        documents.append(np.unique(np.concatenate(runs), return_counts=True))
+        ids, counts = np.unique(np.concatenate(runs), return_counts=True)
+        documents.append((ids.astype(np.int32), (counts / max(counts.sum(), 1)).astype(np.float32)))
     steps, done = epochs * max(len(texts), 1), 0
     for _ in range(epochs):
         for i in rng.permutation(len(texts)):
             rate = RATE * (1 - done / steps)
             done += 1
-            ids, counts = documents[i]
-            share = (counts / max(counts.sum(), 1)).astype(np.float32)
+            ids, share = documents[i]
             mean = share @ vectors[ids]
             logits = layer @ mean + bias
             odds = np.exp(logits - logits.max())
@@ -117,12 +117,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, epochs: int = EPO
     return Model(gain.astype(np.float32), float(bias[1] - bias[0]))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most_rows: int = MOST_ROWS):
-    """(texts, labels) of at most ``most_rows`` labelled documents, the same ones on every run.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, usable, most_rows: int, most_bytes: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``most_rows`` labelled documents, the same ones on every run.
 
     ``usable`` is a condition on doc_id. Rows are taken by the order of a hash of doc_id, so the sample does not depend on
-    partitions; the labels' side is cut first and only its documents are read back. Documents of more than
-    ``MOST_BYTES`` bytes are scored like all others but not learned from.
+    partitions; the labels' side is cut first and only its documents are read back. Of rows that share a doc_id the largest
+    text counts. Documents of more than ``most_bytes`` bytes are scored like all others but not learned from.
     """
     chosen = (
         labels.where(usable & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -132,12 +132,44 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most
         .limit(most_rows)
     )
     # at most ``most_rows`` rows
-    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= MOST_BYTES
-    found = docs.select("doc_id", "text").where(short).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    rows = found.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_label").toArrow()
+    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes
+    found = docs.select("doc_id", "text").where(short).join(F.broadcast(chosen), "doc_id")
+    once = found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("_label").alias("label"))
+    return once.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable, most_rows: int = MOST_ROWS):
+    """(texts, labels) of ``labelled_rows``, in the driver."""
+    rows = labelled_rows(docs, labels, label, usable, most_rows, MOST_BYTES).toArrow()
     order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
     rows = rows.take(pa.array(order))
-    return rows.column("text").to_pylist(), rows.column("_label").to_numpy().astype(np.int64)
+    return rows.column("text").to_pylist(), rows.column("label").to_numpy().astype(np.int64)
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, usable, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES
+) -> Model:
+    """Train on the labelled sample in a task; only the model, half a megabyte, comes to the driver.
+
+    The sample is bounded by ``most_rows`` documents of ``most_bytes``, so one task can hold it, and a lost one is run again.
+    """
+    rows = labelled_rows(docs, labels, "quality", usable, most_rows, most_bytes)
+
+    def run(batches):
+        parts = [pa.Table.from_batches([batch]) for batch in batches]
+        texts, known = [], np.zeros(0, np.int64)
+        if parts:
+            held = pa.concat_tables(parts)
+            texts, known = held.column("text").to_pylist(), held.column("label").to_numpy().astype(np.int64)
+        model = train(texts, known)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.gain.tobytes()], pa.binary()), pa.array([model.bias])], ["gain", "bias"]
+        )
+
+    made = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "gain binary, bias double").first()
+    if made is None:  # no rows, no task
+        return train([], np.zeros(0, np.int64))
+    return Model(np.frombuffer(made.gain, np.float32), made.bias)
 
 
 def score(docs: DataFrame, model) -> DataFrame:
@@ -157,14 +189,19 @@ def score(docs: DataFrame, model) -> DataFrame:
 
 
 def classify(
-    docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.7, most_rows: int = MOST_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    held_out,
+    threshold: float = 0.7,
+    most_rows: int = MOST_ROWS,
+    most_bytes: int = MOST_BYTES,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row for each row of ``docs``.
 
     ``held_out`` is a condition on doc_id; labels of such rows are not learned from. Only doc_id
     and text are read. Null and empty texts get the score of the constant part.
     """
-    model = train(*labelled_sample(docs, labels, "quality", ~held_out, most_rows))
+    model = fit(docs, labels, ~held_out, most_rows, most_bytes)
     scored = score(docs, model)
     return scored.select(
         "doc_id",
@@ -174,10 +211,17 @@ def classify(
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.7, most_rows: int = MOST_ROWS) -> DataFrame:
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    held_out,
+    threshold: float = 0.7,
+    most_rows: int = MOST_ROWS,
+    most_bytes: int = MOST_BYTES,
+) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with all their columns. Nothing is shuffled but the
     training sample."""
-    model = train(*labelled_sample(docs, labels, "quality", ~held_out, most_rows))
+    model = fit(docs, labels, ~held_out, most_rows, most_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
