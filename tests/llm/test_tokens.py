@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stridewatch.llm import packing, simple8b, token_counts
+from stridewatch.llm import packing, simple8b, token_counts, tokens
 from stridewatch.llm.tokens import Encoder
 
 from .conftest import odd_pairs
@@ -31,6 +31,30 @@ def test_pieces_give_the_ids_of_whole_texts(path, cut):
             assert ids[at[i] : at[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path,cut", [(WORD, "drop"), (BYTE, "space")])
+def test_pieces_that_hold_the_separator(path, cut):
+    """The special token that parts pieces in one call also stands in texts, with and without spaces around it."""
+    ours, plain = Encoder(path, cut), Tokenizer.from_file(path)
+    mark, number = ours.between
+    assert plain.token_to_id(mark) == number
+    texts = [f"a {mark} b", f"a{mark}b c", mark, mark * 3, f"{mark[:-1]} x", f"end {mark}", "plain words only", ""]
+    ids, at = ours.ids(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[at[i] : at[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_only_what_comes_twice_is_kept():
+    memo = tokens.RepeatMemo(10, marks=64)
+    for key in range(200):
+        memo.offer(key % 5, key)
+    assert set(memo.look_up(list(range(5)))) != {None} and len(memo.young) <= 10
+    fresh = tokens.RepeatMemo(10)
+    fresh.offer("once", b"1")
+    assert fresh.look_up(["once"]) == [None]
+    fresh.offer("once", b"1")
+    assert fresh.look_up(["once"]) == [b"1"]
+
+
 def test_memo_forgets_but_stays_right():
     ours, plain = Encoder(WORD, "drop"), Tokenizer.from_file(WORD)
     ours.memo.most = 5
