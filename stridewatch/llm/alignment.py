@@ -267,8 +267,8 @@ class Aligner:
         for unit in units:
             if unit not in found:
                 found[unit] = self._alone(unit)
-            if len(unit) <= LONG_PIECE:
-                self.memo.offer(unit, found[unit])
+        short = [unit for unit in units if len(unit) <= LONG_PIECE]
+        self.memo.offer_all(short, [found[unit] for unit in short])
         return found
 
     def values(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
@@ -281,12 +281,9 @@ class Aligner:
         wanted = dict.fromkeys(unit for units in parts for unit in units)
         known |= self._fresh([unit for unit in wanted if unit not in known])
         for i, units in zip(unknown, parts):
-            if len(units) == 1:
-                values[i] = known[units[0]]
-            else:
-                values[i] = _joined([known[unit] for unit in units])
-                if len(pieces[i]) <= LONG_PIECE:
-                    self.memo.offer(pieces[i], values[i])
+            values[i] = known[units[0]] if len(units) == 1 else _joined([known[unit] for unit in units])
+        made = [i for i, units in zip(unknown, parts) if len(units) > 1 and len(pieces[i]) <= LONG_PIECE]
+        self.memo.offer_all([pieces[i] for i in made], [values[i] for i in made])
         return values
 
     def block(self, texts: pa.Array) -> dict:

@@ -29,6 +29,8 @@ _SELECTOR = np.zeros(61, np.uint64)
 _SELECTOR[COUNTS] = np.arange(1, len(COUNTS) + 1)
 
 SEGMENT_IDS = 1 << 16
+#: Texts encoded together: the more, the fewer pieces are looked up twice.
+SLICE_BYTES = 16 << 20
 SEGMENT = (
     "shard int, segment int, first long, doc_ids array<bigint>, lengths array<int>, n_ids int, "
     "words binary, escapes binary, offsets array<int>"
@@ -133,7 +135,7 @@ def encode_shards(docs: DataFrame, tokenizer: str, cut: str, end_id: int) -> Dat
         encode = encoder(tokenizer, cut).ids
         for batch in batches:
             texts, doc_ids = batch.column(1), batch.column(0).to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE_BYTES):
                 ids, before = encode(texts.slice(lo, hi - lo))
                 ids = np.insert(ids, before[1:], end_id)
                 before = before + np.arange(len(before))

@@ -71,14 +71,20 @@ class RepeatMemo(Memo):
         self.marks, self.marked = bytearray(marks), 0
 
     def offer(self, key, value) -> None:
-        at = hash(key) & (len(self.marks) - 1)
-        if self.marks[at]:
-            self.put(key, value)
-            return
-        self.marks[at] = 1
-        self.marked += 1
-        if 2 * self.marked > len(self.marks):
-            self.marks, self.marked = bytearray(len(self.marks)), 0
+        self.offer_all([key], [value])
+
+    def offer_all(self, keys, values) -> None:
+        marks, last, fresh = self.marks, len(self.marks) - 1, 0
+        for key, value in zip(keys, values):
+            at = hash(key) & last
+            if marks[at]:
+                self.put(key, value)
+            else:
+                marks[at] = 1
+                fresh += 1
+        self.marked += fresh
+        if 2 * self.marked > len(marks):
+            self.marks, self.marked = bytearray(len(marks)), 0
 
 
 class Encoder:
@@ -129,7 +135,7 @@ class Encoder:
                 marks = dict(zip(MARKS, self._encoded(list(MARKS))))
                 for i, head in zip(marked, heads):
                     values[i] = head + marks[pieces[i][-1]]
-                    self._keep(pieces[i], values[i])
+                self._keep([pieces[i] for i in marked], [values[i] for i in marked])
                 unknown = [i for i in unknown if values[i] is None]
         for i, value in zip(unknown, self._encoded([pieces[i] for i in unknown])):
             values[i] = value
@@ -139,14 +145,16 @@ class Encoder:
         """Like ``_values`` for pieces that are not cut further; they may repeat."""
         values = dict(zip(pieces, self.memo.look_up(pieces)))
         unknown = [piece for piece, value in values.items() if value is None]
-        for piece, value in zip(unknown, self._encode(unknown)):
-            values[piece] = value
-            self._keep(piece, value)
+        encoded = self._encode(unknown)
+        values.update(zip(unknown, encoded))
+        self._keep(unknown, encoded)
         return [values[piece] for piece in pieces]
 
-    def _keep(self, piece: str, value: bytes) -> None:
-        if len(piece) <= LONG_PIECE:
-            self.memo.offer(piece, value)
+    def _keep(self, pieces: list[str], values: list[bytes]) -> None:
+        if max(map(len, pieces), default=0) > LONG_PIECE:
+            short = [i for i, piece in enumerate(pieces) if len(piece) <= LONG_PIECE]
+            pieces, values = [pieces[i] for i in short], [values[i] for i in short]
+        self.memo.offer_all(pieces, values)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a batch end to end, ids before each text) for non-null strings."""
