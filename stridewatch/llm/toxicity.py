@@ -8,8 +8,10 @@ labelled documents; exception phrases are longer entries whose matches hide the
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -143,9 +145,14 @@ class Lexicon:
         terms, hidden = [], []
         for end, (size, edge, weight) in self.automaton().iter(folded):
             span = (end - edge - size + 1, end - edge + 1)
-            (hidden if weight is None else terms).append((*span, weight))
-        total = sum(w for a, b, w in terms if not any(x <= a and b <= y for x, y, _ in hidden))
-        return total, max(words, 0)
+            (hidden if weight is None else terms).append((*span, weight or 0.0))
+        if hidden:
+            # a term is hidden if the exceptions that begin at or before it reach beyond its end
+            hidden.sort()
+            begins = [begin for begin, _, _ in hidden]
+            reach = list(accumulate((end for _, end, _ in hidden), max))
+            terms = [(a, b, w) for a, b, w in terms if not (i := bisect_right(begins, a)) or reach[i - 1] < b]
+        return sum(w for _, _, w in terms), max(words, 0)
 
     def measure(self, text: str) -> float:
         """The sum of weights over the logarithm of the length: long texts need more matches."""

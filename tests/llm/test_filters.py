@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 
@@ -171,3 +172,41 @@ def test_repeated_words_are_a_feature():
     base = quality.WORD_BUCKETS + quality.GRAM_BUCKETS
     assert (marks[begin[0] : end[0]] - base).tolist() == [0, 0]
     assert (marks[begin[1] : end[1]] - base).tolist() == [1, 1]
+
+
+def plain_measure(lexicon, text):
+    """Every place of every term looked for by itself, exceptions compared one by one."""
+    folded = toxicity.fold(text)
+    entries = {**lexicon.weights, **{toxicity.fold(p): None for p in lexicon.exceptions}}
+    terms, hidden = [], []
+    for term, weight in entries.items():
+        size = len(term.rstrip())
+        at = folded.find(term)
+        while at >= 0:
+            (hidden if weight is None else terms).append((at, at + size, weight))
+            at = folded.find(term, at + 1)
+    total = sum(w for a, b, w in terms if not any(x <= a and b <= y for x, y, _ in hidden))
+    return total / np.log2(4 + max(folded.count(" ") - 1, 0) / 64)
+
+
+def test_toxicity_scores_equal_plain_search():
+    rng = random.Random(3)
+    words = ["kill", "killing", "process", "idiot", "nice", "day", "k1ll", "the", "stupid", "question", "a"]
+    lexicon = toxicity.Lexicon(
+        {" kill": 2.0, " idiot ": 3.5, " stupid": 1.25, " killing ": 0.5},
+        ("kill the process", "killing", "stupid question a stupid", "no"),
+    )
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", " ", "KILL"]
+    for text in texts:
+        assert np.isclose(lexicon.measure(text), plain_measure(lexicon, text)), text
+    want = 1 / (1 + np.exp(-(lexicon.slope * np.array([plain_measure(lexicon, t) for t in texts]) + lexicon.offset)))
+    assert np.allclose(lexicon.score(pa.array(texts)), want)
+
+
+def test_a_long_text_of_exceptions_takes_linear_time():
+    import time
+
+    lexicon = toxicity.Lexicon({" kill": 2.0}, ("kill the process",))
+    start = time.perf_counter()
+    assert lexicon.measure("kill the process " * 60_000 + "kill") > 0
+    assert time.perf_counter() - start < 10
