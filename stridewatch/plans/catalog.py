@@ -19,7 +19,15 @@ from ..operators import sketches, training, windows
 from ..operators.filling import forward_fill
 from ..operators.quantiles import evenly_spaced, exact_quantiles, long_form, name_of_feature
 from ..session import observing_session
-from ..sources import REJECTED, append_history, read_delimited_sensor, read_history, rejected_lines, shared_folder
+from ..sources import (
+    REJECTED,
+    append_history,
+    read_delimited_sensor,
+    read_history,
+    rejected_lines,
+    shared_folder,
+    write_bucketed,
+)
 from .features import feature_plan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -977,6 +985,10 @@ FROM gold JOIN predictions USING (subject_id, win, phase)"""
 )
 def join_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each reading appends a prediction, so a window has as many predictions as readings."""
+    return scoring.join_predictions(*windows_and_predictions(spark, sf_dir))
+
+
+def windows_and_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = day_windows(readings(spark, sf_dir))
     gold = rows.groupBy(*WINDOW).agg(F.count(F.lit(1)).alias("sample_count"))
     predictions = rows.select(
@@ -986,7 +998,19 @@ def join_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("activity_id").alias("predicted_activity_id"),
         F.col("ts").alias("scored_at"),
     )
-    return scoring.join_predictions(gold, predictions)
+    return gold, predictions
+
+
+@query(ORACLE["join_predictions"])
+def join_predictions_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join over tables dealt into buckets by its keys: neither side is shuffled again."""
+    held = []
+    for df in windows_and_predictions(spark, sf_dir):
+        path = shared_folder(spark, "bucketed")
+        name = "bucketed_" + path.rsplit("-", 1)[1]
+        write_bucketed(df, name, scoring.WINDOW_KEYS, 8, path)
+        held.append(spark.table(name))
+    return scoring.join_predictions(*held)
 
 
 @query(

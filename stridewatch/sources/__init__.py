@@ -7,6 +7,7 @@ from .tables import (
     read_history,
     read_table,
     shared_folder,
+    write_bucketed,
 )
 
 __all__ = [
@@ -23,4 +24,5 @@ __all__ = [
     "read_table",
     "sensor_schema",
     "shared_folder",
+    "write_bucketed",
 ]

@@ -211,3 +211,17 @@ def test_a_contract_over_no_rows(spark, tmp_path):
     contract = quality.WrittenContract(df, [quality.not_empty(), quality.null_rate_below("x", 0.5)])
     contract.observed.write.parquet(str(tmp_path / "none"))
     assert [r.passed for r in contract.result(spark).collect()] == [False, False]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    from stridewatch.plans import catalog
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = catalog.join_predictions_bucketed(spark, sf_dir)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan and "Join" in plan
+        assert joined.count() == catalog.join_predictions(spark, sf_dir).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
