@@ -207,8 +207,8 @@ def _cuts(keyed: DataFrame, parts: int) -> list[tuple[int, int]]:
     return sorted((r.key, r.hash) for r in ranged.mapInArrow(least, "key long, hash long").collect())
 
 
-def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id, text, own) dealt into ranges and sorted, and the number of ranges.
+def in_order(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, own) dealt into ranges and sorted.
 
     Rows are ordered by doc_id (nulls first), a hash of the text and the text. After its own rows each range has one row
     more that is not its own: the next range's first one, after the last range the first of all. So every document stands
@@ -234,7 +234,7 @@ def in_order(docs: DataFrame) -> tuple[DataFrame, int]:
     guests = first.join(F.broadcast(heads), ["key", "hash"]).withColumn("own", F.lit(False))
     both = own.unionByName(guests).repartitionById(n, F.col("part"))
     ordered = both.sortWithinPartitions(F.col("own").desc(), "key", "hash", "text")
-    return ordered.select("doc_id", "text", "own"), n
+    return ordered.select("doc_id", "text", "own")
 
 
 OUTPUT = (
@@ -261,7 +261,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     share one in the order of a hash of their texts; the last row's is the first. A table of one row is its
     own successor. Only doc_id and text are read; a range of rows streams through its task.
     """
-    ordered, _ = in_order(docs)
+    ordered = in_order(docs)
 
     def describe(batches):
         held = None
