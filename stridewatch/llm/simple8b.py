@@ -29,8 +29,8 @@ _SELECTOR = np.zeros(61, np.uint64)
 _SELECTOR[COUNTS] = np.arange(1, len(COUNTS) + 1)
 
 SEGMENT_IDS = 1 << 16
-#: Texts encoded together: the more, the fewer pieces are looked up twice.
-SLICE_BYTES = 16 << 20
+#: Texts encoded together: the more, the fewer pieces are looked up twice, and the more memory their pieces take.
+SLICE_BYTES = 4 << 20
 SEGMENT = (
     "shard int, segment int, first long, doc_ids array<bigint>, lengths array<int>, n_ids int, "
     "words binary, escapes binary, offsets array<int>"
@@ -68,7 +68,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         run = least[half]
         run = np.minimum(run[: len(run) - shift], run[shift:]) if shift else run
         least[count] = run
-        best[: len(run)][run >= count] = count
+        fits = run >= count
+        if not fits.any():  # nor does any longer run
+            break
+        best[: len(run)][fits] = count
     starts = np.arange(0, n, BLOCK)
     ends = np.minimum(starts + BLOCK, n)
     mark = np.zeros(n, bool)

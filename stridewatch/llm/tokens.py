@@ -10,18 +10,26 @@ of the whole text:
 - Byte-level tokenizers (``cut="space"``) put a single space between two non-space characters at the
   head of the next token, so the text splits before it. A text in which a space has white space beside it
   is split more carefully.
+
+A word of Latin letters passes the steps before the model unchanged but for case and byte-level characters. Where a file
+has no other steps, the library's model gets such words directly; all other pieces go through every step.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 KEPT_PIECES = 450_000
+#: Of a file whose model takes words directly: a word that is not kept costs little there.
+KEPT_WORDS = 250_000
 LONG_PIECE = 64
 TOGETHER = 1024
 MARKS = (".", ",")
@@ -96,8 +104,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
-        self.memo = RepeatMemo(KEPT_PIECES)
+        self.direct = cut == "drop" and _only_usual_steps(self.tokenizer)
+        self.memo = RepeatMemo(KEPT_WORDS if self.direct else KEPT_PIECES)
         self.between = _separator(self.tokenizer)
+        self.model = self.tokenizer.model
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece as little-endian 32-bit integers.
@@ -128,28 +138,52 @@ class Encoder:
         values = self.memo.look_up(pieces)
         unknown = [i for i, value in enumerate(values) if value is None]
         if self.cut == "drop":
-            # a word and one mark after it are separate tokens, whatever stands around them
-            marked = [i for i in unknown if pieces[i][-1:] in MARKS and pieces[i][:-1].lower().isalpha()]
+            marked = {i: head for i in unknown if (head := self._head(pieces[i]))}
             if marked:
-                heads = self._encoded([pieces[i][:-1] for i in marked])
-                marks = dict(zip(MARKS, self._encoded(list(MARKS))))
-                for i, head in zip(marked, heads):
-                    values[i] = head + marks[pieces[i][-1]]
+                tails = [pieces[i][len(head) :] for i, head in marked.items()]
+                marks = list(dict.fromkeys(tails))
+                marks = dict(zip(marks, self._encoded(marks)))
+                for i, head, tail in zip(marked, self._encoded(list(marked.values())), tails):
+                    values[i] = head + marks[tail]
                 self._keep([pieces[i] for i in marked], [values[i] for i in marked])
                 unknown = [i for i in unknown if values[i] is None]
         for i, value in zip(unknown, self._encoded([pieces[i] for i in unknown])):
             values[i] = value
         return values
 
+    def _head(self, piece: str) -> str:
+        """The word of a piece that is a word and one mark, or several if they are known to be one token; else nothing.
+
+        These are separate tokens, whatever stands around them.
+        """
+        if piece[-1:] in MARKS and piece[:-1].lower().isalpha():
+            return piece[:-1]
+        head = piece.rstrip(string.punctuation) if self.direct else piece
+        return head if len(head) < len(piece) and _LETTERS.fullmatch(head) else ""
+
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         """Like ``_values`` for pieces that are not cut further; they may repeat."""
         values = dict(zip(pieces, self.memo.look_up(pieces)))
         unknown = [piece for piece, value in values.items() if value is None]
-        encoded = self._encode(unknown)
-        values.update(zip(unknown, encoded))
-        self._keep(unknown, encoded)
+        if self.direct:
+            words = [piece for piece in unknown if _LETTERS.fullmatch(piece)]
+            self._take(values, words, list(map(self._word, words)))
+            unknown = [piece for piece in unknown if values[piece] is None]
+        self._take(values, unknown, self._encode(unknown))
         return [values[piece] for piece in pieces]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of Latin letters from the library's model alone."""
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        ids = [token.id for token in self.model.tokenize(word)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _take(self, values: dict, pieces: list[str], encoded: list[bytes]) -> None:
+        values.update(zip(pieces, encoded))
+        self._keep(pieces, encoded)
+
     def _keep(self, pieces: list[str], values: list[bytes]) -> None:
         if max(map(len, pieces), default=0) > LONG_PIECE:
             short = [i for i, piece in enumerate(pieces) if len(piece) <= LONG_PIECE]
@@ -168,7 +202,7 @@ class Encoder:
         coded = pc.dictionary_encode(pieces)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        values = self._values(coded.dictionary.to_pylist())
+        values = self._values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(values), "<u4")
         size = np.array(list(map(len, values)), np.int64) // 4
         first = np.cumsum(size) - size
@@ -207,6 +241,37 @@ def _separator(tokenizer) -> tuple[str, int] | None:
     return None
 
 
+def byte_characters() -> dict[str, int]:
+    """The byte of each character of a byte-level vocabulary: printable Latin-1 stands for itself, the other bytes for
+    the characters from 256 on, in order."""
+    itself = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in set(itself)]
+    return {chr(b): b for b in itself} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+_BYTE_CHARACTERS = {b: c for c, b in byte_characters().items()}
+#: Composed letters that lower-casing keeps letters, one by one.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž]+")
+_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _only_usual_steps(tokenizer) -> bool:
+    """Whether a word of ``_LETTERS`` reaches the model whole, lower-cased and in byte-level characters, and ASCII marks
+    after it are one token apart."""
+    file = json.loads(tokenizer.to_str())
+    tidy, cut = file["normalizer"] or {}, file["pre_tokenizer"] or {}
+    tidy, cut = tidy.get("normalizers", []), cut.get("pretokenizers", [])
+    split = {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True}
+    spaces = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    bytewise = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    return (
+        {"type": "Lowercase"} in tidy
+        and all(step in ({"type": "NFC"}, {"type": "Lowercase"}, spaces) for step in tidy)
+        and [{k: v for k, v in step.items() if k != "trim_offsets"} for step in cut] == [split, bytewise]
+        and not any(re.fullmatch(f"({_LETTERS.pattern})?[{re.escape(string.punctuation)}]*", t["content"]) for t in file["added_tokens"])
+    )
+
+
 #: Before a space that stands between two characters, neither of them white space.
 _CAREFUL = re.compile(r"(?<=[^\s᠎​﻿])(?= [^\s᠎​﻿])")
 

@@ -43,6 +43,30 @@ def test_pieces_that_hold_the_separator(path, cut):
         assert ids[at[i] : at[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_of_letters_reach_the_model_alone(monkeypatch):
+    """Words of Latin letters take no other step of the library, and have the ids that every step gives."""
+    ours, plain = Encoder(WORD, "drop"), Tokenizer.from_file(WORD)
+    stepped = []
+    every_step = ours._encode
+    monkeypatch.setattr(ours, "_encode", lambda pieces: stepped.extend(pieces) or every_step(pieces))
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x180), 0x17F, 0x1C5, 0x3A3, 0x307]]
+    rng = random.Random(5)
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(400)] + letters + ["ÉCOLE", "Straße", "ŸÀž"]
+    tails = [".", ",", "!!", "...", "'", "'s", "_", "<|", "<|endoftext|>", ",'", "&&&", "1", ".a"]
+    words += [word + tail for word in ["plain", "İ", "é", "e\u0301", "don't", ""] for tail in tails]
+    ids, at = ours.ids(pa.array(words))
+    for i, word in enumerate(words):
+        assert ids[at[i] : at[i + 1]].tolist() == plain.encode(word, add_special_tokens=False).ids, word
+    assert not {"ÉCOLE", "Straße", "ŸÀž", "a", "Z", "plain!!", "é&&&"} & set(stepped) and {"İ", "ŉ", "Σ"} <= set(stepped)
+    assert not Encoder(BYTE, "space").direct
+
+
+def test_segments_are_encoded_in_small_slices():
+    """What a worker holds at once is bounded by the slice, not by the batch."""
+    assert simple8b.SLICE_BYTES <= 4 << 20 and tokens.KEPT_WORDS <= 250_000
+    assert Encoder(WORD, "drop").memo.most == tokens.KEPT_WORDS
+
+
 def test_only_what_comes_twice_is_kept():
     memo = tokens.RepeatMemo(10, marks=64)
     for key in range(200):
