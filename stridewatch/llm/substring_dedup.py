@@ -28,8 +28,8 @@ from .common import mix, settle, slices, window_hashes, word_hashes, word_spans
 WINDOW = 20
 PHRASE = 8
 SHARD_BYTES = 4 << 20
-#: Codes of words in an automaton: all characters a string can hold.
-CODES = 0x110000
+#: Characters of each digit of a word's code in an automaton.
+DIGIT = 64
 NO_ID = -(2**63)
 
 _TEXTS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
@@ -141,18 +141,28 @@ def phrase_places(words: Words, wanted: np.ndarray) -> np.ndarray:
     at = np.minimum(np.searchsorted(known, phrases), len(known) - 1)
     _, sample = np.unique(np.where(known[at] == phrases, at, -1), return_index=True)
     sample = sample[known[at[sample]] == phrases[sample]]
-    # each word of the shard as one character; beyond their number, words share characters
-    _, codes = np.unique(words.hashes, return_inverse=True)
-    stream = (codes % CODES).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    automaton = ahocorasick.Automaton()
-    for place in sample.tolist():
-        automaton.add_word(stream[place : place + words.phrase], True)
-    if not len(automaton):
+    if not len(sample):
         return np.zeros(0, np.int64)
+    # each word of these phrases as digits, every digit of another alphabet: a node of the automaton is searched child by
+    # child, and with a character for each word the first node would have a child for each of them
+    named = np.unique(words.hashes[sample[:, None] + np.arange(words.phrase)])
+    digits = 1
+    while DIGIT**digits < len(named):
+        digits += 1
+    code = np.minimum(np.searchsorted(named, words.hashes), len(named) - 1)
+    other = named[code] != words.hashes
+    stream = np.empty((len(code), digits), "<u4")
+    for k in range(digits):
+        stream[:, k] = 1 + k * DIGIT + code // DIGIT**k % DIGIT
+    stream[other] = 0
+    stream = stream.tobytes().decode("utf-32-le")
+    automaton = ahocorasick.Automaton()
+    for place in (digits * sample).tolist():
+        automaton.add_word(stream[place : place + digits * words.phrase], True)
     automaton.make_automaton()
     ends = np.fromiter((end for end, _ in automaton.iter(stream)), np.int64)
-    places = ends - words.phrase + 1
-    # characters may be shared and a phrase may run over two texts: the hash of its words decides
+    places = (ends + 1) // digits - words.phrase
+    # a phrase may run over two texts: the hash of its words decides
     return places[known[at[places]] == phrases[places]]
 
 

@@ -104,6 +104,37 @@ def test_substring_random(make):
     assert rows == sorted(plain_removal(pairs, 6))
 
 
+def test_automaton_has_few_children_a_node_and_finds_every_phrase(monkeypatch):
+    """A node is searched child by child, so that many different first words must not be as many children of one node."""
+    import ahocorasick
+
+    added = []
+
+    class Recorded:
+        def __init__(self):
+            self.real = plain()
+
+        def __getattr__(self, name):
+            return getattr(self.real, name)
+
+        def add_word(self, word, value):
+            added.append(word)
+            return self.real.add_word(word, value)
+
+    plain = ahocorasick.Automaton
+    monkeypatch.setattr(ahocorasick, "Automaton", Recorded)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(n)}" for _ in range(2000)) for n in (3, 500, 9000)] + ["", "w1", "w1 w2 w3 w4"]
+    words = substring_dedup.Words(pa.array([t.encode() for t in texts]), 20, 4)
+    phrases = substring_dedup.window_hashes(words.hashes, 4)
+    for wanted in (phrases[::3], phrases[:1], phrases[:0], phrases[:5] + np.uint64(1)):
+        wanted = np.unique(wanted)
+        found = substring_dedup.phrase_places(words, wanted)
+        assert sorted(found.tolist()) == np.flatnonzero(np.isin(phrases, wanted)).tolist()
+    for k in range(len(max(added, key=len))):
+        assert len({word[k] for word in added if len(word) > k}) <= 64
+
+
 def test_substring_nothing(empty):
     assert substring_dedup.digests(substring_dedup.dedup_passages(empty)).count() == 0
 
