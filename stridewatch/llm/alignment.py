@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle, slices
-from .tokens import LONG_PIECE, RepeatMemo, gather, space_pieces
+from .tokens import LONG_PIECE, RepeatMemo, byte_characters, gather, space_pieces
 
 KEPT_PIECES = 250_000
 TOGETHER = 512
@@ -49,14 +49,6 @@ def aligner(a_path: str, b_path: str) -> "Aligner":
     return _aligners[key]
 
 
-def byte_characters() -> dict[str, int]:
-    """The byte of each character of a byte-level vocabulary: printable Latin-1 stands for itself, the other bytes for
-    the characters from 256 on, in order."""
-    itself = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    others = [b for b in range(256) if b not in set(itself)]
-    return {chr(b): b for b in itself} | {chr(256 + n): b for n, b in enumerate(others)}
-
-
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -295,7 +287,7 @@ class Aligner:
         coded = pc.dictionary_encode(pieces)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        values = self.values(coded.dictionary.to_pylist())
+        values = self.values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         flat = np.frombuffer(b"".join([numbers for numbers, _ in values]), np.int64)
         size = np.array([len(numbers) for numbers, _ in values], np.int64) // 8
