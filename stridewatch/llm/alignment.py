@@ -6,7 +6,8 @@ Byte offsets where tokens of both end cut them into groups; an A and a B token o
 1. Spans. The character offsets of ``tokenizers`` and the spans of a sentencepiece proto are coarse cuts. Where several
    tokens share a character, and for byte-fallback tokens, the decoded bytes of the tokens say where each ends.
 2. Pieces. Neither tokenizer has a token across a single space between two other characters, so both end there: a
-   text's groups are those of its pieces. A worker remembers the pieces it has met and aligns the others together.
+   text's groups are those of its pieces, and of the units these are cut into. A worker remembers the units it has met
+   and aligns the others together; pieces refer to units by number.
 3. Blocks. Documents are taken in blocks of ``BLOCK_BYTES``. A block sends each of its distinct id pairs once, with the
    number of its documents that hold it. Counts are summed over all blocks, go back to the blocks that asked, and there
    meet the documents again: no row is made for a pair of a document.
@@ -18,6 +19,7 @@ import hashlib
 import os
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,17 @@ from .common import settle, slices
 from .tokens import LONG_PIECE, RepeatMemo, byte_characters, gather, space_pieces
 
 KEPT_PIECES = 250_000
+#: Units that are encoded as one text, and units whose groups are made at once.
 TOGETHER = 512
+AT_ONCE = 16 * TOGETHER
 BLOCK_BYTES = 4 << 20
 #: More links than this in a group, and its pairs are counted by distinct ids.
 LARGE_GROUP = 4096
 MARKS = (".", ",")
 _MARKED = re.compile(r"[^\W\d_][.,]")
 _BEFORE_LINE = tuple(".,;:!?")
+#: No white space but one space before.
+_PLAIN = re.compile(r" ?\S+")
 
 _aligners: dict[tuple, "Aligner"] = {}
 
@@ -71,12 +77,14 @@ class Aligner:
             self.b_bytes.append(bytes([int(entry[3:5], 16)]) if single else entry.replace("▁", " ").encode())
         self.memo = RepeatMemo(KEPT_PIECES)
         most = max(self.a_bytes, default=-1) + 1
-        self.a_width = np.array([len(self.a_bytes.get(i, b"")) for i in range(most)], np.int64)
-        self.b_width = np.array(list(map(len, self.b_bytes)), np.int64)
         self.b_single = np.array(self.b_is_byte)
+        self.a_spelled = _spelled([self.a_bytes.get(i, b"") for i in range(most)])
+        self.b_spelled = _spelled(self.b_bytes)
+        self.a_width, self.b_width = self.a_spelled[2], self.b_spelled[2]
         # ids as text behind each separator
         self.most_named = max(most, len(self.b_bytes))
         self.named = [mark + str(i) for mark in ("", ",", ";", "|") for i in range(self.most_named)]
+        self.named_size = np.array(list(map(len, self.named)), np.int64)
         pieces = [b.decode("utf-8", "ignore") for b, one in zip(self.b_bytes, self.b_is_byte) if not one]
         self.cut_marks = not any(_MARKED.search(piece) for piece in pieces)
         self.cut_lines = not any("\n" in piece for piece in pieces) and len(self.b.encode("\n")) == 2
@@ -178,50 +186,80 @@ class Aligner:
             pieces = self.b.encode("\n" + unit, return_type="proto").pieces[2:]
         return self._value(self.groups(unit, encoded, pieces))
 
-    def _together(self, units: list[str]) -> list[tuple[bytes, bytes]]:
-        """The values of units without white space but one space before them: one text of all, a line end before each.
-
-        Where the tokens do not spell that text, or a group is large, each unit is done alone.
-        """
+    def _spans(self, units: list[str]) -> tuple[np.ndarray, ...] | None:
+        """(A ids, byte offset at which each token ends, B ids, offsets, bytes of each unit) of units without white space but
+        one space before them, encoded as one text with a line end before each. None if the tokens of either do not spell
+        that text, or one crosses the end of a unit."""
         text = "\n" + "\n".join(units)
-        raw, n = text.encode(), len(units)
+        raw = text.encode()
         encoded = self.a.encode(text, add_special_tokens=False)
         pieces = self.b.encode(text, return_type="proto").pieces
-        a_list, b_told = encoded.ids, [(token.id, token.end) for token in pieces]
-        b_list, b_ends = zip(*b_told)
+        a_list, b_list = encoded.ids, [token.id for token in pieces]
         a, b = np.array(a_list, np.int64), np.array(b_list, np.int64)
-        size = np.array([len(unit.encode()) for unit in units] if len(raw) > len(text) else list(map(len, units)), np.int64)
-        stop = np.cumsum(size + 1)
-        begin = stop - size
+        if not (_spell(*self.a_spelled, a, raw) and _spell(*self.b_spelled, b, b" " + raw)):
+            return None
         # spans first; tokens that share a character, and byte tokens, end after as many bytes as they have
-        a_start, a_stop = (np.array(column, np.int64) for column in zip(*encoded.offsets))
-        shared = np.append(a_start[1:] < a_stop[:-1], False)
-        a_end = np.where(shared, np.cumsum(self.a_width[a]), _byte_offsets(text)[a_stop])
-        b_span = np.array(b_ends, np.int64)
-        b_end = np.where(self.b_single[b], np.cumsum(self.b_width[b]) - 1, b_span)
-        spelled = (
-            b"".join([self.a_bytes[i] for i in a_list]) == raw
-            and b"".join([self.b_bytes[i] for i in b_list]) == b" " + raw
-            and all(_also_in(edge, end).all() for edge in (begin, stop) for end in (a_end, b_end))
-        )
-        if spelled:
-            a_own, b_own = ~_also_in(a_end, begin), ~_also_in(b_end, begin) & (b_end > 0)
-            a, b, a_end, b_end = a[a_own], b[b_own], a_end[a_own], b_end[b_own]
-            a_of, b_of = np.searchsorted(stop, a_end), np.searchsorted(stop, b_end)
-            a_count, b_count = np.bincount(a_of, minlength=n), np.bincount(b_of, minlength=n)
-            a_cut, b_cut = _also_in(a_end, b_end), _also_in(b_end, a_end)
-            a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
-            held_a, held_b = np.bincount(a_group), np.bincount(b_group)
-            links = held_a * held_b
-            spelled = links.max(initial=0) <= LARGE_GROUP
-        if not spelled:
-            return list(map(self._alone, units))
+        offsets = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * len(a))
+        a_end, stop = offsets[1::2], np.cumsum(np.array(list(map(len, units)), np.int64) + 1)
+        if len(raw) > len(text):
+            at, shared = _byte_offsets(text), np.append(offsets[2::2] < a_end[:-1], False)
+            a_end, stop = np.where(shared, np.cumsum(self.a_width[a]), at[a_end]), at[stop]
+        b_end = np.array([token.end for token in pieces], np.int64)
+        b_end = np.where(self.b_single[b], np.cumsum(self.b_width[b]) - 1, b_end)
+        size = np.diff(stop, prepend=0) - 1
+        for end in (a_end, b_end):
+            ends = np.zeros(len(raw) + 1, bool)
+            ends[end] = True
+            if not (ends[stop].all() and ends[stop - size].all()):
+                return None
+        own = b_end > 0
+        return a, a_end, b[own], b_end[own], size
+
+    def _together(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """The values of units as ``_spans`` takes them: spans of some at a time, then the groups of all.
+
+        Where the tokens do not spell a text, or a group is large, each unit is done alone.
+        """
+        found, done, spans = {}, [], []
+        for lo in range(0, len(units), TOGETHER):
+            part = units[lo : lo + TOGETHER]
+            told = self._spans(part)
+            if told is None:
+                found.update(zip(part, map(self._alone, part)))
+            else:
+                done += part
+                spans.append(told)
+        if not done:
+            return found
+        texts = np.array([len(part[4]) + part[4].sum() for part in spans])
+        shift = np.cumsum(texts) - texts
+        a, b, size = (np.concatenate([part[c] for part in spans]) for c in (0, 2, 4))
+        a_end, b_end = (np.concatenate([part[c] + more for part, more in zip(spans, shift.tolist())]) for c in (1, 3))
+        del spans
+        n = len(done)
+        # 1: a token of A ends here, 2: of B, 3: of both, 4: the line end before a unit
+        ends = np.zeros(int(texts.sum()) + 1, np.uint8)
+        ends[a_end] = 1
+        ends[b_end] |= 2
+        ends[np.cumsum(size + 1) - size] = 4
+        a_kind, b_kind = ends[a_end], ends[b_end]
+        a_own, b_own = a_kind != 4, b_kind != 4
+        a_of, b_of = (np.cumsum(~own)[own] - 1 for own in (a_own, b_own))
+        a, b, a_cut, b_cut = a[a_own], b[b_own], a_kind[a_own] == 3, b_kind[b_own] == 3
+        a_count, b_count = np.bincount(a_of, minlength=n), np.bincount(b_of, minlength=n)
+        a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
+        held_a, held_b = np.bincount(a_group), np.bincount(b_group)
         a_first, b_first = np.cumsum(held_a) - held_a, np.cumsum(held_b) - held_b
         unit_of = a_of[a_first]
+        links = held_a * held_b
+        large = np.unique(unit_of[links > LARGE_GROUP])
+        if len(large):
+            links[np.isin(unit_of, large)] = 0
         # all pairs of each group, then each unit's distinct ones
         group = np.repeat(np.arange(len(links)), links)
         k = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
-        keys = a[a_first[group] + k // held_b[group]] * self.b_size + b[b_first[group] + k % held_b[group]]
+        wide = held_b[group]
+        keys = a[a_first[group] + k // wide] * self.b_size + b[b_first[group] + k % wide]
         most = len(self.a_width) * self.b_size
         once, times = np.unique(unit_of[group] * most + keys, return_counts=True)
         owner, keys = np.divmod(once, most)
@@ -242,41 +280,54 @@ class Aligner:
         named = np.empty(len(a) + len(b), np.int64)
         named[np.arange(len(a)) + b_first[a_group]] = a_mark * self.most_named + a
         named[np.arange(len(b)) + a_first[b_group] + held_a[b_group]] = b_mark * self.most_named + b
-        text, raw = list(map(self.named.__getitem__, named.tolist())), flat.tobytes()
-        ends, cuts = np.cumsum(a_count + b_count).tolist(), (8 * np.append(first, len(flat))).tolist()
-        return [
-            (raw[lo:hi], "".join(text[x:y]).encode()) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)
-        ]
+        text, raw = "".join(map(self.named.__getitem__, named.tolist())).encode(), flat.tobytes()
+        ends = np.cumsum(self.named_size[named])[np.cumsum(a_count + b_count) - 1].tolist()
+        cuts = (8 * np.append(first, len(flat))).tolist()
+        found.update(zip(done, [(raw[lo:hi], text[x:y]) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)]))
+        for i in large.tolist():
+            found[done[i]] = self._alone(done[i])
+        return found
 
-    def _fresh(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _fresh(self, units: list[str]) -> list[tuple[bytes, bytes]]:
         """The value of each of these distinct units."""
-        plain = [u for u in units if len(u.split()) == 1 and not u[-1].isspace() and not u[1:2].isspace()]
-        plain = plain if self.cut_lines else []
+        plain = list(filter(_PLAIN.fullmatch, units)) if self.cut_lines else []
         found = {}
-        for lo in range(0, len(plain), TOGETHER):
-            part = plain[lo : lo + TOGETHER]
-            found.update(zip(part, self._together(part)))
-        for unit in units:
+        for lo in range(0, len(plain), AT_ONCE):
+            found |= self._together(plain[lo : lo + AT_ONCE])
+        for unit in units if len(found) < len(units) else ():
             if unit not in found:
                 found[unit] = self._alone(unit)
-        short = [unit for unit in units if len(unit) <= LONG_PIECE]
-        self.memo.offer_all(short, [found[unit] for unit in short])
-        return found
+        values = list(map(found.__getitem__, units))
+        short = [i for i, unit in enumerate(units) if len(unit) <= LONG_PIECE]
+        if len(short) == len(units):
+            self.memo.offer_all(units, values)
+        else:
+            self.memo.offer_all([units[i] for i in short], [values[i] for i in short])
+        return values
 
-    def values(self, pieces: list[str]) -> list[tuple[bytes, bytes]]:
-        """The value of each of these distinct pieces, from the memo where it has them. Each begins with a space."""
-        values = self.memo.look_up(pieces)
+    def values(self, pieces: list[str]) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray]:
+        """(values of the distinct units of these distinct pieces, units of all pieces end to end, how many each has).
+
+        Values come from the memo where it has them. Each piece begins with a space.
+        """
+        cut = [i for i, piece in enumerate(pieces) if piece.endswith(MARKS) or "\n" in piece]
+        parts = [self.units(pieces[i]) for i in cut]
+        whole = np.delete(np.arange(len(pieces)), cut)
+        number = dict(zip([pieces[i] for i in whole.tolist()], range(len(whole))))
+        count = np.ones(len(pieces), np.int64)
+        count[cut] = list(map(len, parts))
+        which = np.empty(int(count.sum()), np.int64)
+        of_whole = (np.cumsum(count) - count)[whole]
+        of_parts = np.ones(len(which), bool)
+        of_parts[of_whole] = False
+        which[of_whole] = np.arange(len(whole))
+        which[of_parts] = [number.setdefault(unit, len(number)) for units in parts for unit in units]
+        units = list(number)
+        values = self.memo.look_up(units)
         unknown = [i for i, value in enumerate(values) if value is None]
-        parts = [self.units(pieces[i]) for i in unknown]
-        several = list({unit for units in parts if len(units) > 1 for unit in units})
-        known = {unit: value for unit, value in zip(several, self.memo.look_up(several)) if value is not None}
-        wanted = dict.fromkeys(unit for units in parts for unit in units)
-        known |= self._fresh([unit for unit in wanted if unit not in known])
-        for i, units in zip(unknown, parts):
-            values[i] = known[units[0]] if len(units) == 1 else _joined([known[unit] for unit in units])
-        made = [i for i, units in zip(unknown, parts) if len(units) > 1 and len(pieces[i]) <= LONG_PIECE]
-        self.memo.offer_all([pieces[i] for i in made], [values[i] for i in made])
-        return values
+        for i, value in zip(unknown, self._fresh([units[i] for i in unknown])):
+            values[i] = value
+        return values, which, count
 
     def block(self, texts: pa.Array) -> dict:
         """Sizes, groups' digest and id pairs of each text of a batch of non-null strings."""
@@ -287,8 +338,10 @@ class Aligner:
         coded = pc.dictionary_encode(pieces)
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        values = self.values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        values, units, count = self.values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(count[codes])])[before]
+        codes = gather(units, np.cumsum(count) - count, count, codes)
         flat = np.frombuffer(b"".join([numbers for numbers, _ in values]), np.int64)
         size = np.array([len(numbers) for numbers, _ in values], np.int64) // 8
         first = np.cumsum(size) - size
@@ -303,14 +356,14 @@ class Aligner:
             hashlib.sha256(b";".join([strings[c] for c in listed[spans[t] : spans[t + 1]]])).hexdigest() if good[t] else ""
             for t in range(n)
         ]
-        # each document's distinct pieces, then its distinct pairs
+        # each document's distinct units, then its distinct pairs
         doc = np.repeat(np.arange(n), np.diff(before))
         use = good[doc]
         once, often = np.unique(doc[use] * len(values) + codes[use], return_counts=True)
-        doc, piece = np.divmod(once, max(len(values), 1))
-        held = head[piece, 4]
-        keys = gather(flat, first + 5, head[:, 4], piece)
-        times = gather(flat, first + 5 + head[:, 4], head[:, 4], piece) * np.repeat(often, held)
+        doc, unit = np.divmod(once, max(len(values), 1))
+        held = head[unit, 4]
+        keys = gather(flat, first + 5, head[:, 4], unit)
+        times = gather(flat, first + 5 + head[:, 4], head[:, 4], unit) * np.repeat(often, held)
         pairs, which = np.unique(keys, return_inverse=True)
         place = np.repeat(doc, held) * max(len(pairs), 1) + which
         order = np.argsort(place)
@@ -337,21 +390,15 @@ def _byte_offsets(text: str) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(size)])
 
 
-def _also_in(values: np.ndarray, others: np.ndarray) -> np.ndarray:
-    """Which of these ascending numbers are among the other ascending ones."""
-    at = np.minimum(np.searchsorted(others, values), len(others) - 1)
-    return others[at] == values
+def _spelled(entries: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all entries end to end, where each begins, how many it has)."""
+    width = np.array(list(map(len, entries)), np.int64)
+    return np.frombuffer(b"".join(entries), np.uint8), np.cumsum(width) - width, width
 
 
-def _joined(values: list[tuple[bytes, bytes]]) -> tuple[bytes, bytes]:
-    """The value of a piece from those of its units. A pair of two units is listed twice."""
-    numbers = [np.frombuffer(raw, np.int64) for raw, _ in values]
-    if any(part[0] == 0 for part in numbers):
-        return _NO_TOKENS
-    pairs = [part[5 : 5 + part[4]] for part in numbers]
-    times = [part[5 + part[4] :] for part in numbers]
-    head = sum(part[:5] for part in numbers)
-    return np.concatenate([head, *pairs, *times]).tobytes(), b";".join([text for _, text in values])
+def _spell(flat: np.ndarray, first: np.ndarray, width: np.ndarray, ids: np.ndarray, raw: bytes) -> bool:
+    """Whether the bytes of these tokens are this text."""
+    return gather(flat, first, width, ids).tobytes() == raw
 
 
 _NO_TOKENS = (np.zeros(5, np.int64).tobytes(), b"")

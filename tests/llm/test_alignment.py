@@ -123,6 +123,51 @@ def test_large_groups_and_single_units_are_the_same(plain, monkeypatch):
         assert (got[name] == want[name]).all()
 
 
+def test_units_of_several_pieces_are_aligned_once():
+    aligner = alignment.Aligner(A, B)
+    values, units, count = aligner.values([" one\nTwo", " two", " six\nTwo", " one"])
+    assert count.tolist() == [3, 1, 3, 1]
+    assert len(values) == len(set(units.tolist())) == 5  # one, Two, two, six, the line end
+    assert units[0] == units[7] and units[1] == units[5] and units[2] == units[6]
+    assert values[units[3]] == aligner.values([" two"])[0][0]
+
+
+def test_texts_that_do_not_spell_are_done_alone_beside_others(plain, monkeypatch):
+    """Few units a text and few texts at once: ends of both fall between any two units."""
+    texts = mixed(200, 21) + ["same words in all of them"] * 3
+    want = alignment.Aligner(A, B).block(pa.array(texts))
+    monkeypatch.setattr(alignment, "TOGETHER", 3)
+    monkeypatch.setattr(alignment, "AT_ONCE", 7)
+    spans, told = alignment.Aligner._spans, []
+
+    def some(self, units):
+        found = spans(self, units)
+        told.append(found is not None and len(told) % 3 != 0)
+        return found if told[-1] else None
+
+    monkeypatch.setattr(alignment.Aligner, "_spans", some)
+    got = alignment.Aligner(A, B).block(pa.array(texts))
+    assert any(told) and not all(told)
+    assert got["digests"] == want["digests"]
+    for name in ("pairs", "holders", "before", "which", "times"):
+        assert (got[name] == want[name]).all()
+
+
+def test_large_groups_beside_small_ones(monkeypatch):
+    texts = mixed(80, 12)
+    want = alignment.Aligner(A, B).block(pa.array(texts))
+    alone, done = alignment.Aligner._alone, []
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 3)
+    monkeypatch.setattr(alignment.Aligner, "_alone", lambda self, unit: done.append(unit) or alone(self, unit))
+    aligner = alignment.Aligner(A, B)
+    got = aligner.block(pa.array(texts))
+    large = [u for u in done if alignment._PLAIN.fullmatch(u)]
+    assert large and "".join(large) != " ".join(texts)
+    assert got["digests"] == want["digests"]
+    for name in ("pairs", "holders", "before", "which", "times"):
+        assert (got[name] == want[name]).all()
+
+
 def test_alignment_equals_plain_python(make, odd, plain):
     pairs = odd_pairs() + [(100 + i, t) for i, t in enumerate(mixed(120, 9))] + [(7, "a tie"), (7, "a tie")]
     got = [tuple(r) for r in alignment.align(make(pairs), A, B).collect()]
