@@ -351,9 +351,9 @@ class Aligner:
         n = len(texts)
         good = np.diff(np.concatenate([[0], np.cumsum(head[codes, 0] == 0)])[before]) == 0
         sums = [np.diff(np.concatenate([[0], np.cumsum(head[codes, c])])[before]) * good for c in range(4)]
-        listed, spans = codes.tolist(), before.tolist()
+        spans = before.tolist()
         digests = [
-            hashlib.sha256(b";".join([strings[c] for c in listed[spans[t] : spans[t + 1]]])).hexdigest() if good[t] else ""
+            hashlib.sha256(b";".join([strings[c] for c in codes[spans[t] : spans[t + 1]].tolist()])).hexdigest() if good[t] else ""
             for t in range(n)
         ]
         # each document's distinct units, then its distinct pairs
