@@ -11,6 +11,9 @@ Byte offsets where tokens of both end cut them into groups; an A and a B token o
 3. Blocks. Documents are taken in blocks of ``BLOCK_BYTES``. A block sends each of its distinct id pairs once, with the
    number of its documents that hold it. Counts are summed over all blocks, go back to the blocks that asked, and there
    meet the documents again: no row is made for a pair of a document.
+
+What a worker holds does not grow with its input: values in the memo are packed, a block is aligned in slices whose arrays
+go before the next one's come, and the numbers that a block keeps for each pair of a document are as narrow as they can be.
 """
 
 from __future__ import annotations
@@ -36,8 +39,12 @@ KEPT_PIECES = 250_000
 TOGETHER = 512
 AT_ONCE = 16 * TOGETHER
 BLOCK_BYTES = 4 << 20
+#: Texts of a block that are aligned at once: arrays of all their links exist meanwhile.
+SLICE_BYTES = 1 << 20
 #: More links than this in a group, and its pairs are counted by distinct ids.
 LARGE_GROUP = 4096
+#: What one entry of a unit's pairs counts; a pair that is linked more often has several.
+MOST_TIMES = 2**31 - 1
 MARKS = (".", ",")
 _MARKED = re.compile(r"[^\W\d_][.,]")
 _BEFORE_LINE = tuple(".,;:!?")
@@ -81,6 +88,9 @@ class Aligner:
         self.a_spelled = _spelled([self.a_bytes.get(i, b"") for i in range(most)])
         self.b_spelled = _spelled(self.b_bytes)
         self.a_width, self.b_width = self.a_spelled[2], self.b_spelled[2]
+        # of the numbers in a unit's value, id pairs among them
+        self.kind = np.dtype(np.int32 if most * self.b_size < 2**31 else np.int64)
+        self.no_tokens = np.zeros(5, self.kind).tobytes()
         # ids as text behind each separator
         self.most_named = max(most, len(self.b_bytes))
         self.named = [mark + str(i) for mark in ("", ",", ";", "|") for i in range(self.most_named)]
@@ -154,14 +164,15 @@ class Aligner:
                 i, j = k + 1, at + 1
         return found
 
-    def _value(self, groups) -> tuple[bytes, bytes]:
-        """(numbers, text) of a piece: its sizes, its distinct id pairs and how often each is linked; its groups."""
+    def _value(self, groups) -> bytes:
+        """Numbers of a unit, then its groups as text: its sizes, entries of pairs and bytes of that text; a distinct id pair
+        and how often it is linked, for each entry. The text is filled up to whole numbers."""
         if groups is None:
-            return _NO_TOKENS
-        n_a = n_b = links = 0
+            return self.no_tokens
+        n_a = n_b = 0
         pairs, text = {}, []
         for a, b in groups:
-            n_a, n_b, links = n_a + len(a), n_b + len(b), links + len(a) * len(b)
+            n_a, n_b = n_a + len(a), n_b + len(b)
             if len(a) == 1 and len(b) == 1:
                 key = a[0] * self.b_size + b[0]
                 pairs[key] = pairs.get(key, 0) + 1
@@ -173,10 +184,17 @@ class Aligner:
                         key = x * self.b_size + y
                         pairs[key] = pairs.get(key, 0) + times * more
                 text.append(f"{','.join(map(str, a))}|{','.join(map(str, b))}")
-        numbers = [n_a, n_b, len(groups), links, len(pairs), *pairs, *pairs.values()]
-        return np.array(numbers, np.int64).tobytes(), ";".join(text).encode()
-
-    def _alone(self, unit: str) -> tuple[bytes, bytes]:
+        keys, times = [], []
+        for key, left in pairs.items():
+            while left > 0:
+                keys.append(key)
+                times.append(min(left, MOST_TIMES))
+                left -= MOST_TIMES
+        told = ";".join(text).encode()
+        numbers = np.array([n_a, n_b, len(groups), len(keys), len(told), *keys, *times], self.kind)
+        return numbers.tobytes() + told + bytes(-len(told) % self.kind.itemsize)
+
+    def _alone(self, unit: str) -> bytes:
         """The value of one unit. The model puts a space before a text; a unit that has none comes after a line end, which
         is a token of its own, and both are left out."""
         encoded = self.a.encode(unit, add_special_tokens=False)
@@ -215,7 +233,7 @@ class Aligner:
         own = b_end > 0
         return a, a_end, b[own], b_end[own], size
 
-    def _together(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _together(self, units: list[str]) -> dict[str, bytes]:
         """The values of units as ``_spans`` takes them: spans of some at a time, then the groups of all.
 
         Where the tokens do not spell a text, or a group is large, each unit is done alone.
@@ -264,15 +282,6 @@ class Aligner:
         once, times = np.unique(unit_of[group] * most + keys, return_counts=True)
         owner, keys = np.divmod(once, most)
         held = np.bincount(owner, minlength=n)
-        width = 5 + 2 * held
-        first = np.cumsum(width) - width
-        flat = np.empty(int(width.sum()), np.int64)
-        heads = [a_count, b_count, np.bincount(unit_of, minlength=n), np.bincount(unit_of, links, n).astype(np.int64), held]
-        for c, column in enumerate(heads):
-            flat[first + c] = column
-        at = first[owner] + 5 + np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
-        flat[at] = keys
-        flat[at + held[owner]] = times
         # the groups as text: every id behind its separator
         a_mark, b_mark = np.ones(len(a), np.int64), np.ones(len(b), np.int64)
         a_mark[a_first], b_mark[b_first] = 2, 3
@@ -280,15 +289,27 @@ class Aligner:
         named = np.empty(len(a) + len(b), np.int64)
         named[np.arange(len(a)) + b_first[a_group]] = a_mark * self.most_named + a
         named[np.arange(len(b)) + a_first[b_group] + held_a[b_group]] = b_mark * self.most_named + b
-        text, raw = "".join(map(self.named.__getitem__, named.tolist())).encode(), flat.tobytes()
-        ends = np.cumsum(self.named_size[named])[np.cumsum(a_count + b_count) - 1].tolist()
-        cuts = (8 * np.append(first, len(flat))).tolist()
-        found.update(zip(done, [(raw[lo:hi], text[x:y]) for lo, hi, x, y in zip(cuts, cuts[1:], [0, *ends], ends)]))
+        text = "".join(map(self.named.__getitem__, named.tolist())).encode()
+        ends = np.cumsum(self.named_size[named])[np.cumsum(a_count + b_count) - 1]
+        told = np.diff(ends, prepend=0)
+        width = 5 + 2 * held
+        first = np.cumsum(width) - width
+        flat = np.empty(int(width.sum()), self.kind)
+        for c, column in enumerate((a_count, b_count, np.bincount(unit_of, minlength=n), held, told)):
+            flat[first + c] = column
+        at = first[owner] + 5 + np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
+        flat[at] = keys
+        flat[at + held[owner]] = times
+        one = self.kind.itemsize
+        raw, filled = flat.tobytes(), [bytes(k) for k in range(one)]
+        cuts, fill, ends = (one * np.append(first, len(flat))).tolist(), (-told % one).tolist(), ends.tolist()
+        spans = zip(cuts, cuts[1:], [0, *ends], ends, fill)
+        found.update(zip(done, [raw[lo:hi] + text[x:y] + filled[k] for lo, hi, x, y, k in spans]))
         for i in large.tolist():
             found[done[i]] = self._alone(done[i])
         return found
 
-    def _fresh(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+    def _fresh(self, units: list[str]) -> list[bytes]:
         """The value of each of these distinct units."""
         plain = list(filter(_PLAIN.fullmatch, units)) if self.cut_lines else []
         found = {}
@@ -305,7 +326,7 @@ class Aligner:
             self.memo.offer_all([units[i] for i in short], [values[i] for i in short])
         return values
 
-    def values(self, pieces: list[str]) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray]:
+    def values(self, pieces: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """(values of the distinct units of these distinct pieces, units of all pieces end to end, how many each has).
 
         Values come from the memo where it has them. Each piece begins with a space.
@@ -331,6 +352,26 @@ class Aligner:
 
     def block(self, texts: pa.Array) -> dict:
         """Sizes, groups' digest and id pairs of each text of a batch of non-null strings."""
+        parts = [self._slice(texts.slice(lo, hi - lo)) for lo, hi in slices(texts, SLICE_BYTES)]
+        pairs, place = np.unique(np.concatenate([part["pairs"] for part in parts]), return_inverse=True)
+        holders, before, cut = np.zeros(len(pairs), np.int64), [np.zeros(1, np.int64)], 0
+        for part in parts:
+            own = place[cut : cut + len(part["pairs"])]
+            holders[own] += part["holders"]
+            part["which"] = _narrow(own[part["which"]])
+            before.append(part["before"][1:] + before[-1][-1])
+            cut += len(own)
+        return {
+            "sums": [np.concatenate(column) for column in zip(*(part["sums"] for part in parts))],
+            "digests": [digest for part in parts for digest in part["digests"]],
+            "pairs": pairs,
+            "holders": holders,
+            "before": np.concatenate(before),
+            "which": np.concatenate([part["which"] for part in parts]),
+            "times": np.concatenate([part["times"] for part in parts]),
+        }
+
+    def _slice(self, texts: pa.Array) -> dict:
         pieces, before = space_pieces(texts)
         head = np.zeros(len(pieces), bool)
         head[before[:-1]] = True
@@ -342,15 +383,17 @@ class Aligner:
         codes = coded.indices.to_numpy(zero_copy_only=False)
         before = np.concatenate([[0], np.cumsum(count[codes])])[before]
         codes = gather(units, np.cumsum(count) - count, count, codes)
-        flat = np.frombuffer(b"".join([numbers for numbers, _ in values]), np.int64)
-        size = np.array([len(numbers) for numbers, _ in values], np.int64) // 8
+        raw, one = b"".join(values), self.kind.itemsize
+        flat = np.frombuffer(raw, self.kind)
+        size = np.array(list(map(len, values)), np.int64) // one
         first = np.cumsum(size) - size
-        head = flat[first[:, None] + np.arange(5)]
-        strings = [text for _, text in values]
+        head = flat[first[:, None] + np.arange(5)].astype(np.int64)
+        told = one * (first + 5 + 2 * head[:, 3])
+        strings = [raw[lo:hi] for lo, hi in zip(told.tolist(), (told + head[:, 4]).tolist())]
 
         n = len(texts)
         good = np.diff(np.concatenate([[0], np.cumsum(head[codes, 0] == 0)])[before]) == 0
-        sums = [np.diff(np.concatenate([[0], np.cumsum(head[codes, c])])[before]) * good for c in range(4)]
+        sums = [np.diff(np.concatenate([[0], np.cumsum(head[codes, c])])[before]) * good for c in range(3)]
         spans = before.tolist()
         digests = [
             hashlib.sha256(b";".join([strings[c] for c in codes[spans[t] : spans[t + 1]].tolist()])).hexdigest() if good[t] else ""
@@ -361,26 +404,39 @@ class Aligner:
         use = good[doc]
         once, often = np.unique(doc[use] * len(values) + codes[use], return_counts=True)
         doc, unit = np.divmod(once, max(len(values), 1))
-        held = head[unit, 4]
-        keys = gather(flat, first + 5, head[:, 4], unit)
-        times = gather(flat, first + 5 + head[:, 4], head[:, 4], unit) * np.repeat(often, held)
+        held = head[unit, 3]
+        keys = gather(flat, first + 5, head[:, 3], unit)
+        times = gather(flat, first + 5 + head[:, 3], head[:, 3], unit) * np.repeat(often, held)
         pairs, which = np.unique(keys, return_inverse=True)
         place = np.repeat(doc, held) * max(len(pairs), 1) + which
+        del keys, which
         order = np.argsort(place)
         place, times = place[order], times[order]
         start = np.flatnonzero(np.append(True, place[1:] != place[:-1]))[: len(place)]
         doc, which = np.divmod(place[start], max(len(pairs), 1))
+        times = np.add.reduceat(times, start) if len(start) else times
+        before = np.searchsorted(doc, np.arange(n + 1))
         return {
-            "sums": sums,
+            "sums": [*sums, np.diff(np.concatenate([[0], np.cumsum(times)])[before])],
             "digests": digests,
-            "pairs": pairs,
+            "pairs": pairs.astype(np.int64),
             "holders": np.bincount(which, minlength=len(pairs)),
-            "before": np.searchsorted(doc, np.arange(n + 1)),
-            "which": which,
-            "times": np.add.reduceat(times, start) if len(start) else times,
+            "before": before,
+            "which": _narrow(which),
+            "times": _narrow(times),
         }
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers, none below zero, in as few bytes each as the largest one needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def _widen(raw: pa.Buffer, n: int) -> np.ndarray:
+    """The numbers that ``_narrow`` has left, n of them, from their bytes."""
+    return np.frombuffer(raw, f"<u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 def _byte_offsets(text: str) -> np.ndarray:
     """The byte offset of each character, and of the end."""
     if text.isascii():
@@ -401,17 +457,16 @@ def _spell(flat: np.ndarray, first: np.ndarray, width: np.ndarray, ids: np.ndarr
     return gather(flat, first, width, ids).tobytes() == raw
 
 
-_NO_TOKENS = (np.zeros(5, np.int64).tobytes(), b"")
 _LONGS = pa.list_(pa.int64())
 _BLOCK = pa.schema(
     [("block", pa.int64()), ("doc_ids", _LONGS)]
     + [(c, _LONGS) for c in ("n_a", "n_b", "n_groups", "n_links")]
     + [("digests", pa.list_(pa.string()))]
-    + [(c, _LONGS) for c in ("pairs", "holders", "before", "which", "times")]
-)
-BLOCK = ", ".join(
-    f"{f.name} {'long' if f.type == pa.int64() else 'array<string>' if f.name == 'digests' else 'array<bigint>'}" for f in _BLOCK
+    + [(c, _LONGS) for c in ("pairs", "holders", "before")]
+    + [(c, pa.binary()) for c in ("which", "times")]
 )
+_SQL = {pa.int64(): "long", _LONGS: "array<bigint>", pa.binary(): "binary", pa.list_(pa.string()): "array<string>"}
+BLOCK = ", ".join(f"{f.name} {_SQL[f.type]}" for f in _BLOCK)
 OUTPUT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
@@ -430,9 +485,11 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             texts, ids = batch.column(1), batch.column(0)
             for lo, hi in slices(texts, BLOCK_BYTES):
                 found = aligner(a_path, b_path).block(texts.slice(lo, hi - lo))
+                found |= {c: found[c].tobytes() for c in ("which", "times")}
                 row = [part << 32 | number, ids.slice(lo, hi - lo).to_pylist(), *found.pop("sums"), *found.values()]
                 number += 1
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK)], schema=_BLOCK)
+                pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(align, BLOCK)
 
@@ -462,8 +519,9 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         order = np.argsort(pair)
         n, best = right.column("n").to_numpy()[order], right.column("best").to_numpy(zero_copy_only=False)[order]
         for i in range(left.num_rows):  # a block is one row
-            row = {name: left.column(name)[i].values for name in left.column_names if name != "block"}
-            which, times, before = (row[c].to_numpy() for c in ("which", "times", "before"))
+            row = {f.name: left.column(f.name)[i].values for f in left.schema if pa.types.is_list(f.type)}
+            before = row["before"].to_numpy()
+            which, times = (_widen(left.column(c)[i].as_buffer(), int(before[-1])) for c in ("which", "times"))
             sums = [
                 pa.array(np.diff(np.concatenate([[0], np.cumsum(v)])[before]))
                 for v in (times * best[which], times * n[which])

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import sys
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
@@ -168,6 +170,56 @@ def test_large_groups_beside_small_ones(monkeypatch):
         assert (got[name] == want[name]).all()
 
 
+def test_slices_of_a_block_give_the_same(monkeypatch):
+    texts = mixed(120, 31) + ["", "same words in all of them", "x" * 900]
+    want = alignment.Aligner(A, B).block(pa.array(texts))
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 300)
+    got = alignment.Aligner(A, B).block(pa.array(texts))
+    assert got["digests"] == want["digests"]
+    for name in ("pairs", "holders", "before", "which", "times"):
+        assert len(got[name]) == len(want[name]) and (got[name] == want[name]).all()
+    for one, other in zip(got["sums"], want["sums"], strict=True):
+        assert (one == other).all()
+
+
+def test_pairs_linked_more_often_than_an_entry_counts(monkeypatch):
+    texts = mixed(80, 12) + ["\n".join(["of"] * 9), " " * 40 + "a"]
+    want = alignment.Aligner(A, B).block(pa.array(texts))
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 0)
+    monkeypatch.setattr(alignment, "MOST_TIMES", 2)
+    got = alignment.Aligner(A, B).block(pa.array(texts))
+    assert want["times"].max() > 4
+    assert got["digests"] == want["digests"]
+    for name in ("pairs", "holders", "before", "which", "times"):
+        assert (got[name] == want[name]).all()
+    assert (got["sums"][3] == want["sums"][3]).all()
+
+
+def test_numbers_stay_whole_when_narrow():
+    for numbers in ([], [0], [255], [256, 1], [65536], [2**32, 3]):
+        raw = alignment._narrow(alignment.np.array(numbers, alignment.np.int64)).tobytes()
+        assert alignment._widen(pa.py_buffer(raw), len(numbers)).tolist() == numbers
+
+
+def test_a_worker_aligns_a_block_in_little_memory(make):
+    """Its arrays, what it remembers of a unit, and what it sends on for a pair of a document."""
+    rng = random.Random(17)
+    words = ["".join(rng.choice(["th", "an", "er", "ou", "st", "ly", "ing"]) for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(1600)]
+    block, aligner = pa.array(texts), alignment.Aligner(A, B)
+    aligner.block(block), aligner.block(block)
+    assert len(aligner.memo.young) > 1500
+    kept = [v for value in aligner.memo.young.values() for v in (value if isinstance(value, tuple) else [value])]
+    assert sum(map(sys.getsizeof, kept)) < 160 * len(aligner.memo.young)
+    tracemalloc.start()
+    found = aligner.block(block)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50e6
+    row = alignment.aligned_blocks(make(list(enumerate(texts)), 1), A, B).collect()[0]
+    assert len(row.which) + len(row.times) < 4 * len(found["which"])
+
+
 def test_alignment_equals_plain_python(make, odd, plain):
     pairs = odd_pairs() + [(100 + i, t) for i, t in enumerate(mixed(120, 9))] + [(7, "a tie"), (7, "a tie")]
     got = [tuple(r) for r in alignment.align(make(pairs), A, B).collect()]
